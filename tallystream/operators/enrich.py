@@ -10,18 +10,29 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallystream.functions.ip import ipv4_to_long
-from tallystream.operators.ranges import BUCKET_BITS, RangeIndex, cut_at_buckets, index_ranges
+from tallystream.operators.ranges import (
+    BUCKET_BITS, FINE_BITS, RangeIndex, cut_at_buckets, index_ranges,
+)
 from tallystream.schema import GEO_FIELDS, GEO_STRUCT
 
 Lookup = Callable[[pd.Series], pd.DataFrame]
 
 
-def _probe_broadcast(df: DataFrame, index: RangeIndex) -> DataFrame:
+def _probe(df: DataFrame, pieces: DataFrame, shift: int, name: str) -> DataFrame:
     """Map-side join on the bucket of the address, range ends as further condition."""
-    buckets = cut_at_buckets(index.ranges, index.shift).select("bucket", "lo", "hi", "geo")
-    at = F.shiftright("_ip", index.shift) == F.col("bucket")
+    side = pieces.select("bucket", "lo", "hi", F.col("geo").alias(name))
+    at = F.shiftright("_ip", shift) == F.col("bucket")
     inside = F.col("_ip").between(F.col("lo"), F.col("hi"))
-    return df.join(F.broadcast(buckets), at & inside, "left").drop("bucket", "lo", "hi")
+    return df.join(F.broadcast(side), at & inside, "left").drop("bucket", "lo", "hi")
+
+
+def _probe_broadcast(df: DataFrame, index: RangeIndex) -> DataFrame:
+    """For range tables whose size was checked. No message is shuffled."""
+    located = _probe(df, index.coarse, BUCKET_BITS, "geo")
+    if index.fine is None:
+        return located
+    finer = _probe(located, index.fine, FINE_BITS, "_fine")
+    return finer.withColumn("geo", F.coalesce("geo", "_fine"))
 
 
 def _probe_sorted(df: DataFrame, index: RangeIndex) -> DataFrame:
@@ -40,7 +51,10 @@ def _probe_sorted(df: DataFrame, index: RangeIndex) -> DataFrame:
         F.shiftright("_ip", BUCKET_BITS).alias("bucket"), F.col("_ip").alias("at"),
         F.lit(1).alias("is_address"), F.lit(None).cast(starts.schema["r"].dataType).alias("r"),
     )
-    line = Window.partitionBy("bucket").orderBy("at", "is_address")
+    line = (
+        Window.partitionBy("bucket").orderBy("at", "is_address")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
     answers = (
         asked.unionByName(starts)
         .withColumn("r", F.last("r", ignorenulls=True).over(line))
@@ -57,7 +71,7 @@ def ip_enrich(df: DataFrame, ranges: DataFrame | RangeIndex) -> DataFrame:
     once by ``index_ranges`` can serve many micro-batches.
     """
     index = ranges if isinstance(ranges, RangeIndex) else index_ranges(ranges)
-    probe = _probe_sorted if index.shift is None else _probe_broadcast
+    probe = _probe_sorted if index.coarse is None else _probe_broadcast
     located = probe(df.withColumn("_ip", ipv4_to_long(F.col("ip_address"))), index)
     return located.select(*df.columns, "geo")
 

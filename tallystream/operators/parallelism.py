@@ -1,0 +1,21 @@
+"""Read parallelism for inputs that come in fewer pieces than there are cores."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+# A scan of at most this many splits is small enough to be shuffled.
+MAX_SPLITS = 64
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Deals the rows of a small table in few files out to all cores.
+
+    JSON work costs far more than moving such rows once. A table with more
+    splits keeps them: shuffling it would cost more than idle cores do.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    splits = scan.rdd.getNumPartitions()
+    if splits * 2 > cores or splits > MAX_SPLITS:
+        return scan
+    return scan.repartition(min(cores, MAX_SPLITS))

@@ -1,4 +1,4 @@
-"""IP range tables: checks, and a choice of join form by measured size."""
+"""IP range tables: checks, and the cut into buckets that messages are joined on."""
 
 from __future__ import annotations
 
@@ -12,26 +12,29 @@ from pyspark.sql import types as T
 
 from tallystream.schema import GEO_FIELDS, GEO_STRUCT, RANGE_SCHEMA
 
-BUCKET_BITS = 16
 MAX_IPV4 = (1 << 32) - 1
 
-# Widths tried for the broadcast form, finest first: a bucket of 2**8 addresses
-# holds at most 256 disjoint ranges, so a message meets few candidates.
-BROADCAST_SHIFTS = (8, 12, 16, 20)
+# A bucket holds 2**16 addresses. Buckets with many ranges are cut again into
+# buckets of 2**8 addresses, which hold at most 256 disjoint ranges.
+BUCKET_BITS = 16
+FINE_BITS = 8
+CROWDED = 32
+
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-MAX_CANDIDATES = 256
 
 
 @dataclass(frozen=True)
 class RangeIndex:
-    """Disjoint ranges, and the bucket width for a broadcast join.
+    """Disjoint ranges, and their cut for a broadcast join if that is small enough.
 
-    ``shift`` is None where no width keeps both the broadcast table and the
-    number of candidates per message within their limits.
+    ``coarse`` holds the calm buckets and ``fine`` the pieces of the crowded ones;
+    ``fine`` is None without crowded buckets and ``coarse`` is None where the
+    tables are too large to broadcast.
     """
 
     ranges: DataFrame
-    shift: int | None
+    coarse: DataFrame | None = None
+    fine: DataFrame | None = None
 
 
 def cut_at_buckets(ranges: DataFrame, shift: int) -> DataFrame:
@@ -58,17 +61,19 @@ def _check_bounds(ranges: DataFrame) -> None:
         raise ValueError(f"not an IPv4 range: {bad[0]['lo']}..{bad[0]['hi']}")
 
 
-def overlapping_buckets(ranges: DataFrame) -> DataFrame:
-    """Buckets in which a range begins before an earlier one has ended."""
+def _bucket_profile(pieces: DataFrame) -> DataFrame:
+    """Per bucket: its ranges, their size in memory, and whether one begins before
+    an earlier one has ended."""
     earlier = (
         Window.partitionBy("bucket").orderBy("lo", "hi")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
+    row_bytes = F.lit(64) + F.coalesce(F.octet_length(F.to_json("geo")), F.lit(0))
+    crosses = F.coalesce(F.max("hi").over(earlier) >= F.col("lo"), F.lit(False))
     return (
-        cut_at_buckets(ranges, BUCKET_BITS)
-        .withColumn("reach", F.max("hi").over(earlier))
-        .where(F.col("reach") >= F.col("lo"))
-        .select("bucket").distinct()
+        pieces.select("bucket", crosses.alias("crosses"), row_bytes.alias("size"))
+        .groupBy("bucket")
+        .agg(F.count("*").alias("n"), F.sum("size").alias("size"), F.bool_or("crosses").alias("crosses"))
     )
 
 
@@ -92,15 +97,15 @@ def _sweep(pdf: pd.DataFrame) -> pd.DataFrame:
     return chosen[["lo", "hi", *GEO_FIELDS]]
 
 
-def keep_narrowest(ranges: DataFrame, crowded: DataFrame) -> DataFrame:
-    """Disjoint ranges with the same answers; only ``crowded`` buckets are swept."""
+def keep_narrowest(ranges: DataFrame, crossing: DataFrame) -> DataFrame:
+    """Disjoint ranges with the same answers; only ``crossing`` buckets are swept."""
     pieces = cut_at_buckets(ranges, BUCKET_BITS)
-    calm = pieces.join(crowded, "bucket", "left_anti").select("lo", "hi", "geo")
+    calm = pieces.join(crossing, "bucket", "left_anti").select("lo", "hi", "geo")
     # Ranges with equal ends inside a bucket collapse to the narrowest before
     # the bucket is handed to one task.
     by_width = F.struct("width", F.to_json("geo"))
     swept = (
-        pieces.join(crowded, "bucket", "left_semi")
+        pieces.join(crossing, "bucket", "left_semi")
         .groupBy("bucket", "lo", "hi")
         .agg(F.min("width").alias("width"), F.min_by("geo", by_width).alias("geo"))
         .select("bucket", "lo", "hi", "width", "geo.*")
@@ -113,28 +118,6 @@ def keep_narrowest(ranges: DataFrame, crowded: DataFrame) -> DataFrame:
     return calm.unionByName(swept)
 
 
-def _broadcast_shift(ranges: DataFrame, max_bytes: int) -> int | None:
-    """The finest bucket width whose exploded table stays below ``max_bytes``.
-
-    One aggregation measures the rows and the text bytes for every width.
-    """
-    row_bytes = F.lit(64) + F.coalesce(F.octet_length(F.to_json("geo")), F.lit(0))
-    sizes = ranges.agg(*(
-        F.sum((F.shiftright("hi", s) - F.shiftright("lo", s) + 1) * row_bytes).alias(str(s))
-        for s in BROADCAST_SHIFTS
-    )).first()
-    for shift in BROADCAST_SHIFTS:
-        if (sizes[str(shift)] or 0) > max_bytes:
-            continue
-        if (1 << shift) <= MAX_CANDIDATES:
-            return shift
-        fullest = (
-            cut_at_buckets(ranges, shift).groupBy("bucket").count().agg(F.max("count")).first()[0]
-        )
-        return shift if (fullest or 0) <= MAX_CANDIDATES else None
-    return None
-
-
 def index_ranges(
     ranges: DataFrame, max_broadcast_bytes: int = MAX_BROADCAST_BYTES, on_overlap: str = "narrowest"
 ) -> RangeIndex:
@@ -146,9 +129,31 @@ def index_ranges(
         raise ValueError(f"on_overlap must be 'narrowest' or 'error', not {on_overlap!r}")
     ranges = ranges.select("lo", "hi", "geo")
     _check_bounds(ranges)
-    crowded = overlapping_buckets(ranges)
-    if crowded.take(1):
+
+    def measure(pieces: DataFrame):
+        return _bucket_profile(pieces).agg(
+            F.coalesce(F.sum("size"), F.lit(0)).alias("size"),
+            F.coalesce(F.max("n"), F.lit(0)).alias("fullest"),
+            F.coalesce(F.bool_or("crosses"), F.lit(False)).alias("crosses"),
+        ).first()
+
+    pieces = cut_at_buckets(ranges, BUCKET_BITS)
+    found = measure(pieces)
+    if found["crosses"]:
         if on_overlap == "error":
             raise ValueError("IP ranges overlap")
-        ranges = keep_narrowest(ranges, crowded)
-    return RangeIndex(ranges, _broadcast_shift(ranges, max_broadcast_bytes))
+        crossing = _bucket_profile(pieces).where("crosses").select("bucket")
+        ranges = keep_narrowest(ranges, crossing)
+        pieces = cut_at_buckets(ranges, BUCKET_BITS)
+        found = measure(pieces)
+
+    if found["size"] > max_broadcast_bytes:
+        return RangeIndex(ranges)
+    if found["fullest"] <= CROWDED:
+        return RangeIndex(ranges, pieces)
+    crowded = _bucket_profile(pieces).where(F.col("n") > CROWDED).select("bucket")
+    coarse = pieces.join(crowded, "bucket", "left_anti")
+    fine = cut_at_buckets(pieces.join(crowded, "bucket", "left_semi"), FINE_BITS)
+    if found["size"] + measure(fine)["size"] > max_broadcast_bytes:
+        return RangeIndex(ranges)
+    return RangeIndex(ranges, coarse, fine)

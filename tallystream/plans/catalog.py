@@ -132,7 +132,7 @@ def ip_enrich(spark, sf_dir):
 def ip_enrich_sorted(spark, sf_dir):
     """The form for range tables too large to broadcast, on the same ranges."""
     users = inputs.decoded_users(spark, sf_dir)
-    return _flat_geo(enrich.ip_enrich(users, RangeIndex(inputs.ip_ranges(spark, sf_dir), None)))
+    return _flat_geo(enrich.ip_enrich(users, RangeIndex(inputs.ip_ranges(spark, sf_dir))))
 
 
 def network_of(addresses: pd.Series) -> pd.DataFrame:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -40,6 +41,36 @@ def _require(**names: str) -> None:
         raise ValueError(f"missing parameters: {', '.join(missing)}")
 
 
+def _results(
+    decoded: DataFrame, base: DataFrame, ranges: RangeIndex | None, lookup: enrich.Lookup | None
+) -> dict[str, DataFrame]:
+    """The outputs of one micro-batch by folder."""
+    good = msg.accepted(decoded)
+    by_country = metrics.roll_up(base, KEYS, "country")
+    total = metrics.roll_up(base, KEYS).select(*KEYS, F.lit("message_total").alias("label"), "n")
+    results = {
+        RAW: decoded.select(*KEYS, "key", "value"),
+        COUNTRY: metrics.ranked(by_country, "country", KEYS).orderBy("rk"),
+        USERS: metrics.unique_users(good, KEYS).unionByName(total),
+        GENDER: metrics.roll_up(base, KEYS, "gender"),
+        QUARANTINE: msg.rejected(decoded).select(*KEYS, "value", "reason"),
+    }
+    if ranges is not None:
+        results[IP] = enrich.ip_rows(enrich.ip_enrich(good, ranges), KEYS)
+    elif lookup is not None:
+        results[IP] = enrich.ip_rows(enrich.lookup_enrich(good, lookup), KEYS)
+    return results
+
+
+def _at_once(spark: SparkSession, write: Callable[[str], None], names: list[str]) -> None:
+    """Runs the writes side by side: most are small and would leave the cluster idle.
+    The first failure is raised after all have ended."""
+    target = inheritable_thread_target(spark)(write)
+    with ThreadPoolExecutor(max_workers=len(names)) as pool:
+        for done in [pool.submit(target, name) for name in names]:
+            done.result()
+
+
 def run_metrics(
     messages: DataFrame,
     out: str,
@@ -70,24 +101,14 @@ def run_metrics(
         batch.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
         decoded = msg.decode(batch.withColumn("batch_id", F.lit(batch_id)), required, on_bad)
         decoded.persist(StorageLevel.MEMORY_AND_DISK)
-        good = msg.accepted(decoded)
-        base = metrics.country_gender_base(good, KEYS).persist()
+        base = metrics.country_gender_base(msg.accepted(decoded), KEYS).persist()
+        results = _results(decoded, base, ranges, lookup)
 
-        def save(df: DataFrame, metric: str) -> None:
-            sinks.write_batch(df.drop("batch_id"), out, topic, metric, batch_id, fmt)
+        def save(metric: str) -> None:
+            sinks.write_batch(results[metric].drop("batch_id"), out, topic, metric, batch_id, fmt)
 
         try:
-            save(decoded.select("batch_id", "batch_time", "key", "value"), RAW)
-            by_country = metrics.roll_up(base, KEYS, "country")
-            save(metrics.ranked(by_country, "country", KEYS).orderBy("rk"), COUNTRY)
-            total = metrics.roll_up(base, KEYS).select(*KEYS, F.lit("message_total").alias("label"), "n")
-            save(metrics.unique_users(good, KEYS).unionByName(total), USERS)
-            save(metrics.roll_up(base, KEYS, "gender"), GENDER)
-            if ranges is not None:
-                save(enrich.ip_rows(enrich.ip_enrich(good, ranges), KEYS), IP)
-            elif lookup is not None:
-                save(enrich.ip_rows(enrich.lookup_enrich(good, lookup), KEYS), IP)
-            save(msg.rejected(decoded).select(*KEYS, "value", "reason"), QUARANTINE)
+            _at_once(batch.sparkSession, save, list(results))
         finally:
             base.unpersist()
             decoded.unpersist()
@@ -117,12 +138,18 @@ def run_landing(
 
 
 def run_print(
-    messages: DataFrame, topic: str, seconds=10, *, checkpoint: str | None = None, available_now: bool = False
+    messages: DataFrame,
+    topic: str,
+    seconds=10,
+    *,
+    rows: int = 1000,
+    checkpoint: str | None = None,
+    available_now: bool = False,
 ) -> StreamingQuery:
-    """Prints the decoded messages."""
+    """Prints the decoded messages, for a look at a topic. Landing keeps all of them."""
     decoded = msg.decode(msg.to_envelope(messages), required=())
-    rows = decoded.select("value", *FIELDS, "reason")
-    return _start(sinks.console_writer(rows), f"print-{topic}", checkpoint, seconds, available_now)
+    shown = decoded.select("value", *FIELDS, "reason")
+    return _start(sinks.console_writer(shown, rows), f"print-{topic}", checkpoint, seconds, available_now)
 
 
 def run_publish(

@@ -8,8 +8,11 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from tallystream.sources import kafka
 
-# Doubled quotes instead of backslashes: JSON text is full of both.
-CSV_OPTIONS = {"escape": '"'}
+# JSON text is full of quotes and backslashes, so quotes are doubled instead of
+# escaped; and spaces at the ends are part of a message.
+CSV_OPTIONS = {
+    "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+}
 
 
 def metric_path(out: str, topic: str, metric: str) -> str:
@@ -39,8 +42,10 @@ def landing_writer(messages: DataFrame, fmt: str) -> DataStreamWriter:
     return writer.options(**CSV_OPTIONS) if fmt == "csv" else writer
 
 
-def console_writer(messages: DataFrame) -> DataStreamWriter:
-    return messages.writeStream.format("console").option("truncate", "false").outputMode("append")
+def console_writer(messages: DataFrame, rows: int) -> DataStreamWriter:
+    """Shows the first ``rows`` of every micro-batch; they pass through the driver."""
+    writer = messages.writeStream.format("console").outputMode("append")
+    return writer.options(truncate="false", numRows=rows)
 
 
 def publish(messages: DataFrame, broker: str, topic: str) -> None:

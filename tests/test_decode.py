@@ -1,0 +1,149 @@
+"""Accept and reject rules against a strict JSON decoder."""
+
+from __future__ import annotations
+
+import json
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from tallystream.operators import messages as msg
+from tallystream.schema import FIELDS
+
+MESSAGES = "id int, key string, value string"
+
+
+def decode(spark, values, **kw):
+    df = spark.createDataFrame([(i, None, v) for i, v in enumerate(values)], MESSAGES)
+    rows = msg.decode(df, **kw).collect()
+    return [r for r in sorted(rows, key=lambda r: r["id"])]
+
+
+EDGE = [
+    ('{"email":"a@x","country":"PE","gender":"Male","ip_address":"1.2.3.4"}', None, "PE"),
+    ('{"country":null}', None, None),
+    ('{"email":"a@x"}', "missing:country", None),
+    ('{"Country":"X"}', "missing:country", None),
+    ("{}", "missing:country", None),
+    ("{not json", "malformed", None),
+    ('{"country":"T"', "malformed", None),
+    ('{"country":"T",}', "malformed", None),
+    ('{country:"U"}', "malformed", None),
+    ("{'country':'Q'}", "malformed", None),
+    ("[1,2]", "malformed", None),
+    ('"s"', "malformed", None),
+    ("null", "malformed", None),
+    ("", "malformed", None),
+    ("   ", "malformed", None),
+    (None, "malformed", None),
+    ('﻿{"country":"B"}', "malformed", None),
+    ('{"country":"a\nb"}', "malformed", None),
+    ('{"country":01}', "malformed", None),
+    ('{"country":"A","country":"B"}', None, "B"),
+    ('{"country":5}', None, "5"),
+    ('{"x":NaN,"country":"C"}', None, "C"),
+    ('{"x":NaN,"country":null}', None, None),
+    ('{"x":{"country":"inner"},"country":"outer"}', None, "outer"),
+    ('{"x":{"country":"inner"}}', "missing:country", None),
+    ('{"x":"} {","country":"D"}', None, "D"),
+    (' {"country":"E"} \n', None, "E"),
+    ('{"country":"A"} zz', "malformed", None),
+    ('{"country":"A"} {"country":"B"}', "malformed", None),
+    ('{"country":"A"}]', "malformed", None),
+    ('{"country":"A"}] {}', "malformed", None),
+    ('{"country":"A"}}', "malformed", None),
+    ('{"country":"A"}} {"b":{}', "malformed", None),
+    ('{"country":"A"}, {"country":"B"}', "malformed", None),
+    ('{"country":"A"}, "v":{"b":1}', "malformed", None),
+    ('{"country":"Per\\u00fa"}', None, "Perú"),
+]
+
+
+def test_edge_messages(spark):
+    rows = decode(spark, [v for v, _, _ in EDGE], required=["country"])
+    got = [(r["value"], r["reason"], None if r["reason"] else r["country"]) for r in rows]
+    assert got == EDGE
+
+
+def test_all_fields_required_by_default(spark):
+    rows = decode(spark, ['{"email":"a","country":"b","gender":"c"}', '{"gender":null,"country":"b"}'])
+    assert [r["reason"] for r in rows] == ["missing:ip_address", "missing:email"]
+
+
+def test_nothing_required(spark):
+    rows = decode(spark, ["{}", "{"], required=())
+    assert [r["reason"] for r in rows] == [None, "malformed"]
+
+
+def test_invalid_utf8(spark):
+    df = spark.createDataFrame([(None, b'{"country":"\xff"}')], "key binary, value binary")
+    assert msg.decode(msg.to_envelope(df), ["country"]).first()["reason"] == "malformed"
+
+
+def expected_reason(text: str) -> str | None:
+    try:
+        record = json.loads(text)
+    except ValueError:
+        return "malformed"
+    if not isinstance(record, dict):
+        return "malformed"
+    return next((f"missing:{f}" for f in FIELDS if f not in record), None)
+
+
+scalars = st.none() | st.booleans() | st.integers(-9, 99) | st.text("ab{}[]\",: \\é", max_size=5)
+records = st.dictionaries(
+    st.sampled_from([*FIELDS, "x"]), scalars | st.lists(scalars, max_size=2), max_size=5
+)
+garbage = st.sampled_from(["", "", "", " ", "}", "]", " {}", ',"v":1', "\n", "x"])
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(st.tuples(records, garbage, st.integers(0, 12)), min_size=20, max_size=60))
+def test_reason_agrees_with_json_module(spark, cases):
+    texts = []
+    for record, tail, cut in cases:
+        text = json.dumps({"email": 1, "gender": 1, **record} if cut % 2 else record, ensure_ascii=False)
+        texts.append((text[: len(text) - cut] if cut > 9 else text) + tail)
+    rows = decode(spark, texts)
+    assert [(r["value"], r["reason"]) for r in rows] == [(t, expected_reason(t)) for t in texts]
+
+
+def test_split_keeps_every_message(spark):
+    values = [v for v, _, _ in EDGE]
+    df = spark.createDataFrame([(i, None, v) for i, v in enumerate(values)], MESSAGES)
+    decoded = msg.decode(df, ["country"])
+    good, bad = msg.accepted(decoded), msg.rejected(decoded)
+    assert good.count() + bad.count() == len(values)
+    assert bad.columns == ["id", "key", "value", "reason"]
+
+
+def test_on_bad_fail(spark):
+    df = spark.createDataFrame([(0, None, '{"email":"a@x"}')], MESSAGES)
+    with pytest.raises(PySparkException, match="missing:country"):
+        msg.decode(df, ["country"], on_bad="fail").agg(F.count("*")).collect()
+    good = spark.createDataFrame([(0, None, '{"country":null}')], MESSAGES)
+    assert msg.decode(good, ["country"], on_bad="fail").count() == 1
+
+
+def test_bad_arguments(spark):
+    df = spark.createDataFrame([], MESSAGES)
+    with pytest.raises(ValueError):
+        msg.decode(df, on_bad="ignore")
+    with pytest.raises(ValueError):
+        msg.decode(df, required=["age"])
+
+
+def test_encode_keeps_null(spark):
+    df = spark.createDataFrame([("a", None)], "email string, gender string")
+    assert msg.encode(df).first()["value"] == '{"email":"a","gender":null}'
+
+
+def test_json_is_parsed_once(spark):
+    """A filter on the outcome must not bring a second parse below the projection."""
+    df = spark.createDataFrame([(0, None, "{}")], MESSAGES)
+    plan = msg.accepted(msg.decode(df)).groupBy("country").count()
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("StructField(email") == 1

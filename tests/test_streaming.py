@@ -1,0 +1,241 @@
+"""The streaming jobs on message files: outputs, restart, formats and checks."""
+
+from __future__ import annotations
+
+import json
+import os
+import time
+
+import pandas as pd
+import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+
+from tallystream.operators import messages as msg, metrics
+from tallystream.plans import inputs
+from tallystream.sources import files, kafka
+from tallystream.streaming import cli, jobs, sinks
+
+PARTS = 3
+
+
+@pytest.fixture()
+def topic_dir(spark, sf_dir, tmp_path):
+    """The messages in a few JSON Lines files, read one per micro-batch."""
+    path = str(tmp_path / "topic")
+    messages = msg.to_envelope(inputs.flawed_messages(spark, sf_dir))
+    messages.repartition(PARTS, "key").write.json(path)
+    return path
+
+
+def run(spark, topic_dir, out, **kw):
+    stream = files.file_stream(spark, topic_dir, max_files=1)
+    query = jobs.run_metrics(stream, out, "users", available_now=True, **kw)
+    query.awaitTermination()
+    return query
+
+
+def read(spark, out, metric):
+    return spark.read.parquet(f"{out}/users/{metric}")
+
+
+def as_set(df, *columns):
+    rows = [tuple(r) for r in df.select(*columns).collect()]
+    assert len(rows) == len(set(rows))
+    return set(rows)
+
+
+def expected_good(spark, sf_dir):
+    return msg.accepted(msg.decode(msg.to_envelope(inputs.flawed_messages(spark, sf_dir))))
+
+
+def test_batches_add_up(spark, sf_dir, topic_dir, tmp_path):
+    out = str(tmp_path / "out")
+    query = run(spark, topic_dir, out, ranges=inputs.ip_ranges(spark, sf_dir))
+    good = expected_good(spark, sf_dir)
+    total = inputs.table(spark, sf_dir, "events").count()
+
+    raw = read(spark, out, jobs.RAW)
+    assert raw.count() == total
+    assert raw.select("batch_id").distinct().count() == PARTS
+    assert raw.select("batch_id", "batch_time").distinct().count() == PARTS
+
+    for metric, group in ((jobs.COUNTRY, "country"), (jobs.GENDER, "gender")):
+        summed = read(spark, out, metric).groupBy(group).agg(F.sum("n"))
+        assert as_set(summed, "*") == as_set(good.groupBy(group).count(), "*")
+
+    users = read(spark, out, jobs.USERS)
+    totals = {r["batch_id"]: r["n"] for r in users.where("label = 'message_total'").collect()}
+    distinct = {r["batch_id"]: r["n"] for r in users.where("label = 'unique_users'").collect()}
+    assert sum(totals.values()) == good.count()
+    per_batch = read(spark, out, jobs.IP).groupBy("batch_id").agg(
+        F.count("*").alias("rows"), F.count_distinct("email").alias("emails")
+    ).collect()
+    assert {r["batch_id"]: r["rows"] for r in per_batch} == totals
+    assert {r["batch_id"]: r["emails"] for r in per_batch} == distinct
+    assert all(distinct[b] <= totals[b] for b in totals)
+    assert read(spark, out, jobs.QUARANTINE).count() == total - good.count()
+
+    seen = jobs.progress(spark, query).where("input_rows > 0").agg(F.sum("input_rows")).first()[0]
+    assert seen == total
+
+
+def test_country_is_ordered_in_each_batch(spark, topic_dir, tmp_path):
+    out = str(tmp_path / "out")
+    run(spark, topic_dir, out)
+    assert not os.path.exists(f"{out}/users/{jobs.IP}")
+    for b in range(PARTS):
+        rows = spark.read.parquet(f"{out}/users/{jobs.COUNTRY}/batch_id={b}").orderBy("rk").collect()
+        assert [r["rk"] for r in rows] == list(range(1, len(rows) + 1))
+        assert [r["n"] for r in rows] == sorted((r["n"] for r in rows), reverse=True)
+
+
+def test_one_batch_equals_batch_result(spark, sf_dir, topic_dir, tmp_path):
+    out = str(tmp_path / "out")
+    stream = files.file_stream(spark, topic_dir)
+    jobs.run_metrics(stream, out, "users", available_now=True).awaitTermination()
+    got = read(spark, out, jobs.USERS).where("label = 'unique_users'").select("n").collect()
+    assert [r["n"] for r in got] == [metrics.unique_users(expected_good(spark, sf_dir), ()).first()["n"]]
+
+
+def test_restart_repeats_a_batch_without_change(spark, sf_dir, topic_dir, tmp_path):
+    out = str(tmp_path / "out")
+    names = [jobs.RAW, jobs.COUNTRY, jobs.USERS, jobs.GENDER, jobs.IP, jobs.QUARANTINE]
+
+    def state():
+        return {m: sorted(map(str, read(spark, out, m).collect())) for m in names}
+
+    ranges = inputs.ip_ranges(spark, sf_dir)
+    run(spark, topic_dir, out, ranges=ranges)
+    before = state()
+    commits = tmp_path / "out/users/checkpoints/metrics/commits"
+    (commits / str(PARTS - 1)).unlink()
+    (commits / f".{PARTS - 1}.crc").unlink(missing_ok=True)
+    time.sleep(0.01)
+    query = run(spark, topic_dir, out, ranges=ranges)
+    assert [p["batchId"] for p in query.recentProgress if p["numInputRows"]] == [PARTS - 1]
+    assert state() == before
+
+
+def test_resume_reads_only_new_files(spark, topic_dir, tmp_path):
+    out = str(tmp_path / "out")
+    run(spark, topic_dir, out)
+    count = read(spark, out, jobs.RAW).count()
+    with open(f"{topic_dir}/later.json", "w") as f:
+        f.write('{"value":"{}"}\n')
+    run(spark, topic_dir, out)
+    raw = read(spark, out, jobs.RAW)
+    assert raw.count() == count + 1
+    assert raw.where(F.col("batch_id") == PARTS).count() == 1
+
+
+def test_lookup_in_a_stream(spark, sf_dir, topic_dir, tmp_path):
+    out = str(tmp_path / "out")
+    run(spark, topic_dir, out, lookup=lambda ips: pd.DataFrame({"city": "at " + ips}))
+    ip = read(spark, out, jobs.IP)
+    assert ip.count() == expected_good(spark, sf_dir).count()
+    assert ip.where(F.col("geo.city") != F.concat(F.lit("at "), "ip_address")).count() == 0
+
+
+def test_text_output(spark, topic_dir, tmp_path):
+    out = str(tmp_path / "out")
+    run(spark, topic_dir, out, fmt="text")
+    line = spark.read.text(f"{out}/users/{jobs.GENDER}").first()["value"]
+    assert set(json.loads(line)) == {"batch_time", "gender", "n"}
+
+
+def test_bad_message_ends_the_stream_on_request(spark, topic_dir, tmp_path):
+    with pytest.raises(StreamingQueryException, match="bad message"):
+        run(spark, topic_dir, str(tmp_path / "out"), on_bad="fail")
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "orc", "json", "csv", "text"])
+def test_landing_keeps_awkward_text(spark, tmp_path, fmt):
+    values = ['{"a":"x,\\"y\\""}', "not json", '"', "a\\", " lead", '\\"', "ü"]
+    path = str(tmp_path / "in")
+    df = spark.createDataFrame([(None, v) for v in values], "key string, value string")
+    df.coalesce(1).write.json(path)
+    out = str(tmp_path / "out")
+    stream = files.file_stream(spark, path)
+    jobs.run_landing(stream, out, "t", fmt=fmt, available_now=True).awaitTermination()
+    folder = f"{out}/t/raw_data_df/{fmt}"
+    reader = spark.read.format(fmt)
+    if fmt != "text":
+        reader = reader.schema("key string, value string")
+    if fmt == "csv":
+        reader = reader.options(**sinks.CSV_OPTIONS)
+    assert sorted(r["value"] for r in reader.load(folder).collect()) == sorted(values)
+
+
+def test_formats_do_not_share_state(spark, topic_dir, tmp_path):
+    out = str(tmp_path / "out")
+    for fmt in ("json", "orc"):
+        stream = files.file_stream(spark, topic_dir)
+        jobs.run_landing(stream, out, "t", fmt=fmt, available_now=True).awaitTermination()
+    schema = "key string, value string"
+    counts = {f: spark.read.schema(schema).format(f).load(f"{out}/t/raw_data_df/{f}").count() for f in ("json", "orc")}
+    assert counts["json"] == counts["orc"] > 0
+
+
+def test_print(spark, sf_dir, topic_dir):
+    query = jobs.run_print(files.file_stream(spark, topic_dir), "t", rows=3, available_now=True)
+    query.awaitTermination()
+    last = query.lastProgress
+    assert "Console" in last["sink"]["description"]
+    assert last["numInputRows"] == inputs.table(spark, sf_dir, "events").count()
+
+
+def test_kafka_options():
+    assert kafka.read_options("b:1", "t") == {
+        "kafka.bootstrap.servers": "b:1", "subscribe": "t", "startingOffsets": "earliest",
+    }
+    more = kafka.read_options("b:1", "t", "latest", max_offsets=5, min_partitions=7)
+    assert (more["startingOffsets"], more["maxOffsetsPerTrigger"], more["minPartitions"]) == ("latest", "5", "7")
+    assert kafka.write_options("b:1", "t") == {"kafka.bootstrap.servers": "b:1", "topic": "t"}
+    for bad in (("", "t"), ("b", "")):
+        with pytest.raises(ValueError):
+            kafka.read_options(*bad)
+        with pytest.raises(ValueError):
+            kafka.write_options(*bad)
+
+
+def test_parameters_are_checked(spark, topic_dir, tmp_path):
+    stream = files.file_stream(spark, topic_dir)
+    with pytest.raises(ValueError, match="out"):
+        jobs.run_metrics(stream, "", "t")
+    with pytest.raises(ValueError, match="topic"):
+        jobs.run_landing(stream, str(tmp_path), "")
+    for bad in ("0", "-1", "ten", None):
+        with pytest.raises(ValueError, match="window length"):
+            jobs.run_landing(stream, str(tmp_path), "t", seconds=bad)
+
+
+@pytest.mark.parametrize("argv, message", [
+    (["metrics", "--topic", "t"], "metrics needs: out, broker or files"),
+    (["landing", "--topic", "t", "--out", "o"], "broker or files"),
+    (["publish", "--topic", "t", "--files", "f"], "publish needs: broker, checkpoint"),
+    (["send", "--topic", "t", "--broker", "b"], "send needs: files"),
+])
+def test_command_line_is_checked(spark, argv, message):
+    with pytest.raises(ValueError, match=message):
+        cli.main(argv, spark)
+
+
+def test_command_line_runs_jobs(spark, sf_dir, topic_dir, tmp_path):
+    ranges = str(tmp_path / "ranges")
+    inputs.ip_ranges(spark, sf_dir).write.parquet(ranges)
+    out = str(tmp_path / "out")
+    common = ["--topic", "users", "--files", topic_dir, "--out", out, "--available-now"]
+    cli.main(["metrics", *common, "--ranges", ranges, "--max-files", "2"], spark)
+    assert read(spark, out, jobs.IP).count() == expected_good(spark, sf_dir).count()
+    cli.main(["landing", *common, "--format", "csv"], spark)
+    assert os.path.exists(f"{out}/users/raw_data_df/csv/_spark_metadata")
+
+
+def test_failure_is_raised(spark, tmp_path):
+    topic = tmp_path / "topic"
+    topic.mkdir()
+    (topic / "a.json").write_text('{"value":"{"}\n')
+    with pytest.raises(StreamingQueryException):
+        cli.main(["metrics", "--topic", "t", "--files", str(topic), "--out", str(tmp_path / "o"),
+                  "--on-bad", "fail", "--available-now"], spark)

@@ -77,24 +77,30 @@ def _bucket_profile(pieces: DataFrame) -> DataFrame:
     )
 
 
-def _sweep(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Disjoint pieces of one bucket, each given to its narrowest range."""
-    pdf = pdf.sort_values("lo", kind="stable")
-    lo, hi, width = pdf["lo"].to_numpy(), pdf["hi"].to_numpy(), pdf["width"].to_numpy()
-    edges = sorted(set(lo.tolist()) | set((hi + 1).tolist()))
-    active, begun, pieces = [], 0, []
-    for start, end in zip(edges, edges[1:]):
-        while begun < len(lo) and lo[begun] <= start:
-            heapq.heappush(active, (width[begun], begun))
-            begun += 1
-        while active and hi[active[0][1]] < start:
-            heapq.heappop(active)
-        if active:
-            pieces.append((start, end - 1, active[0][1]))
-    chosen = pdf.iloc[[p[2] for p in pieces]].reset_index(drop=True)
-    chosen["lo"] = [p[0] for p in pieces]
-    chosen["hi"] = [p[1] for p in pieces]
-    return chosen[["lo", "hi", *GEO_FIELDS]]
+def _sweeper():
+    """The task function, nested so that it travels to executors by value."""
+    geo_fields = list(GEO_FIELDS)
+
+    def sweep(pdf: pd.DataFrame) -> pd.DataFrame:
+        """Disjoint pieces of one bucket, each given to its narrowest range."""
+        pdf = pdf.sort_values("lo", kind="stable")
+        lo, hi, width = pdf["lo"].to_numpy(), pdf["hi"].to_numpy(), pdf["width"].to_numpy()
+        edges = sorted(set(lo.tolist()) | set((hi + 1).tolist()))
+        active, begun, pieces = [], 0, []
+        for start, end in zip(edges, edges[1:]):
+            while begun < len(lo) and lo[begun] <= start:
+                heapq.heappush(active, (width[begun], begun))
+                begun += 1
+            while active and hi[active[0][1]] < start:
+                heapq.heappop(active)
+            if active:
+                pieces.append((start, end - 1, active[0][1]))
+        chosen = pdf.iloc[[p[2] for p in pieces]].reset_index(drop=True)
+        chosen["lo"] = [p[0] for p in pieces]
+        chosen["hi"] = [p[1] for p in pieces]
+        return chosen[["lo", "hi", *geo_fields]]
+
+    return sweep
 
 
 def keep_narrowest(ranges: DataFrame, crossing: DataFrame) -> DataFrame:
@@ -111,7 +117,7 @@ def keep_narrowest(ranges: DataFrame, crossing: DataFrame) -> DataFrame:
         .select("bucket", "lo", "hi", "width", "geo.*")
         .groupBy("bucket")
         .applyInPandas(
-            _sweep, T.StructType([*RANGE_SCHEMA.fields[:2], *GEO_STRUCT.fields])
+            _sweeper(), T.StructType([*RANGE_SCHEMA.fields[:2], *GEO_STRUCT.fields])
         )
         .select("lo", "hi", F.struct(*GEO_FIELDS).alias("geo"))
     )

@@ -27,6 +27,9 @@ REPLAY_START = datetime(2024, 1, 1)
 REPLAY_SECONDS = 2
 REPLAY_WINDOW = 10
 
+# Files per micro-batch: with files of the usual 128 MB some 100 GB are kept at a time.
+MAX_FILES = 1000
+
 
 def _ids(df: DataFrame) -> DataFrame:
     """Event id and time from the envelope, beside the user fields."""
@@ -135,12 +138,12 @@ def ip_enrich_sorted(spark, sf_dir):
     return _flat_geo(enrich.ip_enrich(users, RangeIndex(inputs.ip_ranges(spark, sf_dir))))
 
 
-def network_of(addresses: pd.Series) -> pd.DataFrame:
+def lookup_enrich(spark, sf_dir):
     """A lookup without a service: names the /8 network of an address."""
-    return pd.DataFrame({"hostname": "net-" + addresses.str.split(".").str[0]})
 
+    def network_of(addresses: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame({"hostname": "net-" + addresses.str.split(".").str[0]})
 
-def lookup_enrich(spark, sf_dir):
     return _flat_geo(enrich.lookup_enrich(inputs.decoded_users(spark, sf_dir), network_of))
 
 
@@ -168,10 +171,12 @@ def replay_windows(spark, sf_dir):
 
 # Streams. The messages are written once as files, which stand for the topic.
 
-def _topic_stream(spark: SparkSession, messages: DataFrame, name: str) -> DataFrame:
+def _topic_stream(
+    spark: SparkSession, messages: DataFrame, name: str, max_files: int | None = MAX_FILES
+) -> DataFrame:
     path = new_folder(spark, f"{name}-topic")
     inputs.write_topic_files(messages, path)
-    return files.file_stream(spark, path, fmt="parquet")
+    return files.file_stream(spark, path, fmt="parquet", max_files=max_files)
 
 
 def microbatch_metrics(spark, sf_dir):
@@ -221,8 +226,12 @@ def _landing(fmt: str) -> Query:
 
 
 def chained_unique_users(spark, sf_dir):
-    """Distinct users as a stream; the last day stays open until later messages come."""
-    stream = _topic_stream(spark, inputs.topic_messages(spark, sf_dir), "unique")
+    """Distinct users as a stream; the last day stays open until later messages come.
+
+    The files are in no order of time, so one trigger takes them all: between
+    triggers the watermark would shut out the messages of earlier days.
+    """
+    stream = _topic_stream(spark, inputs.topic_messages(spark, sf_dir), "unique", max_files=None)
     good = msg.accepted(msg.decode(stream))
     out = new_folder(spark, "unique-out")
     result = metrics.chained_unique_users(good, "timestamp", DAY, "0 seconds")

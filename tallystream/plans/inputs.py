@@ -80,8 +80,11 @@ def decoded_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return msg.accepted(msg.decode(msg.to_envelope(topic_messages(spark, sf_dir))))
 
 
+UNMAPPED_REGION = 4
+
+
 def ip_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A block of four /8 networks per nation, every fifth nation left out."""
+    """A block of four /8 networks per nation; the nations of one region have none."""
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
     key = F.col("n_nationkey")
@@ -95,7 +98,7 @@ def ip_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     geo = F.struct(*(place.get(f, F.lit(None).cast("string")).alias(f) for f in GEO_FIELDS))
     return (
         nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-        .where(key % 5 != 4)
+        .where(F.col("r_regionkey") != UNMAPPED_REGION)
         .select(first.alias("lo"), (first + 4 * (1 << 24) - 1).alias("hi"), geo.alias("geo"))
     )
 

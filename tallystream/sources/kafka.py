@@ -11,12 +11,14 @@ def read_options(
     starting: str = "earliest",
     max_offsets: int | None = None,
     min_partitions: int | None = None,
+    max_per_task: int | None = 1_000_000,
 ) -> dict[str, str]:
     """``starting`` counts at the first start only; later the checkpoint decides.
 
     ``max_offsets`` bounds a micro-batch, so that a backlog does not land in the
     first window whole. ``min_partitions`` splits topic partitions further when
-    the topic has fewer of them than the job has cores.
+    the topic has fewer of them than the job has cores, and ``max_per_task``
+    splits a topic partition that holds most of the messages.
     """
     if not broker or not topic:
         raise ValueError("broker and topic are required")
@@ -25,6 +27,8 @@ def read_options(
         options["maxOffsetsPerTrigger"] = str(max_offsets)
     if min_partitions is not None:
         options["minPartitions"] = str(min_partitions)
+    if max_per_task is not None:
+        options["maxRecordsPerPartition"] = str(max_per_task)
     return options
 
 

@@ -93,12 +93,15 @@ def run_metrics(
     _require(out=out, topic=topic)
     if isinstance(ranges, DataFrame):
         ranges = index_ranges(ranges)
-    stamped = msg.to_envelope(messages).withColumn("batch_time", F.current_timestamp())
+    pairs = msg.raw_pairs(msg.to_envelope(messages))
+    stamped = pairs.withColumn("batch_time", F.current_timestamp())
 
     def write(batch: DataFrame, batch_id: int) -> None:
         # Streams switch adaptive execution off; a batch is a plain table and
         # wants it for skewed joins and small shuffles.
-        batch.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
+        conf = batch.sparkSession.conf
+        adaptive = conf.get("spark.sql.adaptive.enabled")
+        conf.set("spark.sql.adaptive.enabled", "true")
         decoded = msg.decode(batch.withColumn("batch_id", F.lit(batch_id)), required, on_bad)
         decoded.persist(StorageLevel.MEMORY_AND_DISK)
         base = metrics.country_gender_base(msg.accepted(decoded), KEYS).persist()
@@ -112,6 +115,7 @@ def run_metrics(
         finally:
             base.unpersist()
             decoded.unpersist()
+            conf.set("spark.sql.adaptive.enabled", adaptive)
 
     writer = stamped.writeStream.foreachBatch(write)
     place = checkpoint or sinks.metric_path(out, topic, "checkpoints/metrics")

@@ -12,6 +12,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tallystream.operators import messages as msg, metrics
+from tallystream.operators.ranges import RangeIndex
 from tallystream.plans import inputs
 from tallystream.sources import files, kafka
 from tallystream.streaming import cli, jobs, sinks
@@ -137,6 +138,30 @@ def test_lookup_in_a_stream(spark, sf_dir, topic_dir, tmp_path):
     assert ip.where(F.col("geo.city") != F.concat(F.lit("at "), "ip_address")).count() == 0
 
 
+def test_large_range_table_in_a_stream(spark, sf_dir, topic_dir, tmp_path):
+    """Ranges too large to broadcast give the same places."""
+    ranges = inputs.ip_ranges(spark, sf_dir)
+    places = {}
+    for name, index in (("broadcast", ranges), ("sorted", RangeIndex(ranges))):
+        out = str(tmp_path / name)
+        run(spark, topic_dir, out, ranges=index)
+        places[name] = sorted(map(str, read(spark, out, jobs.IP).drop("batch_time").collect()))
+    assert places["broadcast"] == places["sorted"]
+
+
+def test_batches_run_adaptively(spark, topic_dir, tmp_path, monkeypatch):
+    seen = []
+    plain = sinks.write_batch
+
+    def spy(df, *args):
+        seen.append(df.sparkSession.conf.get("spark.sql.adaptive.enabled"))
+        plain(df, *args)
+
+    monkeypatch.setattr(sinks, "write_batch", spy)
+    run(spark, topic_dir, str(tmp_path / "out"))
+    assert seen and set(seen) == {"true"}
+
+
 def test_text_output(spark, topic_dir, tmp_path):
     out = str(tmp_path / "out")
     run(spark, topic_dir, out, fmt="text")
@@ -188,6 +213,7 @@ def test_print(spark, sf_dir, topic_dir):
 def test_kafka_options():
     assert kafka.read_options("b:1", "t") == {
         "kafka.bootstrap.servers": "b:1", "subscribe": "t", "startingOffsets": "earliest",
+        "maxRecordsPerPartition": "1000000",
     }
     more = kafka.read_options("b:1", "t", "latest", max_offsets=5, min_partitions=7)
     assert (more["startingOffsets"], more["maxOffsetsPerTrigger"], more["minPartitions"]) == ("latest", "5", "7")

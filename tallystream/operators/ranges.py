@@ -14,13 +14,13 @@ from tallystream.schema import GEO_FIELDS, GEO_STRUCT, RANGE_SCHEMA
 
 MAX_IPV4 = (1 << 32) - 1
 
-# A bucket holds 2**16 addresses. Buckets with many ranges are cut again into
-# buckets of 2**8 addresses, which hold at most 256 disjoint ranges.
+# A bucket holds 2**16 addresses. Buckets with more than 256 ranges are cut again
+# into buckets of 2**8 addresses, which hold at most 256 disjoint ranges.
 BUCKET_BITS = 16
 FINE_BITS = 8
-CROWDED = 32
+CROWDED = 256
 
-MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 
 
 @dataclass(frozen=True)
@@ -40,10 +40,12 @@ class RangeIndex:
 def cut_at_buckets(ranges: DataFrame, shift: int) -> DataFrame:
     """One row per range and bucket of ``2**shift`` addresses, clipped to the bucket.
 
-    Disjoint ranges give at most one row per range and one per bucket in all.
+    Disjoint ranges give at most one row per range and one per bucket in all. A
+    row that is no IPv4 range comes out once, with a NULL bucket.
     """
-    first, last = F.shiftright("lo", shift), F.shiftright("hi", shift)
-    cut = ranges.withColumn("bucket", F.explode(F.sequence(first, last)))
+    valid = (F.col("lo") >= 0) & (F.col("lo") <= F.col("hi")) & (F.col("hi") <= MAX_IPV4)
+    buckets = F.when(valid, F.sequence(F.shiftright("lo", shift), F.shiftright("hi", shift)))
+    cut = ranges.withColumn("bucket", F.explode_outer(buckets))
     start = F.shiftleft("bucket", shift)
     return cut.select(
         "bucket",
@@ -54,13 +56,6 @@ def cut_at_buckets(ranges: DataFrame, shift: int) -> DataFrame:
     )
 
 
-def _check_bounds(ranges: DataFrame) -> None:
-    good = (F.col("lo") >= 0) & (F.col("lo") <= F.col("hi")) & (F.col("hi") <= MAX_IPV4)
-    bad = ranges.where(~F.coalesce(good, F.lit(False))).select("lo", "hi").take(1)
-    if bad:
-        raise ValueError(f"not an IPv4 range: {bad[0]['lo']}..{bad[0]['hi']}")
-
-
 def _bucket_profile(pieces: DataFrame) -> DataFrame:
     """Per bucket: its ranges, their size in memory, and whether one begins before
     an earlier one has ended."""
@@ -134,17 +129,19 @@ def index_ranges(
     if on_overlap not in ("narrowest", "error"):
         raise ValueError(f"on_overlap must be 'narrowest' or 'error', not {on_overlap!r}")
     ranges = ranges.select("lo", "hi", "geo")
-    _check_bounds(ranges)
 
     def measure(pieces: DataFrame):
         return _bucket_profile(pieces).agg(
             F.coalesce(F.sum("size"), F.lit(0)).alias("size"),
             F.coalesce(F.max("n"), F.lit(0)).alias("fullest"),
             F.coalesce(F.bool_or("crosses"), F.lit(False)).alias("crosses"),
+            F.coalesce(F.max(F.when(F.col("bucket").isNull(), F.col("n"))), F.lit(0)).alias("invalid"),
         ).first()
 
     pieces = cut_at_buckets(ranges, BUCKET_BITS)
     found = measure(pieces)
+    if found["invalid"]:
+        raise ValueError(f"{found['invalid']} rows are not an IPv4 range")
     if found["crosses"]:
         if on_overlap == "error":
             raise ValueError("IP ranges overlap")

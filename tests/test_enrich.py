@@ -114,8 +114,8 @@ def test_overlaps(spark):
 
 @pytest.mark.parametrize("lo, hi", [(5, 4), (-1, 3), (0, 1 << 32)])
 def test_bad_range(spark, lo, hi):
-    with pytest.raises(ValueError, match="not an IPv4 range"):
-        index_ranges(range_table(spark, [(lo, hi, "a")]))
+    with pytest.raises(ValueError, match="1 rows are not an IPv4 range"):
+        index_ranges(range_table(spark, [(lo, hi, "a"), (7, 8, "b")]))
 
 
 def test_lookup_asks_each_address_once(spark, tmp_path):

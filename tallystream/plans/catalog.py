@@ -188,13 +188,13 @@ def microbatch_metrics(spark, sf_dir):
     ).awaitTermination()
 
     def totals(metric: str, group, n=F.count("*")) -> DataFrame:
-        rows = spark.read.parquet(sinks.metric_path(out, topic, metric))
+        rows = spark.read.parquet(sinks.result_path(out, topic, metric))
         return rows.groupBy(group.alias("group_value")).agg(n.cast("bigint").alias("n")).select(
             F.lit(metric).alias("metric"), "group_value", "n"
         )
 
     none = F.lit(None).cast("string")
-    users = spark.read.parquet(sinks.metric_path(out, topic, jobs.USERS))
+    users = spark.read.parquet(sinks.result_path(out, topic, jobs.USERS))
     everyone = users.where("label = 'message_total'").select(
         F.lit(jobs.USERS).alias("metric"), F.col("label").alias("group_value"), "n"
     ).groupBy("metric", "group_value").agg(F.sum("n").alias("n"))
@@ -212,7 +212,7 @@ def _land(spark: SparkSession, sf_dir: str, fmt: str) -> DataFrame:
     stream = _topic_stream(spark, inputs.topic_messages(spark, sf_dir), f"landing-{fmt}")
     out, topic = new_folder(spark, f"landing-{fmt}-out"), "users"
     jobs.run_landing(stream, out, topic, fmt=fmt, available_now=True).awaitTermination()
-    path = sinks.metric_path(out, topic, f"raw_data_df/{fmt}")
+    path = sinks.result_path(out, topic, jobs.LANDED, fmt)
     if fmt == "text":
         return spark.read.text(path).select("value")
     reader = spark.read.schema("key string, value string").format(fmt)

@@ -15,19 +15,19 @@ from tallystream.operators.ranges import RangeIndex, index_ranges
 from tallystream.operators.windows import window_seconds
 from tallystream.schema import FIELDS
 from tallystream.streaming import sinks
+from tallystream.workspace import new_folder
 
 KEYS = ("batch_id", "batch_time")
 
 # The names of the result folders.
 RAW, COUNTRY, USERS, GENDER, IP = "raw_data", "count_of_country", "unique_user", "gender_count", "ip_data"
-QUARANTINE = "quarantine"
+QUARANTINE, LANDED = "quarantine", "raw_data_df"
 
 
 def _start(
-    writer: DataStreamWriter, name: str, checkpoint: str | None, seconds, available_now: bool
+    writer: DataStreamWriter, name: str, checkpoint: str, seconds, available_now: bool
 ) -> StreamingQuery:
-    if checkpoint is not None:
-        writer = writer.option("checkpointLocation", checkpoint)
+    writer = writer.option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
     else:
@@ -118,7 +118,7 @@ def run_metrics(
             conf.set("spark.sql.adaptive.enabled", adaptive)
 
     writer = stamped.writeStream.foreachBatch(write)
-    place = checkpoint or sinks.metric_path(out, topic, "checkpoints/metrics")
+    place = checkpoint or sinks.checkpoint_path(out, topic, "metrics", fmt)
     return _start(writer, f"metrics-{topic}", place, seconds, available_now)
 
 
@@ -132,12 +132,12 @@ def run_landing(
     checkpoint: str | None = None,
     available_now: bool = False,
 ) -> StreamingQuery:
-    """Lands key and value as they are. Folder and checkpoint carry the format, so
-    a change of format starts anew instead of mixing formats in one folder."""
+    """Lands key and value as they are. The checkpoint carries the format too, so a
+    change of format starts anew."""
     _require(out=out, topic=topic, fmt=fmt)
     writer = sinks.landing_writer(msg.to_envelope(messages), fmt)
-    writer = writer.option("path", sinks.metric_path(out, topic, f"raw_data_df/{fmt}"))
-    place = checkpoint or sinks.metric_path(out, topic, f"checkpoints/landing-{fmt}")
+    writer = writer.option("path", sinks.result_path(out, topic, LANDED, fmt))
+    place = checkpoint or sinks.checkpoint_path(out, topic, "landing", fmt)
     return _start(writer, f"landing-{topic}-{fmt}", place, seconds, available_now)
 
 
@@ -153,7 +153,8 @@ def run_print(
     """Prints the decoded messages, for a look at a topic. Landing keeps all of them."""
     decoded = msg.decode(msg.to_envelope(messages), required=())
     shown = decoded.select("value", *FIELDS, "reason")
-    return _start(sinks.console_writer(shown, rows), f"print-{topic}", checkpoint, seconds, available_now)
+    place = checkpoint or new_folder(messages.sparkSession, f"print-{topic}")
+    return _start(sinks.console_writer(shown, rows), f"print-{topic}", place, seconds, available_now)
 
 
 def run_publish(

@@ -15,8 +15,13 @@ CSV_OPTIONS = {
 }
 
 
-def metric_path(out: str, topic: str, metric: str) -> str:
-    return f"{out.rstrip('/')}/{topic}/{metric}"
+def result_path(out: str, topic: str, metric: str, fmt: str = "parquet") -> str:
+    """Formats have folders of their own, so no folder ever mixes them."""
+    return f"{out.rstrip('/')}/{topic}/{metric}/{fmt}"
+
+
+def checkpoint_path(out: str, topic: str, job: str, fmt: str) -> str:
+    return f"{out.rstrip('/')}/{topic}/checkpoints/{job}-{fmt}"
 
 
 def as_text(df: DataFrame) -> DataFrame:
@@ -32,7 +37,7 @@ def write_batch(
     writer = rows.write.mode("overwrite").format(fmt)
     if fmt == "csv":
         writer = writer.options(**CSV_OPTIONS)
-    writer.save(f"{metric_path(out, topic, metric)}/batch_id={batch_id}")
+    writer.save(f"{result_path(out, topic, metric, fmt)}/batch_id={batch_id}")
 
 
 def landing_writer(messages: DataFrame, fmt: str) -> DataStreamWriter:

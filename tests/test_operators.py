@@ -78,6 +78,29 @@ def test_counts_combine_before_the_shuffle(windowed):
         assert re.search(r"Exchange hashpartitioning.*\n.*partial_count", plan_of(metric(windowed)))
 
 
+def test_distinct_users_are_spread_by_user(windowed):
+    """The users of a window are counted in many tasks, not in the window's own."""
+    first = re.findall(r"Exchange hashpartitioning\((.*?)\)", plan_of(metrics.unique_users(windowed)))[1]
+    assert "email" in first
+
+
+def test_counts_run_on_a_stream(spark, sf_dir, tmp_path):
+    """Metric functions other than rank and distinct take streaming frames as well."""
+    path = str(tmp_path / "topic")
+    inputs.write_topic_files(inputs.topic_messages(spark, sf_dir), path)
+    good = msg.accepted(msg.decode(files.file_stream(spark, path, fmt="parquet")))
+    counts = metrics.country_count(assign_window(good, "timestamp", 86400))
+    query = (
+        counts.writeStream.format("memory").queryName("stream_counts").outputMode("complete")
+        .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    batch = assign_window(inputs.decoded_users(spark, sf_dir), "timestamp", 86400)
+    got = spark.table("stream_counts").withColumn("window_start", instant_to_ntz(F.col("window_start")))
+    expected = metrics.country_count(batch)
+    assert Counter(map(tuple, got.collect())) == Counter(map(tuple, expected.collect()))
+
+
 def test_all_metrics_expands_counts_not_messages(windowed):
     above, below = plan_of(metrics.all_metrics(windowed)).split("Expand")
     assert "partial_count" in below and "partial_count" not in above

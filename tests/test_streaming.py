@@ -37,7 +37,7 @@ def run(spark, topic_dir, out, **kw):
 
 
 def read(spark, out, metric):
-    return spark.read.parquet(f"{out}/users/{metric}")
+    return spark.read.parquet(sinks.result_path(out, "users", metric))
 
 
 def as_set(df, *columns):
@@ -86,7 +86,7 @@ def test_country_is_ordered_in_each_batch(spark, topic_dir, tmp_path):
     run(spark, topic_dir, out)
     assert not os.path.exists(f"{out}/users/{jobs.IP}")
     for b in range(PARTS):
-        rows = spark.read.parquet(f"{out}/users/{jobs.COUNTRY}/batch_id={b}").orderBy("rk").collect()
+        rows = spark.read.parquet(f"{out}/users/{jobs.COUNTRY}/parquet/batch_id={b}").orderBy("rk").collect()
         assert [r["rk"] for r in rows] == list(range(1, len(rows) + 1))
         assert [r["n"] for r in rows] == sorted((r["n"] for r in rows), reverse=True)
 
@@ -109,7 +109,7 @@ def test_restart_repeats_a_batch_without_change(spark, sf_dir, topic_dir, tmp_pa
     ranges = inputs.ip_ranges(spark, sf_dir)
     run(spark, topic_dir, out, ranges=ranges)
     before = state()
-    commits = tmp_path / "out/users/checkpoints/metrics/commits"
+    commits = tmp_path / "out/users/checkpoints/metrics-parquet/commits"
     (commits / str(PARTS - 1)).unlink()
     (commits / f".{PARTS - 1}.crc").unlink(missing_ok=True)
     time.sleep(0.01)
@@ -165,7 +165,7 @@ def test_batches_run_adaptively(spark, topic_dir, tmp_path, monkeypatch):
 def test_text_output(spark, topic_dir, tmp_path):
     out = str(tmp_path / "out")
     run(spark, topic_dir, out, fmt="text")
-    line = spark.read.text(f"{out}/users/{jobs.GENDER}").first()["value"]
+    line = spark.read.text(sinks.result_path(out, "users", jobs.GENDER, "text")).first()["value"]
     assert set(json.loads(line)) == {"batch_time", "gender", "n"}
 
 

@@ -43,7 +43,25 @@ def array_elements(texts: DataFrame, column: str = "value") -> DataFrame:
 def json_array(spark: SparkSession, path: str) -> DataFrame:
     """Files that each hold one JSON array: ``file, position, value``.
 
-    A file is parsed by one task, whatever its size; use JSON Lines for big inputs.
+    A file is parsed by one task, whatever its size. For big files there are
+    ``json_array_lines`` and ``json_lines``.
     """
     texts = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
     return array_elements(texts)
+
+
+def json_array_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Files that each hold one JSON array with every element on a line of its own:
+    ``file, block, line, value``, in this order.
+
+    Needs no look at the file as a whole, so large files are split between tasks.
+    A line that is not one whole element is left to decoding, which rejects it.
+    """
+    text = F.regexp_replace(F.trim(F.regexp_replace("value", r"\A\s*\[", "")), r"\s*[,\]]\s*\z", "")
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"),
+        text.alias("value"),
+    )
+    return lines.where(F.col("value") != "")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import importlib
 import logging
 import time
 from collections.abc import Sequence
@@ -10,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from tallystream.operators.enrich import Lookup
 from tallystream.schema import RANGE_SCHEMA
 from tallystream.sources import files
 from tallystream.sources.kafka import kafka_stream
@@ -30,6 +32,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--format", default="parquet", help="format of the results")
     p.add_argument("--checkpoint", help="folder of the query state (default: below --out)")
     p.add_argument("--ranges", help="parquet table of IP ranges (lo, hi, geo)")
+    p.add_argument("--lookup", help="module:function that gives place fields for a series of addresses")
     p.add_argument("--on-bad", default="quarantine", choices=["quarantine", "fail"])
     p.add_argument("--max-offsets", type=int, help="most messages of a topic per micro-batch")
     p.add_argument("--max-files", type=int, help="most files per micro-batch")
@@ -49,6 +52,16 @@ def check(args: argparse.Namespace) -> None:
         missing.append("broker or files")
     if missing:
         raise ValueError(f"{args.job} needs: {', '.join(missing)}")
+    if args.ranges and args.lookup:
+        raise ValueError("give --ranges or --lookup, not both")
+
+
+def function(name: str) -> Lookup:
+    """The function named ``module:function``; executors need the module too (--py-files)."""
+    module, _, attribute = name.partition(":")
+    if not attribute:
+        raise ValueError(f"not of the form module:function: {name!r}")
+    return getattr(importlib.import_module(module), attribute)
 
 
 def source(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
@@ -69,8 +82,10 @@ def start(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery | Non
     messages = source(spark, args)
     if args.job == "metrics":
         ranges = spark.read.schema(RANGE_SCHEMA).parquet(args.ranges) if args.ranges else None
+        lookup = function(args.lookup) if args.lookup else None
         return jobs.run_metrics(
-            messages, args.out, args.topic, ranges=ranges, on_bad=args.on_bad, fmt=args.format, **common
+            messages, args.out, args.topic, ranges=ranges, lookup=lookup,
+            on_bad=args.on_bad, fmt=args.format, **common,
         )
     if args.job == "landing":
         return jobs.run_landing(messages, args.out, args.topic, fmt=args.format, **common)

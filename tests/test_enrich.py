@@ -134,8 +134,9 @@ def test_lookup_asks_each_address_once(spark, tmp_path):
     assert sorted(seen) == ["1.1.1.1", "2.2.2.2", "::1"]
 
 
-def test_skewed_address_is_split(spark):
-    """One address in most rows: adaptive execution reads its partition in pieces."""
+@pytest.mark.parametrize("form", ["sorted", "lookup"])
+def test_skewed_address_is_split(spark, form):
+    """One address in a third of the rows: adaptive execution reads its partition in pieces."""
     small = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -151,9 +152,17 @@ def test_skewed_address_is_split(spark):
         hot = F.when(F.col("id") % 3 == 0, "9.9.9.9")
         ip = hot.otherwise(F.concat_ws(".", F.lit("8"), F.col("id") % 50, F.col("id") % 200, F.lit("1")))
         df = spark.range(0, 60_000, numPartitions=8).withColumn("ip_address", ip)
-        triples = [(9 << 24, (10 << 24) - 1, "hot"), (8 << 24, (8 << 24) + (1 << 20), "cool")]
-        index = RangeIndex(range_table(spark, triples))
-        out = enrich.ip_enrich(df, index)
+        triples = [(9 << 24, (10 << 24) - 1, "hot"), (8 << 24, (8 << 24) + (1 << 20) - 1, "cool")]
+        if form == "sorted":
+            out = enrich.ip_enrich(df, RangeIndex(range_table(spark, triples)))
+        else:
+            def lookup(ips):
+                second = ips.str.split(".").str[1].astype(int)
+                hot, cool = ips.str.startswith("9."), ips.str.startswith("8.") & (second < 16)
+                city = pd.Series(None, index=ips.index, dtype=object)
+                return pd.DataFrame({"city": city.mask(hot, "hot").mask(cool, "cool")})
+
+            out = enrich.lookup_enrich(df, lookup)
         rows = out.groupBy("geo.city").count().collect()
         out.collect()
         assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()

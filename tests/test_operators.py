@@ -244,6 +244,34 @@ def test_json_array_keeps_order_and_absence(spark, tmp_path):
     assert reasons == [None, "missing:gender"] + ["malformed"] * 4
 
 
+@pytest.mark.parametrize("style", ["{0}", " {0} "])
+@pytest.mark.parametrize("first, sep, last", [("[", ",\n", "]"), ("[\n", ",\n", "\n]\n"), ("[", "\n,", "]")])
+def test_json_array_lines(spark, tmp_path, style, first, sep, last):
+    records = RECORDS[:2] + [{"a": [1]}, {"country": "]"}, {"b": ["[,"]}]
+    text = first + sep.join(style.format(json.dumps(r)) for r in records) + last
+    if sep == "\n,":
+        text = text.replace("\n,", ",\n")
+    (tmp_path / "a.json").write_text(text)
+    rows = files.json_array_lines(spark, str(tmp_path)).orderBy("file", "block", "line").collect()
+    assert [json.loads(r["value"]) for r in rows] == records
+    whole = files.json_array(spark, str(tmp_path)).orderBy("position").collect()
+    assert [json.loads(r["value"]) for r in whole] == records
+
+
+def test_large_json_array_is_split(spark, tmp_path):
+    records = [{"n": i, "pad": "x" * 50} for i in range(3000)]
+    (tmp_path / "a.json").write_text("[" + ",\n".join(map(json.dumps, records)) + "]")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20KB")
+    try:
+        lines = files.json_array_lines(spark, str(tmp_path))
+        assert lines.rdd.getNumPartitions() > 4
+        got = with_ordinal(lines, "file", "block", "line").orderBy("ordinal").collect()
+        assert [json.loads(r["value"])["n"] for r in got] == list(range(3000))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_json_array_must_be_an_array(spark, tmp_path):
     (tmp_path / "a.json").write_text('{"email": 1')
     with pytest.raises(PySparkException, match="not a JSON array"):

@@ -241,10 +241,12 @@ def test_parameters_are_checked(spark, topic_dir, tmp_path):
     (["landing", "--topic", "t", "--out", "o"], "broker or files"),
     (["publish", "--topic", "t", "--files", "f"], "publish needs: broker, checkpoint"),
     (["send", "--topic", "t", "--broker", "b"], "send needs: files"),
+    (["metrics", "--topic", "t", "--files", "f", "--out", "o", "--ranges", "r", "--lookup", "m:f"], "not both"),
+    (["metrics", "--topic", "t", "--files", "{topic}", "--out", "o", "--lookup", "m"], "module:function"),
 ])
-def test_command_line_is_checked(spark, argv, message):
+def test_command_line_is_checked(spark, topic_dir, argv, message):
     with pytest.raises(ValueError, match=message):
-        cli.main(argv, spark)
+        cli.main([a.format(topic=topic_dir) for a in argv], spark)
 
 
 def test_command_line_runs_jobs(spark, sf_dir, topic_dir, tmp_path):
@@ -254,7 +256,12 @@ def test_command_line_runs_jobs(spark, sf_dir, topic_dir, tmp_path):
     common = ["--topic", "users", "--files", topic_dir, "--out", out, "--available-now"]
     cli.main(["metrics", *common, "--ranges", ranges, "--max-files", "2"], spark)
     assert read(spark, out, jobs.IP).count() == expected_good(spark, sf_dir).count()
+    before = read(spark, out, jobs.IP).count()
     cli.main(["landing", *common, "--format", "csv"], spark)
+    cli.main(["metrics", *common, "--format", "json", "--lookup", "tests.lookups:octets"], spark)
+    looked_up = spark.read.json(sinks.result_path(out, "users", jobs.IP, "json"))
+    assert looked_up.count() == before
+    assert looked_up.where("geo.city != split(ip_address, '[.]')[0]").count() == 0
     assert os.path.exists(f"{out}/users/raw_data_df/csv/_spark_metadata")
 
 

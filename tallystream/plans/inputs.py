@@ -33,8 +33,10 @@ def user_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     customer = table(spark, sf_dir, "customer")
-    homed = spread(table(spark, sf_dir, "events")).join(customer, F.col("user_id") == F.col("c_custkey"), "left").join(
-        nation, F.col("c_nationkey") == F.col("n_nationkey"), "left"
+    homed = (
+        spread(table(spark, sf_dir, "events"))
+        .join(customer, F.col("user_id") == F.col("c_custkey"), "left")
+        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
     )
     user, event = F.col("user_id"), F.col("event_id")
     gender = F.when(user % 10 == 9, None).when(user % 2 == 0, "Male").otherwise("Female")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from tallystream.sources import kafka
@@ -29,11 +30,22 @@ def as_text(df: DataFrame) -> DataFrame:
     return df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
 
 
+def flat(df: DataFrame) -> DataFrame:
+    """Struct fields as columns of their own, for formats that know no structs."""
+    columns = []
+    for field in df.schema.fields:
+        if isinstance(field.dataType, T.StructType):
+            columns += [F.col(field.name)[n].alias(f"{field.name}_{n}") for n in field.dataType.names]
+        else:
+            columns.append(F.col(field.name))
+    return df.select(*columns)
+
+
 def write_batch(
     df: DataFrame, out: str, topic: str, metric: str, batch_id: int, fmt: str = "parquet"
 ) -> None:
     """One folder per metric and batch. A batch that runs again overwrites its own."""
-    rows = as_text(df) if fmt == "text" else df
+    rows = {"text": as_text, "csv": flat}.get(fmt, lambda x: x)(df)
     writer = rows.write.mode("overwrite").format(fmt)
     if fmt == "csv":
         writer = writer.options(**CSV_OPTIONS)

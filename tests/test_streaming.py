@@ -10,6 +10,7 @@ import pandas as pd
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallystream.operators import messages as msg, metrics
 from tallystream.operators.ranges import RangeIndex
@@ -130,6 +131,54 @@ def test_resume_reads_only_new_files(spark, topic_dir, tmp_path):
     assert raw.where(F.col("batch_id") == PARTS).count() == 1
 
 
+def test_stop_in_the_middle(spark, sf_dir, topic_dir, tmp_path):
+    """A job stopped at any point and started again writes every message once."""
+    out = str(tmp_path / "out")
+    stream = files.file_stream(spark, topic_dir, max_files=1)
+    query = jobs.run_metrics(stream, out, "users", seconds=1)
+    while not query.lastProgress:
+        time.sleep(0.05)
+    time.sleep(0.4)
+    query.stop()
+    run(spark, topic_dir, out)
+    keys = read(spark, out, jobs.RAW).select("key")
+    assert keys.count() == keys.distinct().count() == inputs.table(spark, sf_dir, "events").count()
+    total = read(spark, out, jobs.USERS).where("label = 'message_total'").agg(F.sum("n")).first()[0]
+    assert total == expected_good(spark, sf_dir).count()
+
+
+class Recorder:
+    """Takes any chain of calls and remembers them."""
+
+    def __init__(self):
+        self.calls = []
+
+    def __getattr__(self, name):
+        if name in ("write", "writeStream", "readStream"):
+            return self
+
+        def call(*args, **kw):
+            self.calls.append((name, args, kw))
+            return self
+
+        return call
+
+
+def test_kafka_calls():
+    to = {"kafka.bootstrap.servers": "b:1", "topic": "t"}
+    batch, stream, source = Recorder(), Recorder(), Recorder()
+    sinks.publish(batch, "b:1", "t")
+    assert batch.calls == [
+        ("select", ("key", "value"), {}), ("format", ("kafka",), {}), ("options", (), to), ("save", (), {}),
+    ]
+    sinks.publish_writer(stream, "b:1", "t")
+    assert stream.calls == batch.calls[:-1]
+    kafka.kafka_stream(source, "b:1", "t", max_offsets=9)
+    assert source.calls == [
+        ("format", ("kafka",), {}), ("options", (), kafka.read_options("b:1", "t", max_offsets=9)), ("load", (), {}),
+    ]
+
+
 def test_lookup_in_a_stream(spark, sf_dir, topic_dir, tmp_path):
     out = str(tmp_path / "out")
     run(spark, topic_dir, out, lookup=lambda ips: pd.DataFrame({"city": "at " + ips}))
@@ -169,6 +218,26 @@ def test_text_output(spark, topic_dir, tmp_path):
     assert set(json.loads(line)) == {"batch_time", "gender", "n"}
 
 
+@pytest.mark.parametrize("fmt", ["csv", "orc", "json"])
+def test_other_formats(spark, sf_dir, topic_dir, tmp_path, fmt):
+    out = str(tmp_path / "out")
+    run(spark, topic_dir, out, fmt=fmt, ranges=inputs.ip_ranges(spark, sf_dir))
+    run(spark, topic_dir, out, ranges=inputs.ip_ranges(spark, sf_dir))
+    for metric in (jobs.RAW, jobs.COUNTRY, jobs.USERS, jobs.GENDER, jobs.IP, jobs.QUARANTINE):
+        expected = read(spark, out, metric)
+        reader = spark.read.format(fmt)
+        if fmt == "csv":
+            reader = reader.options(**sinks.CSV_OPTIONS)
+            expected = sinks.flat(expected)
+        schema = expected.drop("batch_id", "batch_time").schema
+        names = schema.names
+        if fmt == "csv":
+            schema = T.StructType([T.StructField("batch_time", T.StringType()), *schema.fields])
+        got = reader.schema(schema).load(sinks.result_path(out, "users", metric, fmt))
+        key = lambda r: sorted(str(tuple(x)) for x in r)
+        assert key(got.select(names).collect()) == key(expected.select(names).collect())
+
+
 def test_bad_message_ends_the_stream_on_request(spark, topic_dir, tmp_path):
     with pytest.raises(StreamingQueryException, match="bad message"):
         run(spark, topic_dir, str(tmp_path / "out"), on_bad="fail")
@@ -198,7 +267,9 @@ def test_formats_do_not_share_state(spark, topic_dir, tmp_path):
         stream = files.file_stream(spark, topic_dir)
         jobs.run_landing(stream, out, "t", fmt=fmt, available_now=True).awaitTermination()
     schema = "key string, value string"
-    counts = {f: spark.read.schema(schema).format(f).load(f"{out}/t/raw_data_df/{f}").count() for f in ("json", "orc")}
+    counts = {
+        f: spark.read.schema(schema).format(f).load(f"{out}/t/raw_data_df/{f}").count() for f in ("json", "orc")
+    }
     assert counts["json"] == counts["orc"] > 0
 
 

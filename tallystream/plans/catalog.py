@@ -27,8 +27,8 @@ REPLAY_START = datetime(2024, 1, 1)
 REPLAY_SECONDS = 2
 REPLAY_WINDOW = 10
 
-# Files per micro-batch: with files of the usual 128 MB some 100 GB are kept at a time.
-MAX_FILES = 1000
+# The messages of a micro-batch are kept for its outputs, so their size is bounded.
+MAX_BYTES = 100 * 1024**3
 
 
 def _ids(df: DataFrame) -> DataFrame:
@@ -172,11 +172,11 @@ def replay_windows(spark, sf_dir):
 # Streams. The messages are written once as files, which stand for the topic.
 
 def _topic_stream(
-    spark: SparkSession, messages: DataFrame, name: str, max_files: int | None = MAX_FILES
+    spark: SparkSession, messages: DataFrame, name: str, max_bytes: int | None = MAX_BYTES
 ) -> DataFrame:
     path = new_folder(spark, f"{name}-topic")
     inputs.write_topic_files(messages, path)
-    return files.file_stream(spark, path, fmt="parquet", max_files=max_files)
+    return files.file_stream(spark, path, fmt="parquet", max_bytes=max_bytes)
 
 
 def microbatch_metrics(spark, sf_dir):
@@ -231,7 +231,7 @@ def chained_unique_users(spark, sf_dir):
     The files are in no order of time, so one trigger takes them all: between
     triggers the watermark would shut out the messages of earlier days.
     """
-    stream = _topic_stream(spark, inputs.topic_messages(spark, sf_dir), "unique", max_files=None)
+    stream = _topic_stream(spark, inputs.topic_messages(spark, sf_dir), "unique", max_bytes=None)
     good = msg.accepted(msg.decode(stream))
     out = new_folder(spark, "unique-out")
     result = metrics.chained_unique_users(good, "timestamp", DAY, "0 seconds")

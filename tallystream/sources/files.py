@@ -14,12 +14,18 @@ def file_stream(
     path: str,
     fmt: str = "json",
     max_files: int | None = None,
+    max_bytes: int | None = None,
     schema: T.StructType = ENVELOPE,
 ) -> DataFrame:
-    """A folder of message files read like a topic; ``max_files`` bounds a micro-batch."""
+    """A folder of message files read like a topic; ``max_files`` or ``max_bytes``
+    bounds a micro-batch."""
+    if max_files is not None and max_bytes is not None:
+        raise ValueError("give max_files or max_bytes, not both")
     reader = spark.readStream.format(fmt).schema(schema)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    if max_bytes is not None:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
     return reader.load(path)
 
 
@@ -65,3 +71,7 @@ def json_array_lines(spark: SparkSession, path: str) -> DataFrame:
         text.alias("value"),
     )
     return lines.where(F.col("value") != "")
+
+
+# Files of records by name of their layout.
+RECORD_FILES = {"array": json_array, "array-lines": json_array_lines, "lines": json_lines}

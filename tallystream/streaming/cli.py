@@ -26,7 +26,10 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--topic", required=True)
     p.add_argument("--broker", help="host:port of the topic")
     p.add_argument("--files", help="folder of message files in place of a topic; the input of publish and send")
-    p.add_argument("--files-format", default="json")
+    p.add_argument("--files-format", default="json", help="format of message files")
+    p.add_argument(
+        "--records", default="array", choices=sorted(files.RECORD_FILES), help="layout of the files to send"
+    )
     p.add_argument("--window-seconds", default="10", help="length of a micro-batch window")
     p.add_argument("--out", help="folder of the results")
     p.add_argument("--format", default="parquet", help="format of the results")
@@ -36,6 +39,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--on-bad", default="quarantine", choices=["quarantine", "fail"])
     p.add_argument("--max-offsets", type=int, help="most messages of a topic per micro-batch")
     p.add_argument("--max-files", type=int, help="most files per micro-batch")
+    p.add_argument("--max-bytes", type=int, help="most bytes of files per micro-batch")
     p.add_argument("--min-partitions", type=int, help="least read tasks per micro-batch of a topic")
     p.add_argument("--available-now", action="store_true", help="end after what is there has been read")
     return p
@@ -66,7 +70,7 @@ def function(name: str) -> Lookup:
 
 def source(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     if args.files:
-        return files.file_stream(spark, args.files, args.files_format, args.max_files)
+        return files.file_stream(spark, args.files, args.files_format, args.max_files, args.max_bytes)
     return kafka_stream(
         spark, args.broker, args.topic, max_offsets=args.max_offsets, min_partitions=args.min_partitions
     )
@@ -75,9 +79,8 @@ def source(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 def start(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery | None:
     common = {"seconds": args.window_seconds, "available_now": args.available_now, "checkpoint": args.checkpoint}
     if args.job == "send":
-        # One batch: the records of JSON array files, in file order.
-        records = files.json_array(spark, args.files).selectExpr("CAST(NULL AS STRING) AS key", "value")
-        sinks.publish(records, args.broker, args.topic)
+        records = files.RECORD_FILES[args.records](spark, args.files)
+        sinks.publish(records.selectExpr("CAST(NULL AS STRING) AS key", "value"), args.broker, args.topic)
         return None
     messages = source(spark, args)
     if args.job == "metrics":

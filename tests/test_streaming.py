@@ -82,6 +82,29 @@ def test_batches_add_up(spark, sf_dir, topic_dir, tmp_path):
     assert seen == total
 
 
+def test_bytes_bound_a_batch(spark, topic_dir, tmp_path):
+    size = max(os.path.getsize(f"{topic_dir}/{f}") for f in os.listdir(topic_dir) if f.endswith(".json"))
+    stream = files.file_stream(spark, topic_dir, max_bytes=size)
+    out = str(tmp_path / "out")
+    jobs.run_landing(stream, out, "t", available_now=True).awaitTermination()
+    offsets = os.listdir(f"{out}/t/checkpoints/landing-parquet/offsets")
+    assert len([f for f in offsets if f.isdigit()]) == PARTS
+    with pytest.raises(ValueError, match="not both"):
+        files.file_stream(spark, topic_dir, max_files=1, max_bytes=1)
+
+
+def test_send(spark, tmp_path, monkeypatch):
+    sent = []
+    monkeypatch.setattr(sinks, "publish", lambda df, *to: sent.append((df.columns, to, df.collect())))
+    (tmp_path / "a.json").write_text('[{"a":1},\n{"a":2}]')
+    for layout in files.RECORD_FILES:
+        cli.main(["send", "--topic", "t", "--broker", "b", "--files", str(tmp_path), "--records", layout], spark)
+    assert [(c, to) for c, to, _ in sent] == [(["key", "value"], ("b", "t"))] * 3
+    assert [[r["value"] for r in rows] for _, _, rows in sent] == [
+        ['{"a":1}', '{"a":2}'], ['{"a":1}', '{"a":2}'], ['[{"a":1},', '{"a":2}]'],
+    ]
+
+
 def test_country_is_ordered_in_each_batch(spark, topic_dir, tmp_path):
     out = str(tmp_path / "out")
     run(spark, topic_dir, out)

@@ -23,6 +23,14 @@ KEYS = ("batch_id", "batch_time")
 RAW, COUNTRY, USERS, GENDER, IP = "raw_data", "count_of_country", "unique_user", "gender_count", "ip_data"
 QUARANTINE, LANDED = "quarantine", "raw_data_df"
 
+# Streams switch adaptive execution off; a batch is a plain table and wants it for
+# skewed joins and small shuffles. JSON texts seldom repeat, so trying to compress
+# the kept batch takes time and saves little.
+BATCH_SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.inMemoryColumnarStorage.compressed": "false",
+}
+
 
 def _start(
     writer: DataStreamWriter, name: str, checkpoint: str, seconds, available_now: bool
@@ -97,11 +105,10 @@ def run_metrics(
     stamped = pairs.withColumn("batch_time", F.current_timestamp())
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        # Streams switch adaptive execution off; a batch is a plain table and
-        # wants it for skewed joins and small shuffles.
         conf = batch.sparkSession.conf
-        adaptive = conf.get("spark.sql.adaptive.enabled")
-        conf.set("spark.sql.adaptive.enabled", "true")
+        before = {k: conf.get(k) for k in BATCH_SETTINGS}
+        for k, v in BATCH_SETTINGS.items():
+            conf.set(k, v)
         decoded = msg.decode(batch.withColumn("batch_id", F.lit(batch_id)), required, on_bad)
         decoded.persist(StorageLevel.MEMORY_AND_DISK)
         base = metrics.country_gender_base(msg.accepted(decoded), KEYS).persist()
@@ -115,7 +122,8 @@ def run_metrics(
         finally:
             base.unpersist()
             decoded.unpersist()
-            conf.set("spark.sql.adaptive.enabled", adaptive)
+            for k, v in before.items():
+                conf.set(k, v)
 
     writer = stamped.writeStream.foreachBatch(write)
     place = checkpoint or sinks.checkpoint_path(out, topic, "metrics", fmt)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import datetime
 
 import pandas as pd
@@ -122,8 +122,8 @@ def quarantine(spark, sf_dir):
 
 # Enrichment
 
-def _flat_geo(enriched: DataFrame) -> DataFrame:
-    geo = (F.col("geo")[f].alias(f"geo_{f}") for f in GEO_FIELDS)
+def _flat_geo(enriched: DataFrame, fields: Sequence[str] = GEO_FIELDS) -> DataFrame:
+    geo = (F.col("geo")[f].alias(f"geo_{f}") for f in fields)
     return enriched.select(F.col("key").cast("bigint").alias("event_id"), "email", "ip_address", *geo)
 
 
@@ -139,12 +139,14 @@ def ip_enrich_sorted(spark, sf_dir):
 
 
 def lookup_enrich(spark, sf_dir):
-    """A lookup without a service: names the /8 network of an address."""
+    """A lookup without a service: names the network and the host of an address."""
 
-    def network_of(addresses: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame({"hostname": "net-" + addresses.str.split(".").str[0]})
+    def parts_of(addresses: pd.Series) -> pd.DataFrame:
+        octets = addresses.str.split(".")
+        return pd.DataFrame({"hostname": "net-" + octets.str[0], "city": "host-" + octets.str[3]})
 
-    return _flat_geo(enrich.lookup_enrich(inputs.decoded_users(spark, sf_dir), network_of))
+    users = inputs.decoded_users(spark, sf_dir)
+    return _flat_geo(enrich.lookup_enrich(users, parts_of), ("hostname", "city"))
 
 
 # Replay

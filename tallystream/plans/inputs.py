@@ -91,13 +91,17 @@ def ip_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     region = table(spark, sf_dir, "region")
     key = F.col("n_nationkey")
     first = (10 + 4 * key).cast("bigint") * (1 << 24)
+    number = key.cast("string")
     place = {
-        "hostname": F.concat(F.lit("gw"), key.cast("string"), F.lit(".example.net")),
+        "hostname": F.concat(F.lit("gw"), number, F.lit(".example.net")),
+        "city": F.concat(F.lit("City "), number),
         "region": F.col("r_name"),
         "country": F.col("n_name"),
+        "loc": F.concat(number, F.lit(".5,-"), number, F.lit(".25")),
         "postal": (10000 + key).cast("string"),
+        "timezone": F.concat(F.lit("Zone/"), F.col("r_name")),
     }
-    geo = F.struct(*(place.get(f, F.lit(None).cast("string")).alias(f) for f in GEO_FIELDS))
+    geo = F.struct(*(place[f].alias(f) for f in GEO_FIELDS))
     return (
         nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
         .where(F.col("r_regionkey") != UNMAPPED_REGION)

@@ -35,7 +35,10 @@ ranges AS (
   SELECT (10 + 4 * n_nationkey) * CAST(16777216 AS BIGINT) AS lo,
     (10 + 4 * n_nationkey + 4) * CAST(16777216 AS BIGINT) - 1 AS hi,
     concat('gw', CAST(n_nationkey AS VARCHAR), '.example.net') AS hostname,
-    r_name AS region, n_name AS country, CAST(10000 + n_nationkey AS VARCHAR) AS postal
+    concat('City ', CAST(n_nationkey AS VARCHAR)) AS city,
+    r_name AS region, n_name AS country,
+    concat(CAST(n_nationkey AS VARCHAR), '.5,-', CAST(n_nationkey AS VARCHAR), '.25') AS loc,
+    CAST(10000 + n_nationkey AS VARCHAR) AS postal, concat('Zone/', r_name) AS timezone
   FROM nation JOIN region ON n_regionkey = r_regionkey
   WHERE r_regionkey <> 4
 )
@@ -45,9 +48,9 @@ _FIELDS = "email, gender, country, ip_address"
 _PAIRS = "SELECT CAST(event_id AS VARCHAR) AS key, value FROM texts"
 
 _LOCATED = """
-SELECT event_id, email, ip_address, hostname AS geo_hostname, CAST(NULL AS VARCHAR) AS geo_city,
-  region AS geo_region, r.country AS geo_country, CAST(NULL AS VARCHAR) AS geo_loc,
-  postal AS geo_postal, CAST(NULL AS VARCHAR) AS geo_timezone
+SELECT event_id, email, ip_address, hostname AS geo_hostname, city AS geo_city,
+  region AS geo_region, r.country AS geo_country, loc AS geo_loc, postal AS geo_postal,
+  timezone AS geo_timezone
 FROM users u LEFT JOIN ranges r ON u.ip BETWEEN r.lo AND r.hi
 """
 
@@ -105,9 +108,7 @@ ORACLES: dict[str, str] = {
     "lookup_enrich": _of_users("""
         SELECT event_id, email, ip_address,
           concat('net-', split_part(ip_address, '.', 1)) AS geo_hostname,
-          CAST(NULL AS VARCHAR) AS geo_city, CAST(NULL AS VARCHAR) AS geo_region,
-          CAST(NULL AS VARCHAR) AS geo_country, CAST(NULL AS VARCHAR) AS geo_loc,
-          CAST(NULL AS VARCHAR) AS geo_postal, CAST(NULL AS VARCHAR) AS geo_timezone
+          concat('host-', split_part(ip_address, '.', 4)) AS geo_city
         FROM users"""),
     "replay_schedule": _SCHEDULE,
     "replay_ordinal": """

@@ -20,10 +20,13 @@ Lookup = Callable[[pd.Series], pd.DataFrame]
 
 def _probe(df: DataFrame, pieces: DataFrame, shift: int, name: str) -> DataFrame:
     """Map-side join on the bucket of the address, range ends as further condition."""
-    side = pieces.select("bucket", "lo", "hi", F.col("geo").alias(name))
-    at = F.shiftright("_ip", shift) == F.col("bucket")
-    inside = F.col("_ip").between(F.col("lo"), F.col("hi"))
-    return df.join(F.broadcast(side), at & inside, "left").drop("bucket", "lo", "hi")
+    side = pieces.select(
+        F.col("bucket").alias("_bucket"), F.col("lo").alias("_lo"), F.col("hi").alias("_hi"),
+        F.col("geo").alias(name),
+    )
+    at = F.shiftright("_ip", shift) == F.col("_bucket")
+    inside = F.col("_ip").between(F.col("_lo"), F.col("_hi"))
+    return df.join(F.broadcast(side), at & inside, "left").drop("_bucket", "_lo", "_hi")
 
 
 def _probe_broadcast(df: DataFrame, index: RangeIndex) -> DataFrame:

@@ -99,6 +99,15 @@ def test_large_table_is_not_broadcast(spark):
     assert answers(plan) == [narrowest(triples, as_number(a)) for a in ADDRESSES]
 
 
+@pytest.mark.parametrize("form", ["broadcast", "sorted"])
+def test_columns_of_the_messages_stay(spark, form):
+    ranges = range_table(spark, [(0, 1 << 30, "a")])
+    df = spark.createDataFrame([("1.1.1.1", 1, 2, 3, 4)], "ip_address string, bucket int, lo int, hi int, at int")
+    index = index_ranges(ranges) if form == "broadcast" else RangeIndex(ranges)
+    row = enrich.ip_enrich(df, index).first()
+    assert tuple(row)[:5] == ("1.1.1.1", 1, 2, 3, 4) and row["geo"]["city"] == "a"
+
+
 def test_overlaps(spark):
     rng = random.Random(7)
     triples = [(0, (1 << 24) - 1, "w0"), (1 << 20, 1 << 21, "w1"), (5 << 16, (5 << 16) + 9, "w2")]

@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallystream.llm.common import SPACE, bind, words
+from tallystream.llm.common import SPACE, bind, stored, words
 
 RUN = 8  # words of a window that counts as repeated
 SYMBOLS = "#*$%&|<>"
@@ -185,8 +185,9 @@ def report(documents: DataFrame, labels: DataFrame, rules: list[Rule] | None = N
     """Statistics, base limits and verdict of every document."""
     stats = statistics(documents)
     if rules is None:
-        labelled = documents.join(labels.select("doc_id").distinct(), "doc_id", "left_semi")
-        rules = learn(statistics(labelled), labels)
+        # Labels meet the few numbers of a text, not the text.
+        stats = stored(documents.sparkSession, stats, "quality-statistics")
+        rules = learn(stats, labels)
     failed = base_failed()
     return stats.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & kept(rules)).alias("kept")

@@ -7,13 +7,17 @@ document takes the l that is cheapest for it: a longer prefix meets more posting
 but asks for more common shingles before a pair is verified. A pair needs the smaller
 of its two l. No link is lost, whatever the estimates.
 
-The order puts shingles that a fixed-size count sketch shows as frequent last (at most
-one bucket in eight can be frequent, so that list is bounded), the rest by hash.
+The order puts frequent shingles last, the rest by hash. Frequent ones are found in two
+passes: a count sketch of fixed size points out buckets above the noise, and shingles in
+those buckets are counted exactly. The list of frequent shingles is bounded; what it
+misses costs time, never links.
 
 Work stays near linear in large groups: equal sets are one node; nodes are first
 compared with the smallest and the largest node of their posting lists, which joins a
 group of near copies to one component; only pairs between different components remain
-to be looked at. Sharing a component already, the skipped pairs cannot change it.
+to be looked at. Sharing a component already, the skipped pairs cannot change it. Before
+sets are compared, bit signatures rule out pairs: shingles are hashed to bits by parity,
+so each differing bit stands for a shingle that only one set has.
 
 Defined results: words are split at ASCII white space after lower-casing A-Z; fewer
 than five words make one shingle; texts that are null or have no word have no shingle,
@@ -23,72 +27,204 @@ component is the smallest document id in it.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallystream.llm.common import bind, lower_ascii, restart_point, stored, words
+from tallystream.llm.common import restart_point, stored
 
 WIDTH = 5
 NEED, OF = 75, 100  # Jaccard similarity as a fraction
-SKETCH = 1 << 18
-FREQUENT = 8  # times the mean of a bucket
+SKETCH = 1 << 19  # buckets
+FREQUENT = 48  # documents from which a shingle counts as frequent, if its bucket stands out
+MOST_FREQUENT = 1 << 18  # longest list of frequent shingles
 LONGEST = 12  # largest l
 VERIFY_COST = 0.5  # of one shingle when verifying, in posting entries
 
+# Shingles as 64-bit hashes
+
+CHUNK = 1 << 20  # bytes looked at together
+_random = np.random.default_rng(20240101)
+_BYTES = _random.integers(0, 1 << 63, size=256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BYTES[65:91] = _BYTES[97:123]  # A-Z count as a-z
+_IS_SPACE = np.zeros(256, dtype=bool)
+_IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_BASE, _STEP, _M1, _M2 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53))
+_powers = np.ones(1, dtype=np.uint64)
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(33))) * _M1
+    h = (h ^ (h >> np.uint64(33))) * _M2
+    return h ^ (h >> np.uint64(33))
+
+
+def _word_hashes(raw: np.ndarray) -> np.ndarray:
+    """One hash per word: its bytes weighted by powers of an odd number."""
+    global _powers
+    space = _IS_SPACE[raw]
+    edges = np.flatnonzero(np.diff(np.concatenate(([True], space, [True])).astype(np.int8)))
+    starts, ends = edges[::2], edges[1::2]
+    if not len(starts):
+        return np.empty(0, dtype=np.uint64)
+    sizes = ends - starts
+    first = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+    place = np.arange(sizes.sum()) - np.repeat(first, sizes)
+    if sizes.max() > len(_powers):
+        _powers = np.concatenate(([np.uint64(1)], np.cumprod(np.full(int(sizes.max()) * 2, _BASE))))
+    return _mixed(np.add.reduceat(_BYTES[raw[~space]] * _powers[place], first))
+
+
+def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
+    """The distinct shingles in order, as signed 64-bit hashes.
+
+    Texts shorter than a shingle count whole.
+    """
+    raw = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), dtype=np.uint8)
+    pieces, at = [], 0
+    while at < len(raw):
+        end = min(len(raw), at + CHUNK)
+        if end < len(raw):  # cut at the first white space after the chunk
+            tail = np.flatnonzero(_IS_SPACE[raw[end:]][: 16 * CHUNK])
+            end = end + int(tail[0]) if len(tail) else len(raw)
+        pieces.append(_word_hashes(raw[at:end]))
+        at = end
+    w = np.concatenate(pieces) if pieces else np.empty(0, dtype=np.uint64)
+    if not len(w):
+        return np.empty(0, dtype=np.int64)
+    span = min(width, len(w))
+    h = np.full(len(w) - span + 1, span, dtype=np.uint64)
+    for k in range(span):
+        h = h * _STEP + w[k : len(w) - span + 1 + k]
+    return np.unique(_mixed(h).view(np.int64))
+
+
+def signature(hashes: np.ndarray) -> bytes:
+    """Parity of the shingles per bit; as many bits as the next power of two, 64 at least."""
+    bits = 1 << max(6, int(len(hashes) - 1).bit_length())
+    return np.packbits(np.bincount(hashes & (bits - 1), minlength=bits).astype(np.uint8) & 1).tobytes()
+
+
+ONES = np.array([bin(i).count("1") for i in range(256)], dtype=np.uint8)
+
+
+def _apart(one: bytes, other: bytes) -> int:
+    """A lower bound of the number of shingles that only one of two sets has."""
+    x, y = np.frombuffer(one, dtype=np.uint8), np.frombuffer(other, dtype=np.uint8)
+    while len(x) > len(y):
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(ONES[x ^ y].sum())
+
+
+def _may_be_similar(s1: pd.Series, s2: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
+    # |x & y| >= t / (1 + t) (n1 + n2), so the sets differ in (1 - t) / (1 + t) (n1 + n2) at most.
+    most = (OF - NEED) * (n1 + n2) / (OF + NEED)
+    return pd.Series([_apart(a, b) for a, b in zip(s1, s2, strict=True)], dtype="float64") <= most
+
 
-def shingles(text: Column, width: int = WIDTH) -> Column:
-    """The distinct shingles as 64-bit hashes; texts shorter than a shingle count whole."""
+# Frequent shingles
 
-    def of_words(w: Column) -> Column:
-        n = F.size(w)
-        many = F.transform(F.sequence(F.lit(1), n - (width - 1)), lambda i: F.xxhash64(F.slice(w, i, width)))
-        none = F.array().cast("array<bigint>")
-        return F.when(n >= width, many).when(n > 0, F.array(F.xxhash64(w))).otherwise(none)
 
-    return F.array_distinct(bind(words(lower_ascii(text)), of_words))
+def _sketched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    counts = np.zeros(SKETCH, dtype=np.int64)
+    for batch in batches:
+        for text in batch["text"]:
+            np.add.at(counts, _low(shingles(text)) & (SKETCH - 1), 1)
+    own = np.flatnonzero(counts)
+    yield pd.DataFrame({"b": own, "n": counts[own]})
 
 
-def _sketch(sets: DataFrame) -> dict[int, int]:
-    """Buckets with far more shingles than the mean, by bucket: at most SKETCH / FREQUENT."""
-    counts = sets.select(F.explode("sh").alias("t")).groupBy(F.pmod("t", F.lit(SKETCH)).alias("b")).agg(F.count("*").alias("n"))
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    heavy = counts.where(F.col("n") > max(FREQUENT * total / SKETCH, 32)).collect()
-    return {r["b"]: r["n"] for r in heavy}
+def _low(hashes: np.ndarray) -> np.ndarray:
+    """The half of the shingles that prefixes are mostly made of."""
+    return hashes[hashes < 0]
 
 
-def _prefix(hashes: np.ndarray, buckets: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, int]:
-    """The cheapest l and its prefix."""
+def _counted(suspect: np.ndarray):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [h[suspect[h & (SKETCH - 1)]] for h in (_low(shingles(t)) for t in batch["text"])]
+            values, counts = np.unique(np.concatenate(found) if found else np.empty(0, np.int64), return_counts=True)
+            yield pd.DataFrame({"t": values, "n": counts})
+
+    return run
+
+
+def frequent_shingles(spark: SparkSession, texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Frequent shingles in order and their counts."""
+    sketch = restart_point(spark, texts.mapInPandas(_sketched, "b bigint, n bigint").groupBy("b").agg(F.sum("n").alias("n")))
+    middle = sketch.agg(F.percentile_approx("n", 0.5, 10_000)).first()[0] or 0
+    limit = middle + max(FREQUENT, 6 * middle**0.5)
+    suspect = np.zeros(SKETCH, dtype=bool)
+    suspect[[r["b"] for r in sketch.where(F.col("n") > limit).select("b").collect()]] = True
+    if not suspect.any():
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    counts = texts.mapInPandas(_counted(suspect), "t bigint, n bigint").groupBy("t").agg(F.sum("n").alias("n"))
+    found = counts.where(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "t").limit(MOST_FREQUENT).toPandas().sort_values("t")
+    return found["t"].to_numpy(np.int64), found["n"].to_numpy(np.int64)
+
+
+# Prefixes
+
+
+def _prefix(hashes: np.ndarray, frequent: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """The cheapest l with its prefix, and which shingles of the prefix are frequent."""
     n = len(hashes)
     need = -(-NEED * n // OF)
-    where = np.searchsorted(buckets, hashes % SKETCH) if len(buckets) else None
-    if where is None:
-        rank = np.ones(n, dtype=np.int64)
-    else:
-        where[where == len(buckets)] = 0
-        rank = np.where(buckets[where] == hashes % SKETCH, counts[where], 1)
-    order = np.lexsort((hashes, rank > 1))
+    rank = np.ones(n, dtype=np.int64)
+    if len(frequent):
+        where = np.minimum(np.searchsorted(frequent, hashes), len(frequent) - 1)
+        rank = np.where(frequent[where] == hashes, counts[where], 1)
+    order = np.concatenate((np.flatnonzero(rank == 1), np.flatnonzero(rank > 1)))
     most = min(LONGEST, need)
     first = n - need + 1
-    load = np.cumsum(rank[order][: first + most - 1] - 1)
+    load = np.cumsum(rank[order[: first + most - 1]] - 1)
     lengths = np.arange(first, first + most)
     cost = load[lengths - 1] * (1 + VERIFY_COST * n / np.arange(1, most + 1) ** 2) + lengths
     matches = int(cost.argmin()) + 1
-    return hashes[order[: first + matches - 1]], matches
+    chosen = order[: first + matches - 1]
+    return hashes[chosen], rank[chosen] > 1, matches
+
 
+_FNV = np.uint64(0x100000001B3)
 
-def _with_prefixes(buckets: np.ndarray, counts: np.ndarray):
-    def run(batches):
+
+def _digests(hashes: np.ndarray) -> tuple[int, int]:
+    """Two independent 64-bit digests of a set."""
+    u = hashes.view(np.uint64)
+    a = _mixed(np.array([_mixed(u).sum() + np.uint64(len(u))], dtype=np.uint64))
+    b = _mixed(np.array([_mixed(u * _STEP ^ _BASE).sum() ^ (np.uint64(len(u)) * _FNV)], dtype=np.uint64))
+    return int(a.view(np.int64)[0]), int(b.view(np.int64)[0])
+
+
+def _signed(frequent: np.ndarray, counts: np.ndarray):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            chosen = [_prefix(np.asarray(sh, dtype=np.int64), buckets, counts) if len(sh) else (np.empty(0, np.int64), 0) for sh in batch["sh"]]
-            out = batch[["doc_id", "a", "b", "n"]].copy()
-            out["l"] = [c[1] for c in chosen]
-            out["prefix"] = [c[0] for c in chosen]
+            rows = []
+            for doc, text in zip(batch["doc_id"], batch["text"], strict=True):
+                h = shingles(text)
+                prefix, often, matches = _prefix(h, frequent, counts) if len(h) else (h, np.empty(0, bool), 0)
+                rows.append((doc, *_digests(h), len(h), matches, signature(h), prefix[~often], prefix[often]))
+            out = pd.DataFrame(rows, columns=["doc_id", "a", "b", "n", "l", "bits", "rare", "often"])
+            out["doc_id"] = batch["doc_id"].to_numpy()
             yield out
 
     return run
 
 
+SIGNED = "doc_id bigint, a bigint, b bigint, n bigint, l int, bits binary, rare array<bigint>, often array<bigint>"
+
+
+def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        found = [shingles(t) for t in batch["text"]]
+        yield pd.DataFrame({"doc_id": batch["doc_id"], "own": [_digests(h)[0] for h in found], "sh": found})
+
+
 def _enough(common: Column, n1: Column, n2: Column) -> Column:
     return common * OF >= NEED * (n1 + n2 - common)
 
@@ -97,13 +233,25 @@ def _sizes_fit(n1: Column, n2: Column) -> Column:
     return (F.least(n1, n2) * OF) >= (F.greatest(n1, n2) * NEED)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _verified(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, name: str) -> DataFrame:
     """Of pairs (u, v) of nodes, those whose sets are similar enough."""
-    left = sets.select(F.col("a").alias("u"), F.col("sh").alias("s1"))
-    right = sets.select(F.col("a").alias("v"), F.col("sh").alias("s2"))
-    both = pairs.join(left, "u").join(right, "v")
-    common = F.size(F.array_intersect("s1", "s2"))
-    return both.where(_enough(common, F.size("s1"), F.size("s2"))).select("u", "v")
+    spark = docs.sparkSession
+    one = nodes.select(F.col("a").alias("u"), F.col("bits").alias("s1"), F.col("n").alias("n1"))
+    two = nodes.select(F.col("a").alias("v"), F.col("bits").alias("s2"), F.col("n").alias("n2"))
+    may_be = F.pandas_udf(_may_be_similar, "boolean")
+    close = pairs.join(one, "u").join(two, "v").where(may_be("s1", "s2", "n1", "n2")).select("u", "v")
+    close = stored(spark, close, f"jaccard-{name}-pairs")
+    # The sets of the nodes left, each from one document. The ids are a stored table, so
+    # Spark knows whether they are few enough to go to the texts instead of the reverse.
+    few = nodes.join(close.select(F.explode(F.array("u", "v")).alias("a")).distinct(), "a", "left_semi")
+    few = stored(spark, few.select("a", "doc_id"), f"jaccard-{name}-nodes")
+    sets = docs.join(few.select("doc_id").distinct(), "doc_id", "left_semi").mapInPandas(_sets, "doc_id bigint, own bigint, sh array<bigint>")
+    sets = sets.join(few, "doc_id").where("own = a").select("a", "sh")  # an id may stand at several texts
+    left = sets.select(F.col("a").alias("u"), F.col("sh").alias("sh1"))
+    right = sets.select(F.col("a").alias("v"), F.col("sh").alias("sh2"))
+    both = close.join(left, "u").join(right, "v")
+    common = F.size(F.array_intersect("sh1", "sh2"))
+    return restart_point(spark, both.where(_enough(common, F.size("sh1"), F.size("sh2"))).select("u", "v").distinct())
 
 
 def components(spark: SparkSession, links: DataFrame) -> DataFrame:
@@ -129,34 +277,27 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
 def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row, by links of Jaccard >= 0.75."""
     spark = documents.sparkSession
-    docs = documents.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    sets = docs.select("doc_id", shingles(F.col("text")).alias("sh"))
-    heavy = sorted(_sketch(sets).items())
-    buckets = np.array([b for b, _ in heavy], dtype=np.int64)
-    counts = np.array([c for _, c in heavy], dtype=np.int64)
-
-    # One row per document with the digest of its set (a, b) and its prefix.
-    digest = sets.select("doc_id", F.size("sh").cast("bigint").alias("n"), F.array_sort("sh").alias("sh"))
-    digest = digest.select("doc_id", F.xxhash64("sh").alias("a"), F.xxhash64(F.lit(1), "sh").alias("b"), "n", "sh")
-    schema = "doc_id bigint, a bigint, b bigint, n bigint, l int, prefix array<bigint>"
-    signed = stored(spark, digest.mapInPandas(_with_prefixes(buckets, counts), schema), "jaccard-prefixes")
-
-    # Posting lists with more than one node.
-    entries = signed.select(F.explode("prefix").alias("t"), "a", "n", "l")
-    lists = entries.groupBy("t").agg(F.count("*").alias("c")).where("c > 1").select("t")
-    shared = entries.join(lists, "t").distinct()
+    docs = documents.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+    frequent, counts = frequent_shingles(spark, docs.select("text"))
+
+    # One row per document with the digests of its set (a, b), its bits and its prefix.
+    signed = stored(spark, docs.mapInPandas(_signed(frequent, counts), SIGNED), "jaccard-prefixes")
+    known = signed.where("n > 0").groupBy("a").agg(F.min(F.struct("doc_id", "n", "l", "bits")).alias("m"))
+    nodes = stored(spark, known.select("a", "m.doc_id", "m.n", "m.l", "m.bits"), "jaccard-nodes")
+
+    # Entries of posting lists with more than one node. Lists of rare shingles are short,
+    # since their buckets did not stand out; the others combine before they are moved.
+    in_list = Window.partitionBy("t")
+    rare = signed.select(F.explode("rare").alias("t"), "a")
+    rare = rare.withColumn("lo", F.min("a").over(in_list)).withColumn("hi", F.max("a").over(in_list)).where("lo <> hi").select("t", "a")
+    often = signed.select(F.explode("often").alias("t"), "a")
+    shared = rare.unionByName(often).distinct().join(nodes.select("a", "n", "l"), "a")
     shared = stored(spark, shared, "jaccard-lists")
-    ends = shared.groupBy("t").agg(F.min(F.struct("a", "n")).alias("lo"), F.max(F.struct("a", "n")).alias("hi")).where("lo.a <> hi.a")
-    met = shared.join(ends, "t")
-    stars = [
-        met.where((F.col("a") != F.col(f"{e}.a")) & _sizes_fit(F.col("n"), F.col(f"{e}.n"))).select(F.col("a").alias("u"), F.col(f"{e}.a").alias("v"))
-        for e in ("lo", "hi")
-    ]
-    tries = stars[0].unionByName(stars[1]).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    tries = stored(spark, tries.groupBy("u", "v").agg(F.count("*").alias("c")).where("c >= 4").select("u", "v"), "jaccard-stars")
-
-    first_links = restart_point(spark, _verified(tries, _sets_of(sets, signed, tries)))
-    rough = restart_point(spark, components(spark, first_links))
+    ends = shared.groupBy("t").agg(F.min(F.struct("a", "n")).alias("lo"), F.max("a").alias("hi")).where("lo.a <> hi")
+    met = shared.join(ends, "t").where((F.col("a") != F.col("lo.a")) & _sizes_fit(F.col("n"), F.col("lo.n")))
+    tries = met.groupBy(F.col("a").alias("u"), F.col("lo.a").alias("v")).agg(F.count("*").alias("c")).where("c >= 4").select("u", "v")
+    first_links = _verified(docs, tries, nodes, "stars")
+    rough = components(spark, first_links)
 
     # Every pair of different components that shares enough of its prefixes.
     held = shared.join(rough.withColumnRenamed("node", "a"), "a", "left").withColumn("root", F.coalesce("root", "a"))
@@ -165,8 +306,7 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     x, y = open_.alias("x"), open_.alias("y")
     close = (F.col("x.t") == F.col("y.t")) & (F.col("x.a") > F.col("y.a")) & (F.col("x.root") != F.col("y.root")) & _sizes_fit(F.col("x.n"), F.col("y.n"))
     matched = x.join(y, close).groupBy(F.col("x.a").alias("u"), F.col("y.a").alias("v")).agg(F.count("*").alias("c"), F.min(F.least("x.l", "y.l")).alias("l"))
-    rest = stored(spark, matched.where("c >= l").select("u", "v"), "jaccard-rest")
-    links = first_links.unionByName(_verified(rest, _sets_of(sets, signed, rest)))
+    links = first_links.unionByName(_verified(docs, matched.where("c >= l").select("u", "v"), nodes, "rest"))
     roots = components(spark, links)
 
     # Back to documents: equal sets share a node, the smallest id names the component.
@@ -184,14 +324,6 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     return out.select("doc_id", "n_shingles", own.alias("component_id"))
 
 
-def _sets_of(sets: DataFrame, signed: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The sets of the nodes in pairs, each taken from one document."""
-    nodes = pairs.select(F.explode(F.array("u", "v")).alias("a")).distinct()
-    chosen = signed.join(nodes, "a", "left_semi").groupBy("a").agg(F.min("doc_id").alias("doc_id"))
-    own = F.xxhash64(F.array_sort("sh")) == F.col("a")  # an id may stand at several texts
-    return chosen.join(sets, "doc_id").where(own).select("a", "sh")
-
-
 def one_of_each(documents: DataFrame) -> DataFrame:
     """One row for each group of near duplicates, the one with the smallest id.
 

@@ -12,10 +12,11 @@ passes: a count sketch of fixed size points out buckets above the noise, and shi
 those buckets are counted exactly. The list of frequent shingles is bounded; what it
 misses costs time, never links.
 
-Work stays near linear in large groups: equal sets are one node; nodes are first
-compared with the smallest and the largest node of their posting lists, which joins a
-group of near copies to one component; only pairs between different components remain
-to be looked at. Sharing a component already, the skipped pairs cannot change it. Before
+Work stays near linear in large groups: equal sets are one node; in a few rounds the
+nodes of a posting list are tried with one of them, which joins a group of near copies
+to one component; only pairs between different components remain to be looked at, block
+by block, and each is given at the first shingle it shares. Sharing a component already,
+the skipped pairs cannot change it. Before
 sets are compared, bit signatures rule out pairs: shingles are hashed to bits by parity,
 so each differing bit stands for a shingle that only one set has.
 
@@ -38,10 +39,13 @@ from tallystream.llm.common import restart_point, stored
 
 WIDTH = 5
 NEED, OF = 75, 100  # Jaccard similarity as a fraction
-SKETCH = 1 << 19  # buckets
+SKETCH = 1 << 20  # buckets
 FREQUENT = 48  # documents from which a shingle counts as frequent, if its bucket stands out
 MOST_FREQUENT = 1 << 18  # longest list of frequent shingles
 LONGEST = 12  # largest l
+STAR_ROUNDS = 3  # at most, before all pairs that are left
+BLOCK = 4096  # nodes of a posting list that are looked at together
+MOST_BITS = 1024  # of a signature
 VERIFY_COST = 0.5  # of one shingle when verifying, in posting entries
 
 # Shingles as 64-bit hashes
@@ -103,22 +107,26 @@ def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
 
 
 def signature(hashes: np.ndarray) -> bytes:
-    """Parity of the shingles per bit; as many bits as the next power of two, 64 at least."""
-    bits = 1 << max(6, int(len(hashes) - 1).bit_length())
+    """Parity of the shingles per bit; four to eight bits for each shingle, within limits."""
+    bits = min(MOST_BITS, 4 << max(4, int(len(hashes) - 1).bit_length()))
     return np.packbits(np.bincount(hashes & (bits - 1), minlength=bits).astype(np.uint8) & 1).tobytes()
 
 
 ONES = np.array([bin(i).count("1") for i in range(256)], dtype=np.uint8)
 
 
+def _folded(bits: bytes, size: int) -> np.ndarray:
+    """A signature of fewer bits, whose parities are sums of the longer one's."""
+    x = np.frombuffer(bits, dtype=np.uint8)
+    while len(x) > size:
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return x
+
+
 def _apart(one: bytes, other: bytes) -> int:
     """A lower bound of the number of shingles that only one of two sets has."""
-    x, y = np.frombuffer(one, dtype=np.uint8), np.frombuffer(other, dtype=np.uint8)
-    while len(x) > len(y):
-        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
-    while len(y) > len(x):
-        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
-    return int(ONES[x ^ y].sum())
+    size = min(len(one), len(other))
+    return int(ONES[_folded(one, size) ^ _folded(other, size)].sum())
 
 
 def _may_be_similar(s1: pd.Series, s2: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
@@ -127,14 +135,82 @@ def _may_be_similar(s1: pd.Series, s2: pd.Series, n1: pd.Series, n2: pd.Series)
     return pd.Series([_apart(a, b) for a, b in zip(s1, s2, strict=True)], dtype="float64") <= most
 
 
+# Pairs within posting lists
+
+
+def _list_pairs(t: int, rows: list[tuple]) -> Iterator[tuple[int, int]]:
+    """Pairs of one block (or two) of the list of ``t`` that may be similar.
+
+    A row is (side, a, n, l, root, bits, tokens), the tokens being all those by which
+    the node can meet others. A pair is given at the first token it shares only, if it
+    shares as many as its l asks for, and if sizes and signatures allow similarity.
+    """
+    rows.sort(key=lambda r: r[1])
+    size = min(len(r[5]) for r in rows)
+    same = all(len(r[5]) == size for r in rows)
+    bits = np.frombuffer(b"".join(r[5] if same else _folded(r[5], size).tobytes() for r in rows), dtype=np.uint8).reshape(len(rows), size)
+    side, n, l, root = np.array([(r[0], r[2], r[3], r[4]) for r in rows], dtype=np.int64).T
+    step = max(1, (1 << 18) // len(rows))
+    before = has = None
+    for first in range(0, len(rows), step):
+        i, j = np.nonzero(root[first : first + step, None] != root[None, :])
+        i += first
+        # Within one block each pair once; of two blocks only pairs across.
+        keep = (i > j) & ((side[i] != side[j]) | (side[i] == 2))
+        keep &= np.minimum(n[i], n[j]) * OF >= np.maximum(n[i], n[j]) * NEED
+        i, j = i[keep], j[keep]
+        keep = ONES[bits[i] ^ bits[j]].sum(1) * (OF + NEED) <= (OF - NEED) * (n[i] + n[j])
+        i, j = i[keep], j[keep]
+        if not len(i):
+            continue
+        if has is None:
+            before, has = _incidence(t, [r[6] for r in rows])
+        keep = ~(before[i] & before[j]).any(1)
+        i, j = i[keep], j[keep]
+        keep = ONES[has[i] & has[j]].sum(1) >= np.minimum(l[i], l[j])
+        for x, y in zip(i[keep], j[keep], strict=True):
+            yield rows[x][1], rows[y][1]
+
+
+def _incidence(t: int, tokens: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Which row has which token that several have, as bits: those before ``t``, and all."""
+    values, at = np.unique(np.concatenate(tokens), return_inverse=True)
+    has = np.zeros((len(tokens), len(values)), dtype=bool)
+    has[np.repeat(np.arange(len(tokens)), [len(x) for x in tokens]), at] = True
+    several = has.sum(0) > 1
+    earlier = several & (values < t)
+    return np.packbits(has[:, earlier], axis=1), np.packbits(has[:, several], axis=1)
+
+
+def _pairs_of_lists(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows come sorted by list and pair of blocks; a list may go on in the next batch."""
+    columns = ["side", "a", "n", "l", "root", "bits", "tokens"]
+    key, rows = None, []
+
+    def pairs() -> list[tuple[int, int]]:
+        return list(_list_pairs(key[0], rows)) if len(rows) > 1 else []
+
+    for batch in batches:
+        found = []
+        keys = zip(batch["t"], batch["i"], batch["j"], strict=True)
+        for new, row in zip(keys, zip(*(batch[c] for c in columns), strict=True), strict=True):
+            if new != key:
+                found += pairs()
+                key, rows = new, []
+            rows.append(row)
+        yield pd.DataFrame(found, columns=["u", "v"])
+    yield pd.DataFrame(pairs(), columns=["u", "v"])
+
+
 # Frequent shingles
 
 
 def _sketched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     counts = np.zeros(SKETCH, dtype=np.int64)
     for batch in batches:
-        for text in batch["text"]:
-            np.add.at(counts, _low(shingles(text)) & (SKETCH - 1), 1)
+        found = [_low(shingles(text)) for text in batch["text"]]
+        if found:
+            counts += np.bincount(np.concatenate(found) & (SKETCH - 1), minlength=SKETCH)
     own = np.flatnonzero(counts)
     yield pd.DataFrame({"b": own, "n": counts[own]})
 
@@ -274,6 +350,12 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
+def _with_roots(entries: DataFrame, roots: DataFrame | None) -> DataFrame:
+    if roots is None:
+        return entries.withColumn("root", F.col("a"))
+    return entries.join(roots.withColumnRenamed("node", "a"), "a", "left").withColumn("root", F.coalesce("root", "a"))
+
+
 def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row, by links of Jaccard >= 0.75."""
     spark = documents.sparkSession
@@ -293,20 +375,40 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     often = signed.select(F.explode("often").alias("t"), "a")
     shared = rare.unionByName(often).distinct().join(nodes.select("a", "n", "l"), "a")
     shared = stored(spark, shared, "jaccard-lists")
-    ends = shared.groupBy("t").agg(F.min(F.struct("a", "n")).alias("lo"), F.max("a").alias("hi")).where("lo.a <> hi")
-    met = shared.join(ends, "t").where((F.col("a") != F.col("lo.a")) & _sizes_fit(F.col("n"), F.col("lo.n")))
-    tries = met.groupBy(F.col("a").alias("u"), F.col("lo.a").alias("v")).agg(F.count("*").alias("c")).where("c >= 4").select("u", "v")
-    first_links = _verified(docs, tries, nodes, "stars")
-    rough = components(spark, first_links)
-
-    # Every pair of different components that shares enough of its prefixes.
-    held = shared.join(rough.withColumnRenamed("node", "a"), "a", "left").withColumn("root", F.coalesce("root", "a"))
-    mixed = held.groupBy("t").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("t")
-    open_ = stored(spark, held.join(mixed, "t"), "jaccard-open")
-    x, y = open_.alias("x"), open_.alias("y")
-    close = (F.col("x.t") == F.col("y.t")) & (F.col("x.a") > F.col("y.a")) & (F.col("x.root") != F.col("y.root")) & _sizes_fit(F.col("x.n"), F.col("y.n"))
-    matched = x.join(y, close).groupBy(F.col("x.a").alias("u"), F.col("y.a").alias("v")).agg(F.count("*").alias("c"), F.min(F.least("x.l", "y.l")).alias("l"))
-    links = first_links.unionByName(_verified(docs, matched.where("c >= l").select("u", "v"), nodes, "rest"))
+    # Rounds of stars: each list's first node, in an order that changes with the round, is
+    # tried with the nodes of other components. Groups of near copies merge this way at a
+    # cost in proportion to their size.
+    links, roots = spark.createDataFrame([], "u bigint, v bigint"), None
+    for step in range(STAR_ROUNDS):
+        held = _with_roots(shared, roots)
+        place = F.struct(F.xxhash64(F.lit(step), "a").alias("h"), "a", "n", "root")
+        lists = held.groupBy("t").agg(F.min(place).alias("p"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
+        met = held.join(lists, "t").where((F.col("root") != F.col("p.root")) & _sizes_fit(F.col("n"), F.col("p.n")))
+        tries = met.groupBy(F.col("a").alias("u"), F.col("p.a").alias("v")).agg(F.count("*").alias("c")).where("c >= 4").select("u", "v")
+        found = _verified(docs, tries, nodes, f"stars-{step}")
+        if not found.limit(1).count():
+            break
+        links = links.unionByName(found)
+        roots = components(spark, links)
+
+    # Every pair of different components that shares enough of its prefixes. Lists are cut
+    # into blocks, and each pair of blocks is looked at by itself.
+    held = _with_roots(shared, roots)
+    mixed = held.groupBy("t").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("c")).where("lo <> hi")
+    open_ = held.join(mixed.select("t", "c"), "t")
+    meets = open_.groupBy("a").agg(F.array_sort(F.collect_set(F.struct("t", "c"))).alias("met"), F.first("root").alias("root"))
+    meets = meets.join(nodes.select("a", "n", "l", "bits"), "a").select(
+        "a", "n", "l", "bits", "root", F.transform("met", lambda m: m["t"]).alias("tokens"), F.explode("met").alias("m")
+    )
+    blocks = F.ceil(F.col("m.c") / BLOCK).cast("int")
+    spread = meets.select("*", F.col("m.t").alias("t"), blocks.alias("blocks"), F.pmod(F.xxhash64(F.lit(3), "a"), blocks).cast("int").alias("own"))
+    spread = spread.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    low, high = F.least("own", "other"), F.greatest("own", "other")
+    side = F.when(low == high, 2).when(F.col("own") == low, 0).otherwise(1)
+    spread = spread.select("t", low.alias("i"), high.alias("j"), side.alias("side"), "a", "n", "l", "root", "bits", "tokens")
+    dealt = spread.repartition("t", "i", "j").sortWithinPartitions("t", "i", "j")
+    rest = dealt.mapInPandas(_pairs_of_lists, "u bigint, v bigint")
+    links = links.unionByName(_verified(docs, rest, nodes, "rest"))
     roots = components(spark, links)
 
     # Back to documents: equal sets share a node, the smallest id names the component.

@@ -14,9 +14,9 @@ misses costs time, never links.
 
 Work stays near linear in large groups: equal sets are one node; in a few rounds the
 nodes of a posting list are tried with one of them, which joins a group of near copies
-to one component; only pairs between different components remain to be looked at, block
-by block, and each is given at the first shingle it shares. Sharing a component already,
-the skipped pairs cannot change it. Before
+to one component; only pairs between different components remain to be looked at, by a
+join where lists are short and block by block where they are long. Sharing a component
+already, the skipped pairs cannot change it. Before
 sets are compared, bit signatures rule out pairs: shingles are hashed to bits by parity,
 so each differing bit stands for a shingle that only one set has.
 
@@ -44,7 +44,8 @@ FREQUENT = 48  # documents from which a shingle counts as frequent, if its bucke
 MOST_FREQUENT = 1 << 18  # longest list of frequent shingles
 LONGEST = 12  # largest l
 STAR_ROUNDS = 3  # at most, before all pairs that are left
-BLOCK = 4096  # nodes of a posting list that are looked at together
+SHORT = 16  # nodes of a posting list whose pairs are joined
+BLOCK = 2048  # nodes of a family that are looked at together
 MOST_BITS = 1024  # of a signature
 VERIFY_COST = 0.5  # of one shingle when verifying, in posting entries
 
@@ -135,23 +136,24 @@ def _may_be_similar(s1: pd.Series, s2: pd.Series, n1: pd.Series, n2: pd.Series)
     return pd.Series([_apart(a, b) for a, b in zip(s1, s2, strict=True)], dtype="float64") <= most
 
 
-# Pairs within posting lists
+# Pairs within families of long posting lists
 
 
-def _list_pairs(t: int, rows: list[tuple]) -> Iterator[tuple[int, int]]:
-    """Pairs of one block (or two) of the list of ``t`` that may be similar.
+def _block_pairs(rows: list[tuple]) -> Iterator[tuple[int, int]]:
+    """Pairs of a family, within one block or between two, that may be similar.
 
-    A row is (side, a, n, l, root, bits, tokens), the tokens being all those by which
-    the node can meet others. A pair is given at the first token it shares only, if it
-    shares as many as its l asks for, and if sizes and signatures allow similarity.
+    A row is (side, a, n, l, root, more, bits, tokens): the tokens are those of its long
+    lists, ``more`` says whether it is in short lists too. A pair must share a token, as
+    many as the smaller l unless short lists may hold the rest, and sizes and signatures
+    must allow similarity.
     """
     rows.sort(key=lambda r: r[1])
-    size = min(len(r[5]) for r in rows)
-    same = all(len(r[5]) == size for r in rows)
-    bits = np.frombuffer(b"".join(r[5] if same else _folded(r[5], size).tobytes() for r in rows), dtype=np.uint8).reshape(len(rows), size)
-    side, n, l, root = np.array([(r[0], r[2], r[3], r[4]) for r in rows], dtype=np.int64).T
+    size = min(len(r[6]) for r in rows)
+    same = all(len(r[6]) == size for r in rows)
+    bits = np.frombuffer(b"".join(r[6] if same else _folded(r[6], size).tobytes() for r in rows), dtype=np.uint8).reshape(len(rows), size)
+    side, n, l, root, more = np.array([(r[0], r[2], r[3], r[4], r[5]) for r in rows], dtype=np.int64).T
+    has = _incidence([r[7] for r in rows])
     step = max(1, (1 << 18) // len(rows))
-    before = has = None
     for first in range(0, len(rows), step):
         i, j = np.nonzero(root[first : first + step, None] != root[None, :])
         i += first
@@ -159,40 +161,38 @@ def _list_pairs(t: int, rows: list[tuple]) -> Iterator[tuple[int, int]]:
         keep = (i > j) & ((side[i] != side[j]) | (side[i] == 2))
         keep &= np.minimum(n[i], n[j]) * OF >= np.maximum(n[i], n[j]) * NEED
         i, j = i[keep], j[keep]
-        keep = ONES[bits[i] ^ bits[j]].sum(1) * (OF + NEED) <= (OF - NEED) * (n[i] + n[j])
+        keep = ONES[bits[i] ^ bits[j]].sum(1, dtype=np.int64) * (OF + NEED) <= (OF - NEED) * (n[i] + n[j])
         i, j = i[keep], j[keep]
-        if not len(i):
-            continue
-        if has is None:
-            before, has = _incidence(t, [r[6] for r in rows])
-        keep = ~(before[i] & before[j]).any(1)
-        i, j = i[keep], j[keep]
-        keep = ONES[has[i] & has[j]].sum(1) >= np.minimum(l[i], l[j])
+        common = ONES[has[i] & has[j]].sum(1, dtype=np.int64)
+        keep = common >= np.where((more[i] & more[j]) > 0, 1, np.minimum(l[i], l[j]))
         for x, y in zip(i[keep], j[keep], strict=True):
             yield rows[x][1], rows[y][1]
 
 
-def _incidence(t: int, tokens: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Which row has which token that several have, as bits: those before ``t``, and all."""
+def _incidence(tokens: list[np.ndarray]) -> np.ndarray:
+    """Which row has which of the tokens that several rows have, as bits."""
     values, at = np.unique(np.concatenate(tokens), return_inverse=True)
-    has = np.zeros((len(tokens), len(values)), dtype=bool)
-    has[np.repeat(np.arange(len(tokens)), [len(x) for x in tokens]), at] = True
-    several = has.sum(0) > 1
-    earlier = several & (values < t)
-    return np.packbits(has[:, earlier], axis=1), np.packbits(has[:, several], axis=1)
-
-
-def _pairs_of_lists(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows come sorted by list and pair of blocks; a list may go on in the next batch."""
-    columns = ["side", "a", "n", "l", "root", "bits", "tokens"]
+    several = np.flatnonzero(np.bincount(at) > 1)
+    place = np.full(len(values), -1)
+    place[several] = np.arange(len(several))
+    has = np.zeros((len(tokens), max(1, len(several))), dtype=bool)
+    row = np.repeat(np.arange(len(tokens)), [len(x) for x in tokens])
+    shared = place[at] >= 0
+    has[row[shared], place[at][shared]] = True
+    return np.packbits(has, axis=1)
+
+
+def _pairs_of_families(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows come sorted by family and pair of blocks, which may go on in the next batch."""
+    columns = ["side", "a", "n", "l", "root", "more", "bits", "tokens"]
     key, rows = None, []
 
     def pairs() -> list[tuple[int, int]]:
-        return list(_list_pairs(key[0], rows)) if len(rows) > 1 else []
+        return list(_block_pairs(rows)) if len(rows) > 1 else []
 
     for batch in batches:
         found = []
-        keys = zip(batch["t"], batch["i"], batch["j"], strict=True)
+        keys = zip(batch["family"], batch["i"], batch["j"], strict=True)
         for new, row in zip(keys, zip(*(batch[c] for c in columns), strict=True), strict=True):
             if new != key:
                 found += pairs()
@@ -391,23 +391,36 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
         links = links.unionByName(found)
         roots = components(spark, links)
 
-    # Every pair of different components that shares enough of its prefixes. Lists are cut
-    # into blocks, and each pair of blocks is looked at by itself.
+    # Every pair of different components that shares enough of its prefixes: those in short
+    # lists by a join, those in long lists family by family. A family is what long lists
+    # connect; it is cut into blocks, and each pair of blocks is looked at by itself.
     held = _with_roots(shared, roots)
-    mixed = held.groupBy("t").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("c")).where("lo <> hi")
-    open_ = held.join(mixed.select("t", "c"), "t")
-    meets = open_.groupBy("a").agg(F.array_sort(F.collect_set(F.struct("t", "c"))).alias("met"), F.first("root").alias("root"))
-    meets = meets.join(nodes.select("a", "n", "l", "bits"), "a").select(
-        "a", "n", "l", "bits", "root", F.transform("met", lambda m: m["t"]).alias("tokens"), F.explode("met").alias("m")
-    )
-    blocks = F.ceil(F.col("m.c") / BLOCK).cast("int")
-    spread = meets.select("*", F.col("m.t").alias("t"), blocks.alias("blocks"), F.pmod(F.xxhash64(F.lit(3), "a"), blocks).cast("int").alias("own"))
-    spread = spread.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    lists = held.groupBy("t").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("c"), F.min("a").alias("head"))
+    open_ = held.join(lists.where("lo <> hi").select("t", "c", "head"), "t").withColumn("long", (F.col("c") > SHORT).cast("int"))
+    open_ = stored(spark, open_, "jaccard-open")
+    kinds = open_.groupBy("a").agg(F.max("long").alias("long"), F.max(1 - F.col("long")).alias("short"))
+    kinds = stored(spark, kinds, "jaccard-kinds")
+
+    few = open_.where("long = 0").join(kinds.select("a", F.col("long").alias("more")), "a")
+    x, y = few.alias("x"), few.alias("y")
+    close = (F.col("x.t") == F.col("y.t")) & (F.col("x.a") > F.col("y.a")) & (F.col("x.root") != F.col("y.root")) & _sizes_fit(F.col("x.n"), F.col("y.n"))
+    least = F.when(F.col("x.more") + F.col("y.more") == 2, 1).otherwise(F.least("x.l", "y.l"))
+    joined = x.join(y, close).groupBy(F.col("x.a").alias("u"), F.col("y.a").alias("v")).agg(F.count("*").alias("c"), F.min(least).alias("least"))
+    rest = joined.where("c >= least").select("u", "v")
+
+    many = open_.where("long = 1")
+    edges = many.where("a <> head").select(F.col("a").alias("u"), F.col("head").alias("v")).distinct()
+    families = components(spark, edges).select(F.col("node").alias("a"), F.col("root").alias("family"))
+    blocks = families.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    members = many.groupBy("a").agg(F.array_sort(F.collect_set("t")).alias("tokens"), F.first("root").alias("root"))
+    members = members.join(families, "a").join(blocks, "family").join(kinds.select("a", F.col("short").alias("more")), "a").join(nodes.select("a", "n", "l", "bits"), "a")
+    spread = members.withColumn("own", F.pmod(F.xxhash64(F.lit(3), "a"), F.col("blocks")).cast("int"))
+    spread = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     low, high = F.least("own", "other"), F.greatest("own", "other")
     side = F.when(low == high, 2).when(F.col("own") == low, 0).otherwise(1)
-    spread = spread.select("t", low.alias("i"), high.alias("j"), side.alias("side"), "a", "n", "l", "root", "bits", "tokens")
-    dealt = spread.repartition("t", "i", "j").sortWithinPartitions("t", "i", "j")
-    rest = dealt.mapInPandas(_pairs_of_lists, "u bigint, v bigint")
+    spread = spread.select("family", low.alias("i"), high.alias("j"), side.alias("side"), "a", "n", "l", "root", "more", "bits", "tokens")
+    dealt = spread.repartition("family", "i", "j").sortWithinPartitions("family", "i", "j")
+    rest = rest.unionByName(dealt.mapInPandas(_pairs_of_families, "u bigint, v bigint")).distinct()
     links = links.unionByName(_verified(docs, rest, nodes, "rest"))
     roots = components(spark, links)
 

@@ -44,7 +44,7 @@ FREQUENT = 48  # documents from which a shingle counts as frequent, if its bucke
 MOST_FREQUENT = 1 << 18  # longest list of frequent shingles
 LONGEST = 12  # largest l
 STAR_ROUNDS = 3  # at most, before all pairs that are left
-SHORT = 16  # nodes of a posting list whose pairs are joined
+SHORT = 64  # nodes of a posting list whose pairs are joined
 BLOCK = 2048  # nodes of a family that are looked at together
 MOST_BITS = 1024  # of a signature
 VERIFY_COST = 0.5  # of one shingle when verifying, in posting entries
@@ -150,20 +150,22 @@ def _block_pairs(rows: list[tuple]) -> Iterator[tuple[int, int]]:
     rows.sort(key=lambda r: r[1])
     size = min(len(r[6]) for r in rows)
     same = all(len(r[6]) == size for r in rows)
-    bits = np.frombuffer(b"".join(r[6] if same else _folded(r[6], size).tobytes() for r in rows), dtype=np.uint8).reshape(len(rows), size)
+    bits = np.frombuffer(b"".join(r[6] if same else _folded(r[6], size).tobytes() for r in rows), dtype=np.uint64).reshape(len(rows), size // 8)
     side, n, l, root, more = np.array([(r[0], r[2], r[3], r[4], r[5]) for r in rows], dtype=np.int64).T
     has = _incidence([r[7] for r in rows])
     step = max(1, (1 << 18) // len(rows))
     for first in range(0, len(rows), step):
-        i, j = np.nonzero(root[first : first + step, None] != root[None, :])
-        i += first
+        own = np.arange(first, min(first + step, len(rows)))
         # Within one block each pair once; of two blocks only pairs across.
-        keep = (i > j) & ((side[i] != side[j]) | (side[i] == 2))
-        keep &= np.minimum(n[i], n[j]) * OF >= np.maximum(n[i], n[j]) * NEED
-        i, j = i[keep], j[keep]
-        keep = ONES[bits[i] ^ bits[j]].sum(1, dtype=np.int64) * (OF + NEED) <= (OF - NEED) * (n[i] + n[j])
-        i, j = i[keep], j[keep]
-        common = ONES[has[i] & has[j]].sum(1, dtype=np.int64)
+        keep = (root[own, None] != root) & (own[:, None] > np.arange(len(rows))) & ((side[own, None] != side) | (side == 2))
+        keep &= np.minimum(n[own, None], n) * OF >= np.maximum(n[own, None], n) * NEED
+        apart = np.zeros(keep.shape, dtype=np.int64)
+        for k in range(bits.shape[1]):
+            apart += np.bitwise_count(bits[own, k][:, None] ^ bits[:, k])
+        keep &= apart * (OF + NEED) <= (OF - NEED) * (n[own, None] + n)
+        i, j = np.nonzero(keep)
+        i += first
+        common = np.bitwise_count(has[i] & has[j]).sum(1, dtype=np.int64)
         keep = common >= np.where((more[i] & more[j]) > 0, 1, np.minimum(l[i], l[j]))
         for x, y in zip(i[keep], j[keep], strict=True):
             yield rows[x][1], rows[y][1]

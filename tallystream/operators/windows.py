@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def window_seconds(seconds) -> int:
@@ -20,9 +21,21 @@ def window_seconds(seconds) -> int:
 
 
 def assign_window(df: DataFrame, ts: str, seconds) -> DataFrame:
-    """Adds ``window_start``. Every row with an arrival time is in exactly one window."""
-    length = f"{window_seconds(seconds)} seconds"
-    return df.withColumn("window_start", F.window(ts, length)["start"])
+    """Adds ``window_start``. Every row is in exactly one window; rows without an arrival
+    time share the window NULL, so counts over all windows add up to all rows.
+
+    ``F.window`` would drop those rows. On a stream it is used all the same, because
+    only it carries a watermark on.
+    """
+    length = window_seconds(seconds)
+    if df.isStreaming:
+        return df.withColumn("window_start", F.window(ts, f"{length} seconds")["start"])
+    kind = df.schema[ts].dataType
+    since = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(ts))
+    micros = since if isinstance(kind, T.TimestampNTZType) else F.unix_micros(ts)
+    past = F.pmod(micros, F.lit(length * 1_000_000)).cast("decimal(18,0)")
+    wait = (past * F.lit("0.000001").cast("decimal(7,6)")).cast("decimal(18,6)")
+    return df.withColumn("window_start", F.col(ts) - F.make_dt_interval(secs=wait))
 
 
 def arrival_schedule(df: DataFrame, ordinal: str, start: datetime, seconds: float) -> DataFrame:

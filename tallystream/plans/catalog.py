@@ -228,12 +228,14 @@ def _landing(fmt: str) -> Query:
 
 
 def chained_unique_users(spark, sf_dir):
-    """Distinct users as a stream; the last day stays open until later messages come.
+    """Distinct users as a stream. A closing message after the last day moves the
+    watermark past it; its own window stays open and is no part of the result.
 
     The files are in no order of time, so one trigger takes them all: between
     triggers the watermark would shut out the messages of earlier days.
     """
-    stream = _topic_stream(spark, inputs.topic_messages(spark, sf_dir), "unique", max_bytes=None)
+    messages = inputs.topic_messages(spark, sf_dir).unionByName(inputs.closing_message(spark, sf_dir))
+    stream = _topic_stream(spark, messages, "unique", max_bytes=None)
     good = msg.accepted(msg.decode(stream))
     out = new_folder(spark, "unique-out")
     result = metrics.chained_unique_users(good, "timestamp", DAY, "0 seconds")

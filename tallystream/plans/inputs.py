@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tallystream.functions.times import ntz_to_instant
 from tallystream.operators import messages as msg
-from tallystream.operators.parallelism import spread
 from tallystream.schema import ENVELOPE, FIELDS, GEO_FIELDS
 
 
@@ -34,7 +33,7 @@ def user_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     customer = table(spark, sf_dir, "customer")
     homed = (
-        spread(table(spark, sf_dir, "events"))
+        table(spark, sf_dir, "events")
         .join(customer, F.col("user_id") == F.col("c_custkey"), "left")
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
     )
@@ -109,14 +108,18 @@ def ip_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Files are split between tasks at row groups; small ones let a micro-batch of a
-# few files use all cores.
-ROW_GROUP_BYTES = 4 * 1024 * 1024
-
-
 def write_topic_files(messages: DataFrame, path: str) -> None:
     """Messages as files that a file stream reads in place of a topic."""
     envelope = msg.to_envelope(messages).withColumn("timestamp", ntz_to_instant(F.col("timestamp")))
-    envelope.select(*ENVELOPE.fieldNames()).write.mode("error").option(
-        "parquet.block.size", ROW_GROUP_BYTES
-    ).parquet(path)
+    envelope.select(*ENVELOPE.fieldNames()).write.mode("error").parquet(path)
+
+
+def closing_message(spark: SparkSession, sf_dir: str, days: int = 2) -> DataFrame:
+    """A message some days after the last event, which moves a watermark past all windows."""
+    last = table(spark, sf_dir, "events").agg(F.max("ts").alias("ts")).where("ts IS NOT NULL")
+    nothing = F.to_json(F.struct(*(F.lit(None).cast("string").alias(f) for f in FIELDS)), {"ignoreNullFields": "false"})
+    return last.select(
+        F.lit("closing").cast("binary").alias("key"),
+        nothing.cast("binary").alias("value"),
+        (F.col("ts") + F.make_dt_interval(days=F.lit(days))).alias("timestamp"),
+    )

@@ -139,6 +139,5 @@ ORACLES: dict[str, str] = {
     "raw_landing_text": _of_users("SELECT value FROM texts"),
     "chained_unique_users": _of_users("""
         SELECT window_start, count(DISTINCT email) AS unique_users, count(*) AS message_total
-        FROM users WHERE window_start < (SELECT max(window_start) FROM users)
-        GROUP BY window_start"""),
+        FROM users GROUP BY window_start"""),
 }

@@ -16,12 +16,18 @@ def file_stream(
     max_files: int | None = None,
     max_bytes: int | None = None,
     schema: T.StructType = ENVELOPE,
+    max_age: str = "36500d",
 ) -> DataFrame:
     """A folder of message files read like a topic; ``max_files`` or ``max_bytes``
-    bounds a micro-batch."""
+    bounds a micro-batch.
+
+    ``max_age`` is how much older than the newest file a file may be; Spark's own limit
+    of a week would skip the rest of an archive without a word. Files read can be moved
+    away by Spark's ``cleanSource``, which keeps the listing short.
+    """
     if max_files is not None and max_bytes is not None:
         raise ValueError("give max_files or max_bytes, not both")
-    reader = spark.readStream.format(fmt).schema(schema)
+    reader = spark.readStream.format(fmt).schema(schema).option("maxFileAge", max_age)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if max_bytes is not None:

@@ -94,7 +94,7 @@ def start(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery | Non
         return jobs.run_landing(messages, args.out, args.topic, fmt=args.format, **common)
     if args.job == "publish":
         return jobs.run_publish(messages, args.broker, args.topic, **common)
-    return jobs.run_print(messages, args.topic, **common)
+    return jobs.run_print(messages, args.topic, out=args.out, **common)
 
 
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> None:

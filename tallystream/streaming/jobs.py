@@ -33,13 +33,15 @@ BATCH_SETTINGS = {
 
 
 def _start(
-    writer: DataStreamWriter, name: str, checkpoint: str, seconds, available_now: bool
+    writer: DataStreamWriter, name: str, checkpoint: str, seconds, available_now: bool, least: int = 1
 ) -> StreamingQuery:
     writer = writer.option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
     else:
-        writer = writer.trigger(processingTime=f"{window_seconds(seconds)} seconds")
+        # Where no window hangs on it, an interval of 0 means one batch after the other.
+        wait = 0 if least == 0 and float(seconds) == 0 else window_seconds(seconds)
+        writer = writer.trigger(processingTime=f"{wait} seconds")
     return writer.queryName(name).start()
 
 
@@ -155,13 +157,18 @@ def run_print(
     seconds=10,
     *,
     rows: int = 1000,
+    out: str | None = None,
     checkpoint: str | None = None,
     available_now: bool = False,
 ) -> StreamingQuery:
-    """Prints the decoded messages, for a look at a topic. Landing keeps all of them."""
+    """Prints the decoded messages: with ``out`` all of them, as JSON lines written by the
+    executors; without, the first ``rows`` of a batch on the console, for a look."""
     decoded = msg.decode(msg.to_envelope(messages), required=())
     shown = decoded.select("value", *FIELDS, "reason")
     place = checkpoint or new_folder(messages.sparkSession, f"print-{topic}")
+    if out is not None:
+        lines = sinks.as_text(shown).writeStream.format("text").outputMode("append").option("path", out)
+        return _start(lines, f"print-{topic}", place, seconds, available_now)
     return _start(sinks.console_writer(shown, rows), f"print-{topic}", place, seconds, available_now)
 
 
@@ -169,9 +176,9 @@ def run_publish(
     messages: DataFrame, broker: str, topic: str, seconds=10, *, checkpoint: str, available_now: bool = False
 ) -> StreamingQuery:
     """Replays message files into a topic. With ``max_files`` on the file source the
-    trigger interval sets the pace."""
+    trigger interval sets the pace; 0 sends without waiting."""
     writer = sinks.publish_writer(msg.to_envelope(messages), broker, topic)
-    return _start(writer, f"publish-{topic}", checkpoint, seconds, available_now)
+    return _start(writer, f"publish-{topic}", checkpoint, seconds, available_now, least=0)
 
 
 def progress(spark: SparkSession, query: StreamingQuery) -> DataFrame:

@@ -10,9 +10,12 @@ from pyspark.sql.streaming import DataStreamWriter
 from tallystream.sources import kafka
 
 # JSON text is full of quotes and backslashes, so quotes are doubled instead of
-# escaped; and spaces at the ends are part of a message.
+# escaped; and spaces at the ends are part of a message. NULL has a sign of its own, so
+# an empty message stays one. Messages may have line breaks, so a reader takes a file as
+# a whole: for large data another format is the better one.
 CSV_OPTIONS = {
     "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+    "nullValue": "\x01", "multiLine": "true", "lineSep": "\n",
 }
 
 

@@ -15,7 +15,6 @@ from tallystream import workspace
 from tallystream.functions.times import instant_to_ntz, ntz_to_instant
 from tallystream.operators import messages as msg, metrics
 from tallystream.operators.ordering import with_ordinal
-from tallystream.operators.parallelism import spread
 from tallystream.operators.windows import arrival_schedule, assign_window, window_seconds
 from tallystream.plans import inputs
 from tallystream.sources import files
@@ -219,21 +218,6 @@ def test_ordinal_of_a_hot_key_uses_several_partitions(spark):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
 
 
-def test_spread(spark):
-    cores = spark.sparkContext.defaultParallelism
-    assert spread(spark.range(0, 10, numPartitions=1)).rdd.getNumPartitions() == cores
-    wide = spark.range(0, 10, numPartitions=cores)
-    assert spread(wide) is wide
-
-
-# Files
-
-RECORDS = [
-    {"id": 1, "email": "a", "gender": None, "country": "X", "ip_address": "1.1.1.1"},
-    {"email": "b", "country": "Y", "more": [1, {"z": "é"}]},
-    "text", 5, None, [1],
-]
-
 
 def test_json_array_keeps_order_and_absence(spark, tmp_path):
     for name, part in (("a.json", RECORDS), ("b.json", RECORDS[:2]), ("c.json", [])):
@@ -323,3 +307,12 @@ class FakeSession:
 def test_cluster_must_name_a_shared_folder():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         workspace.shared_root(FakeSession)
+
+
+def test_rows_without_a_time_share_a_window(spark):
+    rows = spark.sql("SELECT * FROM VALUES ('a', TIMESTAMP_NTZ '1969-12-31 23:59:58.5'), ('b', NULL), ('c', TIMESTAMP_NTZ '1970-01-01 00:00:10') AS t(country, ts)")
+    for cast in ("timestamp_ntz", "timestamp"):
+        got = assign_window(rows.withColumn("ts", F.col("ts").cast(cast)), "ts", 10)
+        starts = {r["country"]: r["s"] for r in got.selectExpr("country", "CAST(window_start AS STRING) s").collect()}
+        assert starts == {"a": "1969-12-31 23:59:50", "b": None, "c": "1970-01-01 00:00:10"}
+        assert metrics.country_rank(got).groupBy().sum("n").first()[0] == 3

@@ -366,3 +366,27 @@ def test_failure_is_raised(spark, tmp_path):
     with pytest.raises(StreamingQueryException):
         cli.main(["metrics", "--topic", "t", "--files", str(topic), "--out", str(tmp_path / "o"),
                   "--on-bad", "fail", "--available-now"], spark)
+
+
+def test_old_files_are_read_and_all_records_printed(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    (source / "new.json").write_text('{"key": "1", "value": "{}"}\n')
+    out, place = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    for name in ("new", "old"):
+        if name == "old":
+            (source / "old.json").write_text('{"key": "2", "value": "[]"}\n' * 1500)
+            os.utime(source / "old.json", (time.time() - 20 * 86400,) * 2)
+        stream = files.file_stream(spark, str(source))
+        jobs.run_print(stream, "t", out=out, checkpoint=place, available_now=True).awaitTermination()
+    assert spark.read.text(out).count() == 1501
+
+
+def test_csv_landing_keeps_line_breaks_and_empty_values(spark, tmp_path):
+    values = [("k", "a\nb"), (None, ""), ("", None), ("x", 'q"\r\n"'), ("y", " s ")]
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.createDataFrame(values, "key string, value string").write.parquet(source)
+    stream = files.file_stream(spark, source, fmt="parquet")
+    jobs.run_landing(stream, out, "t", fmt="csv", available_now=True).awaitTermination()
+    read = spark.read.schema("key string, value string").options(**sinks.CSV_OPTIONS).csv(sinks.result_path(out, "t", jobs.LANDED, "csv"))
+    assert sorted(map(repr, map(tuple, read.collect()))) == sorted(map(repr, values))

@@ -177,11 +177,15 @@ def _incidence(tokens: list[np.ndarray]) -> np.ndarray:
     several = np.flatnonzero(np.bincount(at) > 1)
     place = np.full(len(values), -1)
     place[several] = np.arange(len(several))
-    has = np.zeros((len(tokens), max(1, len(several))), dtype=bool)
     row = np.repeat(np.arange(len(tokens)), [len(x) for x in tokens])
-    shared = place[at] >= 0
-    has[row[shared], place[at][shared]] = True
-    return np.packbits(has, axis=1)
+    column = place[at]
+    packed = []
+    for first in range(0, max(1, len(several)), 4096):  # memory follows the bits, not the bytes
+        own = (column >= first) & (column < first + 4096)
+        has = np.zeros((len(tokens), 4096), dtype=bool)
+        has[row[own], column[own] - first] = True
+        packed.append(np.packbits(has, axis=1))
+    return np.concatenate(packed, axis=1)
 
 
 def _pairs_of_families(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from tallystream.plans.catalog import QUERIES
 from tests.oracle import compare, connect
 
 
@@ -11,14 +12,14 @@ def con(sf_dir):
     return connect(sf_dir)
 
 
-@pytest.mark.parametrize("key", sorted(queries()))
+@pytest.mark.parametrize("key", sorted(oracle_sql()))
 def test_query_matches_sql(spark, sf_dir, con, key):
     df = queries()[key](spark, sf_dir)
     compare(df, con, oracle_sql()[key])
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) <= set(oracle_sql()) <= set(queries())
 
 
 def test_entry(spark):

@@ -165,7 +165,9 @@ def _block_pairs(rows: list[tuple]) -> Iterator[tuple[int, int]]:
         keep &= apart * (OF + NEED) <= (OF - NEED) * (n[own, None] + n)
         i, j = np.nonzero(keep)
         i += first
-        common = np.bitwise_count(has[i] & has[j]).sum(1, dtype=np.int64)
+        part = max(1, (1 << 20) // max(1, has.shape[1]))  # pairs looked at together, in words
+        common = [np.bitwise_count(has[i[k : k + part]] & has[j[k : k + part]]).sum(1, dtype=np.int64) for k in range(0, len(i), part)]
+        common = np.concatenate(common) if common else np.empty(0, dtype=np.int64)
         keep = common >= np.where((more[i] & more[j]) > 0, 1, np.minimum(l[i], l[j]))
         for x, y in zip(i[keep], j[keep], strict=True):
             yield rows[x][1], rows[y][1]
@@ -185,7 +187,7 @@ def _incidence(tokens: list[np.ndarray]) -> np.ndarray:
         has = np.zeros((len(tokens), 4096), dtype=bool)
         has[row[own], column[own] - first] = True
         packed.append(np.packbits(has, axis=1))
-    return np.concatenate(packed, axis=1)
+    return np.concatenate(packed, axis=1).view(np.uint64)
 
 
 def _pairs_of_families(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -7,18 +7,18 @@ document takes the l that is cheapest for it: a longer prefix meets more posting
 but asks for more common shingles before a pair is verified. A pair needs the smaller
 of its two l. No link is lost, whatever the estimates.
 
-The order puts frequent shingles last, the rest by hash. Frequent ones are found in two
-passes: a count sketch of fixed size points out buckets above the noise, and shingles in
-those buckets are counted exactly. The list of frequent shingles is bounded; what it
-misses costs time, never links.
+The order puts shingles that may be frequent last, the rest by hash. A count sketch of
+fixed size, filled in one pass, points out buckets above the noise; a shingle in such a
+bucket counts as frequent, with the bucket's excess as its estimate. Wrong estimates
+cost time, never links.
 
 Work stays near linear in large groups: equal sets are one node; in a few rounds the
 nodes of a posting list are tried with one of them, which joins a group of near copies
 to one component; only pairs between different components remain to be looked at, by a
 join where lists are short and block by block where they are long. Sharing a component
-already, the skipped pairs cannot change it. Before
-sets are compared, bit signatures rule out pairs: shingles are hashed to bits by parity,
-so each differing bit stands for a shingle that only one set has.
+already, the skipped pairs cannot change it. Before sets are moved and compared, bit
+signatures rule out pairs: shingles are hashed to bits by parity, so each differing bit
+stands for a shingle that only one set has.
 
 Defined results: words are split at ASCII white space after lower-casing A-Z; fewer
 than five words make one shingle; texts that are null or have no word have no shingle,
@@ -40,13 +40,14 @@ from tallystream.llm.common import restart_point, stored
 WIDTH = 5
 NEED, OF = 75, 100  # Jaccard similarity as a fraction
 SKETCH = 1 << 20  # buckets
-FREQUENT = 48  # documents from which a shingle counts as frequent, if its bucket stands out
-MOST_FREQUENT = 1 << 18  # longest list of frequent shingles
+CHUNKS = 1 << 10  # of the sketch, each moved as one row
+FREQUENT = 48  # least excess of a bucket that stands out
 LONGEST = 12  # largest l
-STAR_ROUNDS = 3  # at most, before all pairs that are left
+STAR_ROUNDS = 2  # at most, before all pairs that are left
 SHORT = 64  # nodes of a posting list whose pairs are joined
 BLOCK = 2048  # nodes of a family that are looked at together
-MOST_BITS = 1024  # of a signature
+MOST_BITS = 1 << 14  # of a signature
+COARSE = 128  # bytes of a signature that all pairs of two blocks are compared by
 VERIFY_COST = 0.5  # of one shingle when verifying, in posting entries
 
 # Shingles as 64-bit hashes
@@ -113,13 +114,10 @@ def signature(hashes: np.ndarray) -> bytes:
     return np.packbits(np.bincount(hashes & (bits - 1), minlength=bits).astype(np.uint8) & 1).tobytes()
 
 
-ONES = np.array([bin(i).count("1") for i in range(256)], dtype=np.uint8)
-
-
 def _folded(bits: bytes, size: int) -> np.ndarray:
-    """A signature of fewer bits, whose parities are sums of the longer one's."""
-    x = np.frombuffer(bits, dtype=np.uint8)
-    while len(x) > size:
+    """A signature of ``size`` bytes, as words, whose parities are sums of the longer one's."""
+    x = np.frombuffer(bits, dtype=np.uint64)
+    while len(x) * 8 > size:
         x = x[: len(x) // 2] ^ x[len(x) // 2 :]
     return x
 
@@ -127,7 +125,7 @@ def _folded(bits: bytes, size: int) -> np.ndarray:
 def _apart(one: bytes, other: bytes) -> int:
     """A lower bound of the number of shingles that only one of two sets has."""
     size = min(len(one), len(other))
-    return int(ONES[_folded(one, size) ^ _folded(other, size)].sum())
+    return int(np.bitwise_count(_folded(one, size) ^ _folded(other, size)).sum())
 
 
 def _may_be_similar(s1: pd.Series, s2: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
@@ -148,9 +146,8 @@ def _block_pairs(rows: list[tuple]) -> Iterator[tuple[int, int]]:
     must allow similarity.
     """
     rows.sort(key=lambda r: r[1])
-    size = min(len(r[6]) for r in rows)
-    same = all(len(r[6]) == size for r in rows)
-    bits = np.frombuffer(b"".join(r[6] if same else _folded(r[6], size).tobytes() for r in rows), dtype=np.uint64).reshape(len(rows), size // 8)
+    size = min(COARSE, min(len(r[6]) for r in rows))
+    bits = np.stack([_folded(r[6], size) for r in rows])
     side, n, l, root, more = np.array([(r[0], r[2], r[3], r[4], r[5]) for r in rows], dtype=np.int64).T
     has = _incidence([r[7] for r in rows])
     step = max(1, (1 << 18) // len(rows))
@@ -169,8 +166,10 @@ def _block_pairs(rows: list[tuple]) -> Iterator[tuple[int, int]]:
         common = [np.bitwise_count(has[i[k : k + part]] & has[j[k : k + part]]).sum(1, dtype=np.int64) for k in range(0, len(i), part)]
         common = np.concatenate(common) if common else np.empty(0, dtype=np.int64)
         keep = common >= np.where((more[i] & more[j]) > 0, 1, np.minimum(l[i], l[j]))
-        for x, y in zip(i[keep], j[keep], strict=True):
-            yield rows[x][1], rows[y][1]
+        for x, y in zip(i[keep].tolist(), j[keep].tolist(), strict=True):
+            one, other = rows[x], rows[y]
+            if _apart(one[6], other[6]) * (OF + NEED) <= (OF - NEED) * (one[2] + other[2]):
+                yield one[1], other[1]
 
 
 def _incidence(tokens: list[np.ndarray]) -> np.ndarray:
@@ -219,50 +218,53 @@ def _sketched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         found = [_low(shingles(text)) for text in batch["text"]]
         if found:
             counts += np.bincount(np.concatenate(found) & (SKETCH - 1), minlength=SKETCH)
-    own = np.flatnonzero(counts)
-    yield pd.DataFrame({"b": own, "n": counts[own]})
+    if counts.any():
+        yield _chunk_rows(dict(enumerate(counts.reshape(CHUNKS, -1))))
 
 
-def _low(hashes: np.ndarray) -> np.ndarray:
-    """The half of the shingles that prefixes are mostly made of."""
-    return hashes[hashes < 0]
+def _chunk_rows(chunks: dict[int, np.ndarray]) -> pd.DataFrame:
+    return pd.DataFrame({"chunk": list(chunks), "n": [x.tobytes() for x in chunks.values()]})
 
 
-def _counted(suspect: np.ndarray):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = [h[suspect[h & (SKETCH - 1)]] for h in (_low(shingles(t)) for t in batch["text"])]
-            values, counts = np.unique(np.concatenate(found) if found else np.empty(0, np.int64), return_counts=True)
-            yield pd.DataFrame({"t": values, "n": counts})
+def _summed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One sum for each chunk, held in memory of the sketch's size at most."""
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for chunk, raw in zip(batch["chunk"].tolist(), batch["n"], strict=True):
+            sums[chunk] = sums.get(chunk, 0) + np.frombuffer(raw, dtype=np.int64)
+    yield _chunk_rows(sums)
 
-    return run
 
+def _low(hashes: np.ndarray) -> np.ndarray:
+    """The half of the shingles that prefixes are mostly made of."""
+    return hashes[hashes < 0]
 
-def frequent_shingles(spark: SparkSession, texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Frequent shingles in order and their counts."""
-    sketch = restart_point(spark, texts.mapInPandas(_sketched, "b bigint, n bigint").groupBy("b").agg(F.sum("n").alias("n")))
-    middle = sketch.agg(F.percentile_approx("n", 0.5, 10_000)).first()[0] or 0
-    limit = middle + max(FREQUENT, 6 * middle**0.5)
-    suspect = np.zeros(SKETCH, dtype=bool)
-    suspect[[r["b"] for r in sketch.where(F.col("n") > limit).select("b").collect()]] = True
-    if not suspect.any():
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    counts = texts.mapInPandas(_counted(suspect), "t bigint, n bigint").groupBy("t").agg(F.sum("n").alias("n"))
-    found = counts.where(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "t").limit(MOST_FREQUENT).toPandas().sort_values("t")
-    return found["t"].to_numpy(np.int64), found["n"].to_numpy(np.int64)
+
+def frequent_buckets(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the sketch that stand out, in order, and their excess over the usual count."""
+    parts = texts.mapInPandas(_sketched, "chunk int, n binary")
+    chunks = parts.repartition("chunk").mapInPandas(_summed, "chunk int, n binary").toPandas()  # of the sketch's size
+    total = np.zeros((CHUNKS, SKETCH // CHUNKS), dtype=np.int64)
+    for chunk, raw in zip(chunks["chunk"], chunks["n"], strict=True):
+        total[chunk] = np.frombuffer(raw, dtype=np.int64)
+    total = total.ravel()
+    middle = int(np.median(total))
+    buckets = np.flatnonzero(total > middle + max(FREQUENT, 6 * middle**0.5))
+    return buckets, total[buckets] - middle
 
 
 # Prefixes
 
 
-def _prefix(hashes: np.ndarray, frequent: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
-    """The cheapest l with its prefix, and which shingles of the prefix are frequent."""
+def _prefix(hashes: np.ndarray, buckets: np.ndarray, excess: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """The cheapest l with its prefix, and which shingles of the prefix may be frequent."""
     n = len(hashes)
     need = -(-NEED * n // OF)
     rank = np.ones(n, dtype=np.int64)
-    if len(frequent):
-        where = np.minimum(np.searchsorted(frequent, hashes), len(frequent) - 1)
-        rank = np.where(frequent[where] == hashes, counts[where], 1)
+    if len(buckets):
+        own = hashes & (SKETCH - 1)
+        where = np.minimum(np.searchsorted(buckets, own), len(buckets) - 1)
+        rank = np.where((buckets[where] == own) & (hashes < 0), excess[where], 1)
     order = np.concatenate((np.flatnonzero(rank == 1), np.flatnonzero(rank > 1)))
     most = min(LONGEST, need)
     first = n - need + 1
@@ -285,13 +287,13 @@ def _digests(hashes: np.ndarray) -> tuple[int, int]:
     return int(a.view(np.int64)[0]), int(b.view(np.int64)[0])
 
 
-def _signed(frequent: np.ndarray, counts: np.ndarray):
+def _signed(buckets: np.ndarray, excess: np.ndarray):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for doc, text in zip(batch["doc_id"], batch["text"], strict=True):
                 h = shingles(text)
-                prefix, often, matches = _prefix(h, frequent, counts) if len(h) else (h, np.empty(0, bool), 0)
+                prefix, often, matches = _prefix(h, buckets, excess) if len(h) else (h, np.empty(0, bool), 0)
                 rows.append((doc, *_digests(h), len(h), matches, signature(h), prefix[~often], prefix[often]))
             out = pd.DataFrame(rows, columns=["doc_id", "a", "b", "n", "l", "bits", "rare", "often"])
             out["doc_id"] = batch["doc_id"].to_numpy()
@@ -341,9 +343,16 @@ def _verified(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, name: str) ->
 def components(spark: SparkSession, links: DataFrame) -> DataFrame:
     """``node, root``: the smallest node reachable, for every node of ``links(u, v)``.
 
-    Alternates large and small stars until nothing changes.
+    Alternates large and small stars until nothing changes; rounds are compared by the
+    number of edges and two sums of hashes.
     """
+
+    def state(edges: DataFrame) -> tuple:
+        h = F.xxhash64("u", "v")
+        return tuple(edges.agg(F.count("*"), F.sum(h.cast("decimal(20,0)")), F.bit_xor(F.xxhash64(h, "v"))).first())
+
     edges = restart_point(spark, links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct())
+    before = state(edges)
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -351,10 +360,9 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(low, "u")
         small = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).distinct()
-        new = restart_point(spark, small)
-        changed = new.join(edges, ["u", "v"], "left_anti").limit(1).count() + edges.join(new, ["u", "v"], "left_anti").limit(1).count()
-        edges = new
-        if not changed:
+        edges = restart_point(spark, small)
+        was, before = before, state(edges)
+        if was == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
@@ -368,15 +376,15 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     """``doc_id, n_shingles, component_id`` for every row, by links of Jaccard >= 0.75."""
     spark = documents.sparkSession
     docs = documents.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    frequent, counts = frequent_shingles(spark, docs.select("text"))
+    buckets, excess = frequent_buckets(docs.select("text"))
 
     # One row per document with the digests of its set (a, b), its bits and its prefix.
-    signed = stored(spark, docs.mapInPandas(_signed(frequent, counts), SIGNED), "jaccard-prefixes")
+    signed = stored(spark, docs.mapInPandas(_signed(buckets, excess), SIGNED), "jaccard-prefixes")
     known = signed.where("n > 0").groupBy("a").agg(F.min(F.struct("doc_id", "n", "l", "bits")).alias("m"))
     nodes = stored(spark, known.select("a", "m.doc_id", "m.n", "m.l", "m.bits"), "jaccard-nodes")
 
-    # Entries of posting lists with more than one node. Lists of rare shingles are short,
-    # since their buckets did not stand out; the others combine before they are moved.
+    # Entries of posting lists. Lists of rare shingles are short, since their buckets did
+    # not stand out, and those of one node go; the others combine before they are moved.
     in_list = Window.partitionBy("t")
     rare = signed.select(F.explode("rare").alias("t"), "a")
     rare = rare.withColumn("lo", F.min("a").over(in_list)).withColumn("hi", F.max("a").over(in_list)).where("lo <> hi").select("t", "a")

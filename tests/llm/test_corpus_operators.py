@@ -92,14 +92,26 @@ def test_prefixes_of_any_length_keep_links():
         common = len(np.intersect1d(base, other))
         if 100 * common < 75 * (2 * n - common):
             continue
-        frequent = np.unique(random.choice(base, size=max(1, n // 2)))
-        counts = random.integers(50, 5000, size=len(frequent))
-        (p, _, l1), (q, _, l2) = (jaccard._prefix(np.unique(x), frequent, counts) for x in (base, other))
+        base, other = base - 2**40, other - 2**40  # the sketch counts negative ones
+        buckets = np.unique(random.choice(base, size=max(1, n // 2)) & (jaccard.SKETCH - 1))
+        excess = random.integers(50, 5000, size=len(buckets))
+        (p, _, l1), (q, _, l2) = (jaccard._prefix(np.unique(x), buckets, excess) for x in (base, other))
         assert len(np.intersect1d(p, q)) >= min(l1, l2)
         bound = len(np.setxor1d(base, other))
         assert jaccard._apart(jaccard.signature(base), jaccard.signature(other)) <= bound
 
 
+def test_buckets_of_shingles_in_many_texts_stand_out(spark):
+    """The sketch adds up over partitions; a passage in all texts is found, with its count."""
+    passage = " ".join(f"w{i}" for i in range(9))
+    docs = docs_of(spark, [None, ""] + [f"{passage} {' '.join(f't{k}n{i}' for i in range(6))}" for k in range(90)]).repartition(7)
+    buckets, excess = jaccard.frequent_buckets(docs.select("text"))
+    common = {int(h) & (jaccard.SKETCH - 1) for h in jaccard.shingles(passage) if h < 0}
+    assert common <= set(buckets.tolist()) and (excess >= 90).all()
+    none = jaccard.frequent_buckets(docs.where("false").select("text"))
+    assert [len(x) for x in none] == [0, 0]
+
+
 def test_blocks_of_a_family_give_each_pair_once():
     random = np.random.default_rng(9)
     nodes = []

@@ -43,7 +43,10 @@ SKETCH = 1 << 20  # buckets
 CHUNKS = 1 << 10  # of the sketch, each moved as one row
 FREQUENT = 48  # least excess of a bucket that stands out
 LONGEST = 12  # largest l
-STAR_ROUNDS = 2  # at most, before all pairs that are left
+STAR_ROUNDS = 8  # at most, before all pairs that are left
+WORTH = 10  # a round that links less than one of so many pairs tried is the last
+FOREST_ROUNDS = 6  # at most, before the pairs that are left are verified
+DENSE = 4  # pairs for each node from which such rounds are worth it
 SHORT = 64  # nodes of a posting list whose pairs are joined
 BLOCK = 2048  # nodes of a family that are looked at together
 MOST_BITS = 1 << 14  # of a signature
@@ -319,14 +322,18 @@ def _sizes_fit(n1: Column, n2: Column) -> Column:
     return (F.least(n1, n2) * OF) >= (F.greatest(n1, n2) * NEED)
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, name: str) -> DataFrame:
-    """Of pairs (u, v) of nodes, those whose sets are similar enough."""
-    spark = docs.sparkSession
+def _close(pairs: DataFrame, nodes: DataFrame, name: str) -> DataFrame:
+    """Of pairs (u, v) of nodes, those that signatures do not rule out, as a stored table."""
     one = nodes.select(F.col("a").alias("u"), F.col("bits").alias("s1"), F.col("n").alias("n1"))
     two = nodes.select(F.col("a").alias("v"), F.col("bits").alias("s2"), F.col("n").alias("n2"))
     may_be = F.pandas_udf(_may_be_similar, "boolean")
-    close = pairs.join(one, "u").join(two, "v").where(may_be("s1", "s2", "n1", "n2")).select("u", "v")
-    close = stored(spark, close, f"jaccard-{name}-pairs")
+    left = pairs.join(one, "u").join(two, "v").where(may_be("s1", "s2", "n1", "n2")).select("u", "v")
+    return stored(pairs.sparkSession, left, f"jaccard-{name}-pairs")
+
+
+def _verified(docs: DataFrame, close: DataFrame, nodes: DataFrame, name: str) -> DataFrame:
+    """Of stored pairs (u, v) of nodes, those whose sets are similar enough."""
+    spark = docs.sparkSession
     # The sets of the nodes left, each from one document. The ids are a stored table, so
     # Spark knows whether they are few enough to go to the texts instead of the reverse.
     few = nodes.join(close.select(F.explode(F.array("u", "v")).alias("a")).distinct(), "a", "left_semi")
@@ -393,7 +400,7 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     shared = stored(spark, shared, "jaccard-lists")
     # Rounds of stars: each list's first node, in an order that changes with the round, is
     # tried with the nodes of other components. Groups of near copies merge this way at a
-    # cost in proportion to their size.
+    # cost in proportion to their size. Rounds go on while they are worth it.
     links, roots = spark.createDataFrame([], "u bigint, v bigint"), None
     for step in range(STAR_ROUNDS):
         held = _with_roots(shared, roots)
@@ -401,11 +408,14 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
         lists = held.groupBy("t").agg(F.min(place).alias("p"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
         met = held.join(lists, "t").where((F.col("root") != F.col("p.root")) & _sizes_fit(F.col("n"), F.col("p.n")))
         tries = met.groupBy(F.col("a").alias("u"), F.col("p.a").alias("v")).agg(F.count("*").alias("c")).where("c >= 4").select("u", "v")
-        found = _verified(docs, tries, nodes, f"stars-{step}")
-        if not found.limit(1).count():
+        tries = stored(spark, tries, f"jaccard-stars-{step}-tries")
+        found = _verified(docs, _close(tries, nodes, f"stars-{step}"), nodes, f"stars-{step}")
+        tried, linked = tries.count(), found.count()
+        if linked:
+            links = links.unionByName(found)
+            roots = components(spark, links)
+        if linked * WORTH < tried or not tried:
             break
-        links = links.unionByName(found)
-        roots = components(spark, links)
 
     # Every pair of different components that shares enough of its prefixes: those in short
     # lists by a join, those in long lists family by family. A family is what long lists
@@ -425,7 +435,10 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     rest = joined.where("c >= least").select("u", "v")
 
     many = open_.where("long = 1")
-    edges = many.where("a <> head").select(F.col("a").alias("u"), F.col("head").alias("v")).distinct()
+    # A node goes to the least head of its lists, and their other heads do so too: far
+    # fewer edges than entries, since the lists of a family share few heads.
+    to = many.groupBy("a").agg(F.min("head").alias("v"), F.collect_set("head").alias("heads"))
+    edges = to.select(F.explode(F.array_append("heads", F.col("a"))).alias("u"), "v").where("u <> v").distinct()
     families = components(spark, edges).select(F.col("node").alias("a"), F.col("root").alias("family"))
     blocks = families.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     members = many.groupBy("a").agg(F.array_sort(F.collect_set("t")).alias("tokens"), F.first("root").alias("root"))
@@ -437,6 +450,22 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     spread = spread.select("family", low.alias("i"), high.alias("j"), side.alias("side"), "a", "n", "l", "root", "more", "bits", "tokens")
     dealt = spread.repartition("family", "i", "j").sortWithinPartitions("family", "i", "j")
     rest = rest.unionByName(dealt.mapInPandas(_pairs_of_families, "u bigint, v bigint")).distinct()
+    # A dense group has far more pairs than nodes. While that is so, every node is tried
+    # with its first and last partner, and pairs that thereby share a component go.
+    rest = _close(rest, nodes, "rest")
+    members = rest.agg(F.approx_count_distinct("u")).first()[0]
+    for step in range(FOREST_ROUNDS):
+        if rest.count() <= DENSE * members:
+            break
+        ends = rest.groupBy("u").agg(F.array(F.min("v"), F.max("v")).alias("v")).select("u", F.explode("v").alias("v"))
+        ends = stored(spark, ends.distinct(), f"jaccard-forest-{step}")
+        links = links.unionByName(_verified(docs, ends, nodes, f"forest-{step}"))
+        roots = components(spark, links)
+        one = roots.select(F.col("node").alias("u"), F.col("root").alias("r1"))
+        two = roots.select(F.col("node").alias("v"), F.col("root").alias("r2"))
+        apart = F.coalesce("r1", "u") != F.coalesce("r2", "v")
+        rest = rest.join(ends, ["u", "v"], "left_anti").join(one, "u", "left").join(two, "v", "left").where(apart).select("u", "v")
+        rest = stored(spark, rest, f"jaccard-rest-{step}")
     links = links.unionByName(_verified(docs, rest, nodes, "rest"))
     roots = components(spark, links)
 

@@ -45,10 +45,13 @@ FREQUENT = 48  # least excess of a bucket that stands out
 LONGEST = 12  # largest l
 STAR_ROUNDS = 8  # at most, before all pairs that are left
 WORTH = 10  # a round that links less than one of so many pairs tried is the last
+RESTART = 4  # rounds of components between two checkpoints
 FOREST_ROUNDS = 6  # at most, before the pairs that are left are verified
 DENSE = 4  # pairs for each node from which such rounds are worth it
 SHORT = 64  # nodes of a posting list whose pairs are joined
 BLOCK = 2048  # nodes of a family that are looked at together
+BLOCK_TOKENS = 1 << 20  # of a block, about
+PART = 1 << 14  # tokens whose incidence is held at a time
 MOST_BITS = 1 << 14  # of a signature
 COARSE = 128  # bytes of a signature that all pairs of two blocks are compared by
 VERIFY_COST = 0.5  # of one shingle when verifying, in posting entries
@@ -140,7 +143,7 @@ def _may_be_similar(s1: pd.Series, s2: pd.Series, n1: pd.Series, n2: pd.Series)
 # Pairs within families of long posting lists
 
 
-def _block_pairs(rows: list[tuple]) -> Iterator[tuple[int, int]]:
+def _block_pairs(rows: list[tuple]) -> Iterator[pd.DataFrame]:
     """Pairs of a family, within one block or between two, that may be similar.
 
     A row is (side, a, n, l, root, more, bits, tokens): the tokens are those of its long
@@ -152,8 +155,11 @@ def _block_pairs(rows: list[tuple]) -> Iterator[tuple[int, int]]:
     size = min(COARSE, min(len(r[6]) for r in rows))
     bits = np.stack([_folded(r[6], size) for r in rows])
     side, n, l, root, more = np.array([(r[0], r[2], r[3], r[4], r[5]) for r in rows], dtype=np.int64).T
-    has = _incidence([r[7] for r in rows])
+    row, column, width = _shared_tokens([r[7] for r in rows])
+    parts = range(0, max(1, width), PART)
+    whole = _incidence(row, column, len(rows), 0) if len(parts) == 1 else None
     step = max(1, (1 << 18) // len(rows))
+    waiting: list[tuple[np.ndarray, np.ndarray]] = []
     for first in range(0, len(rows), step):
         own = np.arange(first, min(first + step, len(rows)))
         # Within one block each pair once; of two blocks only pairs across.
@@ -164,52 +170,58 @@ def _block_pairs(rows: list[tuple]) -> Iterator[tuple[int, int]]:
             apart += np.bitwise_count(bits[own, k][:, None] ^ bits[:, k])
         keep &= apart * (OF + NEED) <= (OF - NEED) * (n[own, None] + n)
         i, j = np.nonzero(keep)
-        i += first
-        part = max(1, (1 << 20) // max(1, has.shape[1]))  # pairs looked at together, in words
-        common = [np.bitwise_count(has[i[k : k + part]] & has[j[k : k + part]]).sum(1, dtype=np.int64) for k in range(0, len(i), part)]
-        common = np.concatenate(common) if common else np.empty(0, dtype=np.int64)
+        waiting.append((i + first, j))
+        if sum(len(x) for x, _ in waiting) < 1 << 18 and own[-1] + 1 < len(rows):
+            continue
+        i, j = (np.concatenate(x) for x in zip(*waiting, strict=True))
+        waiting = []
+        common = np.zeros(len(i), dtype=np.int64)
+        for part in parts:
+            has = whole if whole is not None else _incidence(row, column, len(rows), part)
+            for k in range(0, len(i), 4096):
+                common[k : k + 4096] += np.bitwise_count(has[i[k : k + 4096]] & has[j[k : k + 4096]]).sum(1, dtype=np.int64)
         keep = common >= np.where((more[i] & more[j]) > 0, 1, np.minimum(l[i], l[j]))
+        found = []
         for x, y in zip(i[keep].tolist(), j[keep].tolist(), strict=True):
             one, other = rows[x], rows[y]
             if _apart(one[6], other[6]) * (OF + NEED) <= (OF - NEED) * (one[2] + other[2]):
-                yield one[1], other[1]
+                found.append((one[1], other[1]))
+        yield pd.DataFrame(found, columns=["u", "v"])
 
 
-def _incidence(tokens: list[np.ndarray]) -> np.ndarray:
-    """Which row has which of the tokens that several rows have, as bits."""
+def _shared_tokens(tokens: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, int]:
+    """Row and number of every entry of a token that several rows have, and how many such tokens there are."""
     values, at = np.unique(np.concatenate(tokens), return_inverse=True)
-    several = np.flatnonzero(np.bincount(at) > 1)
-    place = np.full(len(values), -1)
-    place[several] = np.arange(len(several))
+    several = np.bincount(at) > 1
+    place = np.cumsum(several) - 1
     row = np.repeat(np.arange(len(tokens)), [len(x) for x in tokens])
-    column = place[at]
-    packed = []
-    for first in range(0, max(1, len(several)), 4096):  # memory follows the bits, not the bytes
-        own = (column >= first) & (column < first + 4096)
-        has = np.zeros((len(tokens), 4096), dtype=bool)
-        has[row[own], column[own] - first] = True
-        packed.append(np.packbits(has, axis=1))
-    return np.concatenate(packed, axis=1).view(np.uint64)
+    entry = several[at]
+    return row[entry], place[at[entry]], int(several.sum())
+
+
+def _incidence(row: np.ndarray, column: np.ndarray, rows: int, first: int) -> np.ndarray:
+    """Which row has which of the ``PART`` tokens from ``first`` on, as bits."""
+    most = int(column.max(initial=0)) + 1 - first
+    has = np.zeros((rows, min(PART, -(-max(1, most) // 64) * 64)), dtype=bool)
+    own = (column >= first) & (column < first + PART)
+    has[row[own], column[own] - first] = True
+    return np.packbits(has, axis=1).view(np.uint64)
 
 
 def _pairs_of_families(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Rows come sorted by family and pair of blocks, which may go on in the next batch."""
     columns = ["side", "a", "n", "l", "root", "more", "bits", "tokens"]
     key, rows = None, []
-
-    def pairs() -> list[tuple[int, int]]:
-        return list(_block_pairs(rows)) if len(rows) > 1 else []
-
     for batch in batches:
-        found = []
         keys = zip(batch["family"], batch["i"], batch["j"], strict=True)
         for new, row in zip(keys, zip(*(batch[c] for c in columns), strict=True), strict=True):
             if new != key:
-                found += pairs()
+                if len(rows) > 1:
+                    yield from _block_pairs(rows)
                 key, rows = new, []
             rows.append(row)
-        yield pd.DataFrame(found, columns=["u", "v"])
-    yield pd.DataFrame(pairs(), columns=["u", "v"])
+    if len(rows) > 1:
+        yield from _block_pairs(rows)
 
 
 # Frequent shingles
@@ -350,27 +362,48 @@ def _verified(docs: DataFrame, close: DataFrame, nodes: DataFrame, name: str) ->
 def components(spark: SparkSession, links: DataFrame) -> DataFrame:
     """``node, root``: the smallest node reachable, for every node of ``links(u, v)``.
 
-    Alternates large and small stars until nothing changes; rounds are compared by the
-    number of edges and two sums of hashes.
+    Alternates large and small stars until every edge leads straight to a root. The edges
+    of a round are kept by the executors and written every few rounds only, for a round
+    that is lost is soon computed again; a table of small files a round costs far more.
     """
-
-    def state(edges: DataFrame) -> tuple:
-        h = F.xxhash64("u", "v")
-        return tuple(edges.agg(F.count("*"), F.sum(h.cast("decimal(20,0)")), F.bit_xor(F.xxhash64(h, "v"))).first())
-
-    edges = restart_point(spark, links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct())
-    before = state(edges)
-    while True:
+    edges = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct()
+    edges, step = edges.persist(), 0
+    while _unsettled(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(low, "u")
         small = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).distinct()
-        edges = restart_point(spark, small)
-        was, before = before, state(edges)
-        if was == before:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+        before, step = edges, step + 1
+        edges = (small if step % RESTART else restart_point(spark, small)).persist()
+        edges.count()
+        before.unpersist()
+    roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
+    out = restart_point(spark, edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots))
+    edges.unpersist()
+    return out
+
+
+def _unsettled(edges: DataFrame) -> bool:
+    """Whether a node has several edges to lower ones, or one of its lower ones has such an edge itself."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("down"), F.lit(0).alias("up"))
+    ends = ends.unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("down"), F.lit(1).alias("up")))
+    ends = ends.groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+    return ends.where("down > 1 OR (down = 1 AND up = 1)").count() > 0
+
+
+def merged(spark: SparkSession, roots: DataFrame | None, links: DataFrame) -> DataFrame:
+    """``node, root`` after further links: only the components that they connect are looked at."""
+    if roots is None:
+        return components(spark, links)
+    one = roots.select(F.col("node").alias("u"), F.col("root").alias("r1"))
+    two = roots.select(F.col("node").alias("v"), F.col("root").alias("r2"))
+    between = links.join(one, "u", "left").join(two, "v", "left").select(F.coalesce("r1", "u").alias("u"), F.coalesce("r2", "v").alias("v"))
+    more = components(spark, between)
+    known = roots.join(more.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left")
+    known = known.select("node", F.coalesce("top", "root").alias("root"))
+    return restart_point(spark, known.unionByName(more.join(roots, "node", "left_anti")))
 
 
 def _with_roots(entries: DataFrame, roots: DataFrame | None) -> DataFrame:
@@ -401,21 +434,21 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     # Rounds of stars: each list's first node, in an order that changes with the round, is
     # tried with the nodes of other components. Groups of near copies merge this way at a
     # cost in proportion to their size. Rounds go on while they are worth it.
-    links, roots = spark.createDataFrame([], "u bigint, v bigint"), None
+    late, roots = spark.createDataFrame([], "u bigint, v bigint"), None
     for step in range(STAR_ROUNDS):
         held = _with_roots(shared, roots)
         place = F.struct(F.xxhash64(F.lit(step), "a").alias("h"), "a", "n", "root")
         lists = held.groupBy("t").agg(F.min(place).alias("p"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
         met = held.join(lists, "t").where((F.col("root") != F.col("p.root")) & _sizes_fit(F.col("n"), F.col("p.n")))
         tries = met.groupBy(F.col("a").alias("u"), F.col("p.a").alias("v")).agg(F.count("*").alias("c")).where("c >= 4").select("u", "v")
-        tries = stored(spark, tries, f"jaccard-stars-{step}-tries")
+        tries = tries.persist()
         found = _verified(docs, _close(tries, nodes, f"stars-{step}"), nodes, f"stars-{step}")
         tried, linked = tries.count(), found.count()
-        if linked:
-            links = links.unionByName(found)
-            roots = components(spark, links)
+        tries.unpersist()
         if linked * WORTH < tried or not tried:
+            late = found  # few: merged with the links that come next
             break
+        roots = merged(spark, roots, found)
 
     # Every pair of different components that shares enough of its prefixes: those in short
     # lists by a join, those in long lists family by family. A family is what long lists
@@ -440,9 +473,11 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     to = many.groupBy("a").agg(F.min("head").alias("v"), F.collect_set("head").alias("heads"))
     edges = to.select(F.explode(F.array_append("heads", F.col("a"))).alias("u"), "v").where("u <> v").distinct()
     families = components(spark, edges).select(F.col("node").alias("a"), F.col("root").alias("family"))
-    blocks = families.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     members = many.groupBy("a").agg(F.array_sort(F.collect_set("t")).alias("tokens"), F.first("root").alias("root"))
-    members = members.join(families, "a").join(blocks, "family").join(kinds.select("a", F.col("short").alias("more")), "a").join(nodes.select("a", "n", "l", "bits"), "a")
+    members = members.join(families, "a")
+    sizes = many.join(families, "a").groupBy("family").agg(F.approx_count_distinct("a").alias("c"), F.count("*").alias("entries"))
+    blocks = sizes.select("family", F.ceil(F.greatest(F.col("c") / BLOCK, F.col("entries") / BLOCK_TOKENS)).cast("int").alias("blocks"))
+    members = members.join(blocks, "family").join(kinds.select("a", F.col("short").alias("more")), "a").join(nodes.select("a", "n", "l", "bits"), "a")
     spread = members.withColumn("own", F.pmod(F.xxhash64(F.lit(3), "a"), F.col("blocks")).cast("int"))
     spread = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     low, high = F.least("own", "other"), F.greatest("own", "other")
@@ -459,15 +494,14 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
             break
         ends = rest.groupBy("u").agg(F.array(F.min("v"), F.max("v")).alias("v")).select("u", F.explode("v").alias("v"))
         ends = stored(spark, ends.distinct(), f"jaccard-forest-{step}")
-        links = links.unionByName(_verified(docs, ends, nodes, f"forest-{step}"))
-        roots = components(spark, links)
+        roots = merged(spark, roots, late.unionByName(_verified(docs, ends, nodes, f"forest-{step}")))
+        late = late.limit(0)
         one = roots.select(F.col("node").alias("u"), F.col("root").alias("r1"))
         two = roots.select(F.col("node").alias("v"), F.col("root").alias("r2"))
         apart = F.coalesce("r1", "u") != F.coalesce("r2", "v")
         rest = rest.join(ends, ["u", "v"], "left_anti").join(one, "u", "left").join(two, "v", "left").where(apart).select("u", "v")
         rest = stored(spark, rest, f"jaccard-rest-{step}")
-    links = links.unionByName(_verified(docs, rest, nodes, "rest"))
-    roots = components(spark, links)
+    roots = merged(spark, roots, late.unionByName(_verified(docs, rest, nodes, "rest")))
 
     # Back to documents: equal sets share a node, the smallest id names the component.
     named = signed.select("doc_id", F.col("n").alias("n_shingles"), "a", "b")

@@ -45,7 +45,6 @@ FREQUENT = 48  # least excess of a bucket that stands out
 LONGEST = 12  # largest l
 STAR_ROUNDS = 8  # at most, before all pairs that are left
 WORTH = 10  # a round that links less than one of so many pairs tried is the last
-RESTART = 4  # rounds of components between two checkpoints
 FOREST_ROUNDS = 6  # at most, before the pairs that are left are verified
 DENSE = 4  # pairs for each node from which such rounds are worth it
 SHORT = 64  # nodes of a posting list whose pairs are joined
@@ -362,12 +361,10 @@ def _verified(docs: DataFrame, close: DataFrame, nodes: DataFrame, name: str) ->
 def components(spark: SparkSession, links: DataFrame) -> DataFrame:
     """``node, root``: the smallest node reachable, for every node of ``links(u, v)``.
 
-    Alternates large and small stars until every edge leads straight to a root. The edges
-    of a round are kept by the executors and written every few rounds only, for a round
-    that is lost is soon computed again; a table of small files a round costs far more.
+    Alternates large and small stars until every edge leads straight to a root.
     """
     edges = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct()
-    edges, step = edges.persist(), 0
+    edges = restart_point(spark, edges)
     while _unsettled(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -375,14 +372,9 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(low, "u")
         small = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).distinct()
-        before, step = edges, step + 1
-        edges = (small if step % RESTART else restart_point(spark, small)).persist()
-        edges.count()
-        before.unpersist()
+        edges = restart_point(spark, small)
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
-    out = restart_point(spark, edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots))
-    edges.unpersist()
-    return out
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
 
 
 def _unsettled(edges: DataFrame) -> bool:

@@ -53,6 +53,7 @@ def cut_at_buckets(ranges: DataFrame, shift: int) -> DataFrame:
         F.least(F.col("hi"), start + F.lit((1 << shift) - 1)).alias("hi"),
         "geo",
         (F.col("hi") - F.col("lo")).alias("width"),
+        F.col("lo").alias("first"),
     )
 
 
@@ -77,19 +78,21 @@ def _sweeper():
     geo_fields = list(GEO_FIELDS)
 
     def sweep(pdf: pd.DataFrame) -> pd.DataFrame:
-        """Disjoint pieces of one bucket, each given to its narrowest range."""
-        pdf = pdf.sort_values("lo", kind="stable")
+        """Disjoint pieces of one bucket, each given to its narrowest range; of several
+        such ranges to the first by start and place, whatever the order of rows."""
+        pdf = pdf.sort_values(["lo", "hi", "width", "first", "place"], kind="stable")
         lo, hi, width = pdf["lo"].to_numpy(), pdf["hi"].to_numpy(), pdf["width"].to_numpy()
+        tie = list(zip(pdf["first"].tolist(), pdf["place"].tolist(), strict=True))
         edges = sorted(set(lo.tolist()) | set((hi + 1).tolist()))
         active, begun, pieces = [], 0, []
         for start, end in zip(edges, edges[1:]):
             while begun < len(lo) and lo[begun] <= start:
-                heapq.heappush(active, (width[begun], begun))
+                heapq.heappush(active, (width[begun], *tie[begun], begun))
                 begun += 1
-            while active and hi[active[0][1]] < start:
+            while active and hi[active[0][-1]] < start:
                 heapq.heappop(active)
             if active:
-                pieces.append((start, end - 1, active[0][1]))
+                pieces.append((start, end - 1, active[0][-1]))
         chosen = pdf.iloc[[p[2] for p in pieces]].reset_index(drop=True)
         chosen["lo"] = [p[0] for p in pieces]
         chosen["hi"] = [p[1] for p in pieces]
@@ -104,12 +107,12 @@ def keep_narrowest(ranges: DataFrame, crossing: DataFrame) -> DataFrame:
     calm = pieces.join(crossing, "bucket", "left_anti").select("lo", "hi", "geo")
     # Ranges with equal ends inside a bucket collapse to the narrowest before
     # the bucket is handed to one task.
-    by_width = F.struct("width", F.to_json("geo"))
+    place = F.coalesce(F.to_json("geo"), F.lit(""))
     swept = (
         pieces.join(crossing, "bucket", "left_semi")
         .groupBy("bucket", "lo", "hi")
-        .agg(F.min("width").alias("width"), F.min_by("geo", by_width).alias("geo"))
-        .select("bucket", "lo", "hi", "width", "geo.*")
+        .agg(F.min_by(F.struct("width", "first", place.alias("place"), "geo"), F.struct("width", "first", place)).alias("m"))
+        .select("bucket", "lo", "hi", "m.width", "m.first", "m.place", "m.geo.*")
         .groupBy("bucket")
         .applyInPandas(
             _sweeper(), T.StructType([*RANGE_SCHEMA.fields[:2], *GEO_STRUCT.fields])

@@ -25,7 +25,10 @@ ENVELOPE = T.StructType([
     T.StructField("timestamp", T.TimestampType()),
 ])
 
-RANGE_SCHEMA = T.StructType([
+# A line of a message file that is no envelope, as a column Spark fills.
+BROKEN_LINE = "_broken_line"
+
+RANGE_SCHEMA =T.StructType([
     T.StructField("lo", T.LongType(), False),
     T.StructField("hi", T.LongType(), False),
     T.StructField("geo", GEO_STRUCT),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallystream.schema import ENVELOPE
+from tallystream.schema import BROKEN_LINE, ENVELOPE
 
 
 def file_stream(
@@ -27,12 +27,21 @@ def file_stream(
     """
     if max_files is not None and max_bytes is not None:
         raise ValueError("give max_files or max_bytes, not both")
-    reader = spark.readStream.format(fmt).schema(schema).option("maxFileAge", max_age)
+    keeps_broken = fmt == "json" and "value" in schema.fieldNames()
+    read_as = T.StructType([*schema.fields, T.StructField(BROKEN_LINE, T.StringType())]) if keeps_broken else schema
+    reader = spark.readStream.format(fmt).schema(read_as).option("maxFileAge", max_age)
+    if keeps_broken:
+        reader = reader.option("columnNameOfCorruptRecord", BROKEN_LINE)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if max_bytes is not None:
         reader = reader.option("maxBytesPerTrigger", max_bytes)
-    return reader.load(path)
+    messages = reader.load(path)
+    if not keeps_broken:
+        return messages
+    # The text of a line that is no envelope takes the place of its message, so
+    # that decoding sets it aside whole.
+    return messages.withColumn("value", F.coalesce(BROKEN_LINE, "value")).drop(BROKEN_LINE)
 
 
 def json_lines(spark: SparkSession, path: str) -> DataFrame:

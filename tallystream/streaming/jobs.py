@@ -60,10 +60,10 @@ def _results(
     total = metrics.roll_up(base, KEYS).select(*KEYS, F.lit("message_total").alias("label"), "n")
     results = {
         RAW: decoded.select(*KEYS, "key", "value"),
-        COUNTRY: metrics.ranked(by_country, "country", KEYS).orderBy("rk"),
+        COUNTRY: metrics.ranked(by_country, "country", KEYS),
         USERS: metrics.unique_users(good, KEYS).unionByName(total),
         GENDER: metrics.roll_up(base, KEYS, "gender"),
-        QUARANTINE: msg.rejected(decoded).select(*KEYS, "value", "reason"),
+        QUARANTINE: msg.rejected(decoded).select(*KEYS, "key", "value", "reason"),
     }
     if ranges is not None:
         results[IP] = enrich.ip_rows(enrich.ip_enrich(good, ranges), KEYS)
@@ -120,7 +120,10 @@ def run_metrics(
             sinks.write_batch(results[metric].drop("batch_id"), out, topic, metric, batch_id, fmt)
 
         try:
-            _at_once(batch.sparkSession, save, list(results))
+            # The first write fills what is kept. Side by side on an empty store, each
+            # write would read and decode for itself on the executors it lands on.
+            save(RAW)
+            _at_once(batch.sparkSession, save, [name for name in results if name != RAW])
         finally:
             base.unpersist()
             decoded.unpersist()

@@ -46,6 +46,7 @@ LONGEST = 12  # largest l
 STAR_ROUNDS = 8  # at most, before all pairs that are left
 WORTH = 10  # a round that links less than one of so many pairs tried is the last
 FOREST_ROUNDS = 6  # at most, before the pairs that are left are verified
+NEAREST = 2  # partners of a node that are tried before all
 DENSE = 4  # pairs for each node from which such rounds are worth it
 SHORT = 64  # nodes of a posting list whose pairs are joined
 BLOCK = 2048  # nodes of a family that are looked at together
@@ -142,8 +143,9 @@ def _may_be_similar(s1: pd.Series, s2: pd.Series, n1: pd.Series, n2: pd.Series)
 # Pairs within families of long posting lists
 
 
-def _block_pairs(rows: list[tuple]) -> Iterator[pd.DataFrame]:
-    """Pairs of a family, within one block or between two, that may be similar.
+def _block_pairs(rows: list[tuple], nearest: int | None) -> Iterator[pd.DataFrame]:
+    """Pairs of a family, within one block or between two, that may be similar; with
+    ``nearest`` only so many for each node, by signature.
 
     A row is (side, a, n, l, root, more, bits, tokens): the tokens are those of its long
     lists, ``more`` says whether it is in short lists too. A pair must share a token, as
@@ -183,9 +185,13 @@ def _block_pairs(rows: list[tuple]) -> Iterator[pd.DataFrame]:
         found = []
         for x, y in zip(i[keep].tolist(), j[keep].tolist(), strict=True):
             one, other = rows[x], rows[y]
-            if _apart(one[6], other[6]) * (OF + NEED) <= (OF - NEED) * (one[2] + other[2]):
-                found.append((one[1], other[1]))
-        yield pd.DataFrame(found, columns=["u", "v"])
+            apart = _apart(one[6], other[6])
+            if apart * (OF + NEED) <= (OF - NEED) * (one[2] + other[2]):
+                found.append((one[1], other[1], apart / (one[2] + other[2])))
+        pairs = pd.DataFrame(found, columns=["u", "v", "apart"])
+        if nearest is not None:  # all pairs of a node and those before it are found together
+            pairs = pairs.sort_values(["apart", "v"], kind="stable").groupby("u", sort=False).head(nearest)
+        yield pairs[["u", "v"]]
 
 
 def _shared_tokens(tokens: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, int]:
@@ -207,20 +213,34 @@ def _incidence(row: np.ndarray, column: np.ndarray, rows: int, first: int) -> np
     return np.packbits(has, axis=1).view(np.uint64)
 
 
-def _pairs_of_families(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows come sorted by family and pair of blocks, which may go on in the next batch."""
-    columns = ["side", "a", "n", "l", "root", "more", "bits", "tokens"]
-    key, rows = None, []
-    for batch in batches:
-        keys = zip(batch["family"], batch["i"], batch["j"], strict=True)
-        for new, row in zip(keys, zip(*(batch[c] for c in columns), strict=True), strict=True):
-            if new != key:
-                if len(rows) > 1:
-                    yield from _block_pairs(rows)
-                key, rows = new, []
-            rows.append(row)
-    if len(rows) > 1:
-        yield from _block_pairs(rows)
+def _pairs_of_families(nearest: int | None):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Rows come sorted by family and pair of blocks, which may go on in the next batch."""
+        columns = ["side", "a", "n", "l", "root", "more", "bits", "tokens"]
+        key, rows = None, []
+        for batch in batches:
+            keys = zip(batch["family"], batch["i"], batch["j"], strict=True)
+            for new, row in zip(keys, zip(*(batch[c] for c in columns), strict=True), strict=True):
+                if new != key:
+                    if len(rows) > 1:
+                        yield from _block_pairs(rows, nearest)
+                    key, rows = new, []
+                rows.append(row)
+        if len(rows) > 1:
+            yield from _block_pairs(rows, nearest)
+
+    return run
+
+
+def _family_pairs(members: DataFrame, roots: DataFrame | None, nearest: int | None = None) -> DataFrame:
+    """Pairs (u, v) of different components, by comparing the blocks of every family."""
+    spread = _with_roots(members, roots).withColumn("own", F.pmod(F.xxhash64(F.lit(3), "a"), F.col("blocks")).cast("int"))
+    spread = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    low, high = F.least("own", "other"), F.greatest("own", "other")
+    side = F.when(low == high, 2).when(F.col("own") == low, 0).otherwise(1)
+    spread = spread.select("family", low.alias("i"), high.alias("j"), side.alias("side"), "a", "n", "l", "root", "more", "bits", "tokens")
+    dealt = spread.repartition("family", "i", "j").sortWithinPartitions("family", "i", "j")
+    return dealt.mapInPandas(_pairs_of_families(nearest), "u bigint, v bigint")
 
 
 # Frequent shingles
@@ -404,6 +424,14 @@ def _with_roots(entries: DataFrame, roots: DataFrame | None) -> DataFrame:
     return entries.join(roots.withColumnRenamed("node", "a"), "a", "left").withColumn("root", F.coalesce("root", "a"))
 
 
+def _apart_pairs(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs (u, v) whose nodes are in different components."""
+    one = roots.select(F.col("node").alias("u"), F.col("root").alias("r1"))
+    two = roots.select(F.col("node").alias("v"), F.col("root").alias("r2"))
+    apart = F.coalesce("r1", "u") != F.coalesce("r2", "v")
+    return pairs.join(one, "u", "left").join(two, "v", "left").where(apart).select("u", "v")
+
+
 def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row, by links of Jaccard >= 0.75."""
     spark = documents.sparkSession
@@ -465,18 +493,21 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     to = many.groupBy("a").agg(F.min("head").alias("v"), F.collect_set("head").alias("heads"))
     edges = to.select(F.explode(F.array_append("heads", F.col("a"))).alias("u"), "v").where("u <> v").distinct()
     families = components(spark, edges).select(F.col("node").alias("a"), F.col("root").alias("family"))
-    members = many.groupBy("a").agg(F.array_sort(F.collect_set("t")).alias("tokens"), F.first("root").alias("root"))
+    members = many.groupBy("a").agg(F.array_sort(F.collect_set("t")).alias("tokens"))
     members = members.join(families, "a")
     sizes = many.join(families, "a").groupBy("family").agg(F.approx_count_distinct("a").alias("c"), F.count("*").alias("entries"))
     blocks = sizes.select("family", F.ceil(F.greatest(F.col("c") / BLOCK, F.col("entries") / BLOCK_TOKENS)).cast("int").alias("blocks"))
     members = members.join(blocks, "family").join(kinds.select("a", F.col("short").alias("more")), "a").join(nodes.select("a", "n", "l", "bits"), "a")
-    spread = members.withColumn("own", F.pmod(F.xxhash64(F.lit(3), "a"), F.col("blocks")).cast("int"))
-    spread = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    low, high = F.least("own", "other"), F.greatest("own", "other")
-    side = F.when(low == high, 2).when(F.col("own") == low, 0).otherwise(1)
-    spread = spread.select("family", low.alias("i"), high.alias("j"), side.alias("side"), "a", "n", "l", "root", "more", "bits", "tokens")
-    dealt = spread.repartition("family", "i", "j").sortWithinPartitions("family", "i", "j")
-    rest = rest.unionByName(dealt.mapInPandas(_pairs_of_families, "u bigint, v bigint")).distinct()
+    members = stored(spark, members, "jaccard-families")
+    # A dense group has far more pairs than nodes, so nodes are first linked with the
+    # nearest; what thereby shares a component is not looked at again.
+    for step in range(FOREST_ROUNDS):
+        near = stored(spark, _family_pairs(members, roots, NEAREST).distinct(), f"jaccard-near-{step}")
+        tried, found = near.count(), _verified(docs, near, nodes, f"near-{step}")
+        roots, late = merged(spark, roots, late.unionByName(found)), late.limit(0)
+        if found.count() * WORTH < tried or not tried:
+            break
+    rest = _apart_pairs(rest, roots).unionByName(_family_pairs(members, roots)).distinct()
     # A dense group has far more pairs than nodes. While that is so, every node is tried
     # with its first and last partner, and pairs that thereby share a component go.
     rest = _close(rest, nodes, "rest")
@@ -488,10 +519,7 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
         ends = stored(spark, ends.distinct(), f"jaccard-forest-{step}")
         roots = merged(spark, roots, late.unionByName(_verified(docs, ends, nodes, f"forest-{step}")))
         late = late.limit(0)
-        one = roots.select(F.col("node").alias("u"), F.col("root").alias("r1"))
-        two = roots.select(F.col("node").alias("v"), F.col("root").alias("r2"))
-        apart = F.coalesce("r1", "u") != F.coalesce("r2", "v")
-        rest = rest.join(ends, ["u", "v"], "left_anti").join(one, "u", "left").join(two, "v", "left").where(apart).select("u", "v")
+        rest = _apart_pairs(rest.join(ends, ["u", "v"], "left_anti"), roots)
         rest = stored(spark, rest, f"jaccard-rest-{step}")
     roots = merged(spark, roots, late.unionByName(_verified(docs, rest, nodes, "rest")))
 

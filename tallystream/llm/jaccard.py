@@ -29,6 +29,7 @@ component is the smallest document id in it.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import batched
 
 import numpy as np
 import pandas as pd
@@ -143,7 +144,7 @@ def _may_be_similar(s1: pd.Series, s2: pd.Series, n1: pd.Series, n2: pd.Series)
 # Pairs within families of long posting lists
 
 
-def _block_pairs(rows: list[tuple], nearest: int | None) -> Iterator[pd.DataFrame]:
+def _block_pairs(rows: list[tuple], nearest: int | None = None) -> Iterator[tuple[int, int]]:
     """Pairs of a family, within one block or between two, that may be similar; with
     ``nearest`` only so many for each node, by signature.
 
@@ -191,7 +192,7 @@ def _block_pairs(rows: list[tuple], nearest: int | None) -> Iterator[pd.DataFram
         pairs = pd.DataFrame(found, columns=["u", "v", "apart"])
         if nearest is not None:  # all pairs of a node and those before it are found together
             pairs = pairs.sort_values(["apart", "v"], kind="stable").groupby("u", sort=False).head(nearest)
-        yield pairs[["u", "v"]]
+        yield from zip(pairs["u"].tolist(), pairs["v"].tolist(), strict=True)
 
 
 def _shared_tokens(tokens: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, int]:
@@ -218,16 +219,19 @@ def _pairs_of_families(nearest: int | None):
         """Rows come sorted by family and pair of blocks, which may go on in the next batch."""
         columns = ["side", "a", "n", "l", "root", "more", "bits", "tokens"]
         key, rows = None, []
+
+        def pairs() -> Iterator[pd.DataFrame]:
+            for part in batched(_block_pairs(rows, nearest) if len(rows) > 1 else (), 1 << 16):
+                yield pd.DataFrame(part, columns=["u", "v"])
+
         for batch in batches:
             keys = zip(batch["family"], batch["i"], batch["j"], strict=True)
             for new, row in zip(keys, zip(*(batch[c] for c in columns), strict=True), strict=True):
                 if new != key:
-                    if len(rows) > 1:
-                        yield from _block_pairs(rows, nearest)
+                    yield from pairs()
                     key, rows = new, []
                 rows.append(row)
-        if len(rows) > 1:
-            yield from _block_pairs(rows, nearest)
+        yield from pairs()
 
     return run
 

@@ -23,7 +23,8 @@ stands for a shingle that only one set has.
 Defined results: words are split at ASCII white space after lower-casing A-Z; fewer
 than five words make one shingle; texts that are null or have no word have no shingle,
 link with nothing and form their own component; repeated rows share a set; the id of a
-component is the smallest document id in it.
+component is the smallest document id in it; rows without an id link like all others,
+and a component of such rows only has a null id.
 """
 
 from __future__ import annotations
@@ -329,18 +330,28 @@ def _signed(buckets: np.ndarray, excess: np.ndarray):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for doc, text in zip(batch["doc_id"], batch["text"], strict=True):
+            for text in batch["text"]:
                 h = shingles(text)
                 prefix, often, matches = _prefix(h, buckets, excess) if len(h) else (h, np.empty(0, bool), 0)
-                rows.append((doc, *_digests(h), len(h), matches, signature(h), prefix[~often], prefix[often]))
-            out = pd.DataFrame(rows, columns=["doc_id", "a", "b", "n", "l", "bits", "rare", "often"])
-            out["doc_id"] = batch["doc_id"].to_numpy()
+                rows.append((*_digests(h), len(h), matches, signature(h), prefix[~often], prefix[often]))
+            out = pd.DataFrame(rows, columns=["a", "b", "n", "l", "bits", "rare", "often"])
+            for name in KEY:
+                out[name] = batch[name].to_numpy()
             yield out
 
     return run
 
 
-SIGNED = "doc_id bigint, a bigint, b bigint, n bigint, l int, bits binary, rare array<bigint>, often array<bigint>"
+# A row's id (0 without one), whether it has none, and the hash of its text: no nulls,
+# which pandas would turn whole ids into floats for.
+KEY = ("doc_id", "unnamed", "h")
+SIGNED = "doc_id bigint, unnamed boolean, h bigint, a bigint, b bigint, n bigint, l int, bits binary, rare array<bigint>, often array<bigint>"
+
+
+def _keyed(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    doc_id = F.col(id_col).cast("bigint")
+    key = F.coalesce(doc_id, F.lit(0)).alias("doc_id"), doc_id.isNull().alias("unnamed"), F.xxhash64(text_col).alias("h")
+    return documents.select(*key, F.col(text_col).alias("text"))
 
 
 def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -366,15 +377,27 @@ def _close(pairs: DataFrame, nodes: DataFrame, name: str) -> DataFrame:
     return stored(pairs.sparkSession, left, f"jaccard-{name}-pairs")
 
 
+def _sets_by(docs: DataFrame, few: DataFrame) -> DataFrame:
+    """The sets (a, sh) of the nodes (a, doc_id)."""
+    sets = docs.join(few.select("doc_id").distinct(), "doc_id", "left_semi").mapInPandas(_sets, "doc_id bigint, own bigint, sh array<bigint>")
+    return sets.join(few, "doc_id").where("own = a").select("a", "sh")  # an id may stand at several texts
+
+
 def _verified(docs: DataFrame, close: DataFrame, nodes: DataFrame, name: str) -> DataFrame:
     """Of stored pairs (u, v) of nodes, those whose sets are similar enough."""
     spark = docs.sparkSession
     # The sets of the nodes left, each from one document. The ids are a stored table, so
     # Spark knows whether they are few enough to go to the texts instead of the reverse.
     few = nodes.join(close.select(F.explode(F.array("u", "v")).alias("a")).distinct(), "a", "left_semi")
-    few = stored(spark, few.select("a", "doc_id"), f"jaccard-{name}-nodes")
-    sets = docs.join(few.select("doc_id").distinct(), "doc_id", "left_semi").mapInPandas(_sets, "doc_id bigint, own bigint, sh array<bigint>")
-    sets = sets.join(few, "doc_id").where("own = a").select("a", "sh")  # an id may stand at several texts
+    few = stored(spark, few.select("a", *KEY), f"jaccard-{name}-nodes")
+    sets = _sets_by(docs.where("NOT unnamed").select("doc_id", "text"), few.where("NOT unnamed").select("a", "doc_id"))
+    if few.where("unnamed").limit(1).count():
+        # No document of these nodes has an id: by the hash of the text, of which any number
+        # of documents may be copies.
+        by_text = F.col("h").alias("doc_id")
+        loose, texts = few.where("unnamed").select("a", by_text), docs.where("unnamed").select(by_text, "text")
+        texts = texts.join(loose.select("doc_id").distinct(), "doc_id", "left_semi").distinct()
+        sets = sets.unionByName(_sets_by(texts, loose))
     left = sets.select(F.col("a").alias("u"), F.col("sh").alias("sh1"))
     right = sets.select(F.col("a").alias("v"), F.col("sh").alias("sh2"))
     both = close.join(left, "u").join(right, "v")
@@ -439,13 +462,14 @@ def _apart_pairs(pairs: DataFrame, roots: DataFrame) -> DataFrame:
 def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row, by links of Jaccard >= 0.75."""
     spark = documents.sparkSession
-    docs = documents.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+    docs = _keyed(documents, id_col, text_col)
     buckets, excess = frequent_buckets(docs.select("text"))
 
     # One row per document with the digests of its set (a, b), its bits and its prefix.
     signed = stored(spark, docs.mapInPandas(_signed(buckets, excess), SIGNED), "jaccard-prefixes")
-    known = signed.where("n > 0").groupBy("a").agg(F.min(F.struct("doc_id", "n", "l", "bits")).alias("m"))
-    nodes = stored(spark, known.select("a", "m.doc_id", "m.n", "m.l", "m.bits"), "jaccard-nodes")
+    # A node is fetched by its least id; rows without one come last.
+    known = signed.where("n > 0").groupBy("a").agg(F.min(F.struct("unnamed", "doc_id", "h", "n", "l", "bits")).alias("m"))
+    nodes = stored(spark, known.select("a", *(f"m.{c}" for c in (*KEY, "n", "l", "bits"))), "jaccard-nodes")
 
     # Entries of posting lists. Lists of rare shingles are short, since their buckets did
     # not stand out, and those of one node go; the others combine before they are moved.
@@ -528,7 +552,8 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     roots = merged(spark, roots, late.unionByName(_verified(docs, rest, nodes, "rest")))
 
     # Back to documents: equal sets share a node, the smallest id names the component.
-    named = signed.select("doc_id", F.col("n").alias("n_shingles"), "a", "b")
+    doc_id = F.when(~F.col("unnamed"), F.col("doc_id")).alias("doc_id")
+    named = signed.select(doc_id, F.col("n").alias("n_shingles"), "a", "b")
     nodes = named.where("n_shingles > 0").groupBy("a", "b").agg(F.min("doc_id").alias("first"))
     rooted = nodes.join(roots.withColumnRenamed("node", "a"), "a", "left")
     # A node without links keeps to its own digest, so equal first halves do not meet.

@@ -150,6 +150,21 @@ def test_join_of_nothing(spark):
     assert [tuple(r) for r in jaccard.near_duplicates(repeated).collect()] == [(0, 2, 0)] * 2
 
 
+def test_join_links_texts_without_an_id(spark):
+    """A copy without an id takes no link from a text, and texts that have none at all link too."""
+    w = [f"w{i}" for i in range(60)]
+    v = [f"v{i}" for i in range(60)]
+    big = 2**60 + 1
+    rows = [(None, " ".join(w)), (big, " ".join(w)), (big + 2, " ".join(w[:-1])), (None, " ".join(v)), (None, " ".join(v)),
+            (3, " ".join(v[:-1])), (None, " ".join(v[1:-1])), (4, "a b"), (None, None), (None, "lone text")]
+    wanted = plain_components((10 * i if d is None else d, t) for i, (d, t) in enumerate(rows))
+    got = Counter(map(tuple, jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(1)).collect()))
+    assert {k: wanted[k][1] for k in (0, big, big + 2)} == dict.fromkeys((0, big, big + 2), 0)
+    assert len({wanted[k][1] for k in (30, 40, 3, 60)}) == 1
+    root = {wanted[big][1]: big, wanted[3][1]: 3, 4: 4}
+    assert got == Counter((d, wanted[10 * i if d is None else d][0], root.get(wanted[10 * i if d is None else d][1])) for i, (d, _) in enumerate(rows))
+
+
 # Nearest neighbours
 
 

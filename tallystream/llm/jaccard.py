@@ -461,6 +461,17 @@ def _apart_pairs(pairs: DataFrame, roots: DataFrame) -> DataFrame:
 
 def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row, by links of Jaccard >= 0.75."""
+    signed, placed = _placed(documents, id_col, text_col)
+    doc_id = F.when(~F.col("unnamed"), F.col("doc_id")).alias("doc_id")
+    named = signed.select(doc_id, F.col("n").alias("n_shingles"), "a", "b")
+    out = named.join(placed.select("a", "b", "component_id"), ["a", "b"], "left")
+    own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    return out.select("doc_id", "n_shingles", own.alias("component_id"))
+
+
+def _placed(documents: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """The rows with the digests (a, b) of their sets, and of every set that is not empty its
+    component: (r, r2) tells components apart, also those of one least id."""
     spark = documents.sparkSession
     docs = _keyed(documents, id_col, text_col)
     buckets, excess = frequent_buckets(docs.select("text"))
@@ -551,27 +562,38 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
         rest = stored(spark, rest, f"jaccard-rest-{step}")
     roots = merged(spark, roots, late.unionByName(_verified(docs, rest, nodes, "rest")))
 
-    # Back to documents: equal sets share a node, the smallest id names the component.
-    doc_id = F.when(~F.col("unnamed"), F.col("doc_id")).alias("doc_id")
-    named = signed.select(doc_id, F.col("n").alias("n_shingles"), "a", "b")
-    nodes = named.where("n_shingles > 0").groupBy("a", "b").agg(F.min("doc_id").alias("first"))
+    # Equal sets share a node, the smallest id names the component.
+    doc_id = F.when(~F.col("unnamed"), F.col("doc_id"))
+    nodes = signed.where("n > 0").groupBy("a", "b").agg(F.min(doc_id).alias("first"))
     rooted = nodes.join(roots.withColumnRenamed("node", "a"), "a", "left")
     # A node without links keeps to its own digest, so equal first halves do not meet.
     alone = F.when(F.col("root").isNull(), F.col("b"))
     smallest = rooted.groupBy(F.coalesce("root", "a").alias("r"), alone.alias("r2")).agg(F.min("first").alias("component_id"))
     placed = rooted.select("a", "b", F.coalesce("root", "a").alias("r"), alone.alias("r2"))
     same = (placed["r"] == smallest["r"]) & placed["r2"].eqNullSafe(smallest["r2"])
-    placed = placed.join(smallest, same).select("a", "b", "component_id")
-    out = named.join(placed, ["a", "b"], "left")
-    own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", own.alias("component_id"))
+    return signed, placed.join(smallest, same).select("a", "b", placed["r"], placed["r2"], "component_id")
 
 
 def one_of_each(documents: DataFrame) -> DataFrame:
-    """One row for each group of near duplicates, the one with the smallest id.
+    """One row for each group of near duplicates: the one with the smallest id, rows
+    without one last; then by the hashes of its text and of the whole row.
 
-    Rows without an id cannot be told apart by it and stay.
+    Texts without a word link with nothing: one row of each id stays, and every row
+    without an id.
     """
-    kept = near_duplicates(documents.where("doc_id IS NOT NULL")).where("doc_id = component_id").select("doc_id").distinct()
-    named = documents.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(*documents.columns).unionByName(documents.where("doc_id IS NULL"))
+    signed, placed = _placed(documents, "doc_id", "text")
+    first = signed.where("n > 0").join(placed.select("a", "b", "r", "r2"), ["a", "b"])
+    first = first.groupBy("r", "r2").agg(F.min(F.struct("unnamed", "doc_id", "h")).alias("m")).select("m.*")
+    empty = signed.where("n = 0 AND NOT unnamed").groupBy("doc_id").agg(F.min("h").alias("h"))
+    first = first.unionByName(empty.select(F.lit(False).alias("unnamed"), "doc_id", "h"))
+
+    rows = documents.select(F.struct(*documents.columns).alias("row"), F.xxhash64(*documents.columns).alias("order"))
+    key = F.coalesce(F.col("row.doc_id").cast("bigint"), F.lit(0)).alias("doc_id"), F.col("row.doc_id").isNull().alias("unnamed")
+    worded = F.coalesce(F.col("row.text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)).alias("worded")
+    rows = rows.select("row", "order", *key, F.xxhash64("row.text").alias("h"), worded)
+    one = F.min_by("row", "order").alias("row"), F.min("order").alias("order")
+    # Copies without an id share their key: they combine before they meet the others.
+    loose = rows.where("unnamed AND worded").groupBy(*KEY).agg(*one)
+    kept = rows.where("NOT unnamed").select("row", "order", *KEY).unionByName(loose.select("row", "order", *KEY))
+    kept = kept.join(first, list(KEY), "left_semi").groupBy(*KEY).agg(*one)
+    return kept.select("row").unionByName(rows.where("unnamed AND NOT worded").select("row")).select("row.*")

@@ -165,6 +165,22 @@ def test_join_links_texts_without_an_id(spark):
     assert got == Counter((d, wanted[10 * i if d is None else d][0], root.get(wanted[10 * i if d is None else d][1])) for i, (d, _) in enumerate(rows))
 
 
+def test_one_of_each_keeps_every_group_once(spark):
+    """An id may stand at several unlinked texts, and rows without an id belong to groups too."""
+    w, v, x, y = (" ".join(f"{c}{i}" for i in range(60)) for c in "wvxy")
+    rows = [(7, w), (7, v), (7, v + " end"), (8, w + " end"), (None, w), (None, x), (None, x), (None, x.upper()), (5, y), (5, y),
+            (None, None), (None, " "), (7, ""), (7, None), (9, "")]
+    docs = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id bigint, text string, n int")
+    kept = jaccard.one_of_each(docs)
+    assert kept.columns == docs.columns
+    got = [tuple(r) for r in kept.collect()]
+    assert all((d, t) == rows[n] for d, t, n in got)
+    groups = [{0, 3, 4}, {1, 2}, {5, 6, 7}, {8, 9}, {10}, {11}, {12, 13}, {14}]
+    assert sorted(next(i for i, g in enumerate(groups) if n in g) for _, _, n in got) == list(range(len(groups)))
+    assert (7, w, 0) in got  # the smallest id of its group
+    assert sorted(n for *_, n in got) == sorted(r["n"] for r in jaccard.one_of_each(docs.repartition(5)).collect())
+
+
 # Nearest neighbours
 
 

@@ -7,9 +7,11 @@ rule finds the candidates, and a rule matches when all its tokens are found. The
 confident matching rule wins, then support, then length, then its text; urls that no
 rule matches are allowed.
 
-Tokens are taken at fixed places of the url (scheme, three host labels and their
-combinations, two path parts, file ending, two query names, fragment), so a
-transaction is short whatever the length of the url.
+Every host label, path part and query name is a token of its kind, wherever it stands,
+beside scheme, file ending and fragment; the leading places give a second token with the
+place. Tokens that stand in exactly the same labelled urls make the same rules, so they
+are one item: FP-growth sees the first of them, and a url that has any of them has the
+item. That changes no verdict and keeps long urls from multiplying the item sets.
 
 Defined results: null urls and urls without ``://`` have an empty host and path; host
 and path are cut as they stand, however long; repeated rows are judged alike; without
@@ -60,30 +62,35 @@ def _best_rule(host: Column, path: Column, rules=RULES) -> Column:
 
 
 def url_tokens(url: Column, host: Column, path: Column) -> Column:
-    """Distinct tokens of a url, each marked with its place."""
-    labels = F.reverse(F.split(host, r"\."))
-    parts = F.filter(F.split(path, "/"), lambda x: x != "")
+    """Distinct tokens of a url, each marked with its kind, and with its place where that is a leading one."""
+    labels = F.filter(F.reverse(F.split(host, r"\.")), lambda x: x != "")
+    digits = lambda x: F.when(x.rlike(r"\A[0-9]+\z"), F.lit("#")).otherwise(x)
+    ending = r"\.([A-Za-z0-9]{1,8})\z"
+    parts = F.transform(F.filter(F.split(F.regexp_replace(path, ending, ""), "/"), lambda x: x != ""), digits)
     query = F.regexp_extract(url, r"\?([^#]*)", 1)
     names = F.filter(F.transform(F.split(query, "&"), lambda x: F.substring_index(x, "=", 1)), lambda x: x != "")
-    digits = lambda x: F.when(x.rlike(r"\A[0-9]+\z"), F.lit("#")).otherwise(x)
 
     def put(mark: str, value: Column) -> Column:
         return F.when(value.isNotNull() & (value != ""), F.concat(F.lit(mark + "="), value))
 
+    def each(mark: str, values: Column) -> Column:
+        return F.transform(values, lambda x: F.concat(F.lit(mark + "="), x))
+
     places = [
         put("scheme", F.lower(F.substring_index(url, "://", 1))),
         put("tld", F.get(labels, F.lit(0))),
         put("domain", F.get(labels, F.lit(1))),
         put("sub", F.get(labels, F.lit(2))),
         put("third", F.get(labels, F.lit(3))),
-        put("dir", digits(F.get(parts, F.lit(0)))),
-        put("leaf", digits(F.regexp_replace(F.get(parts, F.lit(1)), r"\.[A-Za-z0-9]+\z", ""))),
-        put("end", F.regexp_extract(path, r"\.([A-Za-z0-9]{1,8})\z", 1)),
+        put("dir", F.get(parts, F.lit(0))),
+        put("leaf", F.get(parts, F.lit(1))),
+        put("end", F.regexp_extract(path, ending, 1)),
         put("ask", F.get(names, F.lit(0))),
         put("also", F.get(names, F.lit(1))),
         F.when(F.instr(url, "#") > 0, F.lit("fragment")),
     ]
-    return F.array_distinct(F.array_compact(F.array(*places)))
+    kinds = F.concat(each("label", labels), each("part", parts), each("name", names))
+    return F.array_distinct(F.concat(F.array_compact(F.array(*places)), kinds))
 
 
 VERDICTS = ("allow", "block")
@@ -107,6 +114,22 @@ def mine(labelled: DataFrame, min_support: float = 0.002, min_confidence: float
     return rules.where(~F.exists("tokens", lambda t: t.startswith("verdict=")))
 
 
+def token_items(labelled: DataFrame, min_support: float) -> DataFrame:
+    """``t, item``: for every frequent token the first one that stands in the same labelled rows."""
+    sets = labelled.groupBy(F.array_sort("tokens").alias("tokens"), "verdict").agg(F.count("*").alias("n"))
+    marks = (F.xxhash64(F.lit(k), "tokens", "verdict").alias(f"h{k}") for k in (1, 2))
+    each = sets.select("n", *marks, F.explode("tokens").alias("t"))
+    where = each.groupBy("t").agg(F.bit_xor("h1").alias("x1"), F.bit_xor("h2").alias("x2"), F.sum("n").alias("c"))
+    where = where.where(F.col("c") >= labelled.count() * min_support)
+    first = where.groupBy("x1", "x2", "c").agg(F.min("t").alias("item"))
+    return where.join(first, ["x1", "x2", "c"]).select("t", "item")
+
+
+def _items(sets: DataFrame, items: DataFrame) -> DataFrame:
+    """``set, items`` of distinct token sets; sets without a frequent token are missing."""
+    return sets.select("set", F.explode("set").alias("t")).join(items, "t").groupBy("set").agg(F.collect_set("item").alias("items"))
+
+
 def _pruned(rules: DataFrame) -> DataFrame:
     short = rules.select(F.col("verdict").alias("v2"), F.col("tokens").alias("t2"), F.col("confidence").alias("c2"), F.explode("tokens").alias("t"))
     long_ = rules.select("*", F.explode("tokens").alias("t"))
@@ -122,18 +145,24 @@ def judge(pages: DataFrame, min_support: float = 0.002, min_confidence: float =
     cut = cut.select("page_id", "url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     ruled = cut.withColumn("given", _best_rule(F.col("host"), F.col("path")))
     tokens = url_tokens(F.col("url"), F.col("host"), F.col("path"))
-    labelled = ruled.where("given IS NOT NULL").select(tokens.alias("tokens"), F.col("given.verdict").alias("verdict"))
+    labelled = ruled.where("given IS NOT NULL").select(F.array_sort(tokens).alias("tokens"), F.col("given.verdict").alias("verdict"))
     if labelled.limit(1).count():
-        mined = stored(spark, mine(labelled, min_support, min_confidence), "url-rules")
+        labelled = stored(spark, labelled, "url-labelled")
+        items = stored(spark, token_items(labelled, min_support), "url-items")
+        sets = labelled.withColumnRenamed("tokens", "set")
+        has = sets.join(_items(sets.select("set").distinct(), items), "set", "left")
+        has = has.select(F.coalesce("items", F.array().cast("array<string>")).alias("tokens"), "verdict")
+        mined = stored(spark, mine(stored(spark, has, "url-transactions"), min_support, min_confidence), "url-rules")
         mined = stored(spark, _pruned(mined), "url-rules-pruned")
     else:
+        items = spark.createDataFrame([], "t string, item string")
         mined = spark.createDataFrame([], "verdict string, tokens array<string>, confidence double, support double")
 
     # Equal token sets are judged once: a busy host does not meet the index row by row.
     open_ = ruled.where("given IS NULL").select(F.array_sort(tokens).alias("set")).distinct()
     rules = mined.withColumn("rule_id", F.concat_ws(" ", "tokens")).withColumn("n", F.size("tokens"))
     index = rules.select(F.explode("tokens").alias("t"), "rule_id", "n", "verdict", "confidence", "support")
-    met = open_.select("set", F.explode("set").alias("t")).join(index, "t")
+    met = _items(open_, items).select("set", F.explode("items").alias("t")).join(index, "t")
     matched = met.groupBy("set", "rule_id", "verdict").agg(
         F.count("*").alias("found"), F.first("n").alias("n"), F.first("confidence").alias("confidence"), F.first("support").alias("support")
     ).where("found = n")

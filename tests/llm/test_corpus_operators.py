@@ -302,6 +302,19 @@ def test_awkward_urls(spark):
     assert url_rules.judge(pages.limit(0)).count() == 0
 
 
+def test_rules_hang_on_any_place(spark):
+    """A third path part, a third query name and a fifth label decide, in whatever place they come again."""
+    labelled = [f"http://a{i}.net/es/k{i}/ads/x{i}" for i in range(6)] + [f"http://a{i}.net/es/k{i}?q=1&r=2&track=3" for i in range(6)]
+    labelled += [f"http://spam.b{i}.c.d.net/es/k{i}" for i in range(6)] + [f"http://a{i}.com/es/k{i}/fine?q=1&r=2" for i in range(6)]
+    asked = {"http://x.org/a/b/ads/c": "block", "http://x.org/a/ads": "block", "http://x.org/a/b/c/d/ads.php": "block", "http://x.org/z?q=1&r=2&track=9": "block",
+             "http://x.org/z?track=9": "block", "http://spam.x.y.z.org/z": "block", "http://x.org/a/b/fine/c": "allow", "http://x.org/a/b/c/d": "allow"}
+    long_ = "http://b.net/es/" + "/".join(f"p{i}" for i in range(40)) + "?" + "&".join(f"n{i}" for i in range(40))
+    asked["http://x.org/p39"] = asked["http://x.org/?n39=1"] = "block"
+    pages = spark.createDataFrame(list(enumerate([*labelled, long_, *asked])), "page_id bigint, url string")
+    got = {r["page_id"]: r["verdict"] for r in url_rules.judge(pages).collect()}
+    assert {u: got[len(labelled) + 1 + i] for i, u in enumerate(asked)} == asked
+
+
 # Mixing
 
 

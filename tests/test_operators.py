@@ -218,6 +218,14 @@ def test_ordinal_of_a_hot_key_uses_several_partitions(spark):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
 
 
+# Files
+
+RECORDS = [
+    {"id": 1, "email": "a", "gender": None, "country": "X", "ip_address": "1.1.1.1"},
+    {"email": "b", "country": "Y", "more": [1, {"z": "é"}]},
+    "text", 5, None, [1],
+]
+
 
 def test_json_array_keeps_order_and_absence(spark, tmp_path):
     for name, part in (("a.json", RECORDS), ("b.json", RECORDS[:2]), ("c.json", [])):

@@ -297,13 +297,14 @@ def learn(
     }
     weights = _without_repeats(scored)
 
-    pairs = contexts.where(F.col("term").isin(list(weights)) if len(weights) <= 500 else F.lit(True))
+    kept = rows.sparkSession.createDataFrame([(t,) for t in weights], "term string")
+    pairs = contexts.join(kept, "term", "left_semi")
     either = pairs.select("before", "word", "after", "t", "c").distinct()
     both = either.select(F.col("before").alias("x"), F.col("word").alias("y"), "t", "c").unionByName(
         either.select(F.col("word").alias("x"), F.col("after").alias("y"), "t", "c")
     )
     clean = both.where("x <> '' AND y <> ''").groupBy("x", "y").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
-    rules = clean.where("c >= 3 AND c > 9 * t").limit(max_terms).collect()
+    rules = clean.where("c >= 3 AND c > 9 * t").orderBy(F.desc(F.col("c") - F.col("t")), "x", "y").limit(max_terms).collect()
     exceptions = frozenset([*phrases, *((r["x"], r["y"]) for r in rules)])
 
     machine_free = Lexicon(weights, exceptions)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 import zlib
 
@@ -144,6 +145,20 @@ def test_toxicity_awkward_input(spark):
     assert toxicity.report(docs.limit(0), none).count() == 0
 
 
+@pytest.mark.parametrize("n_words", [20, 520])
+def test_exception_phrases_are_of_lexicon_terms_alone(spark, n_words):
+    """A pair around a word that is no lexicon term is none, however large the lexicon."""
+    bad = ["".join(p) + "zzzz" for p in itertools.islice(itertools.product("bcdfgklm", repeat=3), 512)] + [f"p{c}pzzzz" for c in "bcdfgklm"]
+    texts = [(" ".join(f"{w} f{i}" for w in bad[:n_words]) + " so newish there", 1) for i in range(10)]
+    texts += [(f"very newish c{'xyz'[i]}", 0) for i in range(3)] + [(f"plain talk c{i}", 0) for i in range(87)]
+    ids = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 3 != 1][: len(texts)]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in zip(ids, texts, strict=True)], "doc_id bigint, text string")
+    marks = spark.createDataFrame([(i, 1, x) for i, (_, x) in zip(ids, texts, strict=True)], "doc_id bigint, quality int, toxic int")
+    lexicon = toxicity.learn(docs, marks)
+    assert len(lexicon.weights) == n_words and not any(t.startswith("new") for t in lexicon.weights)
+    assert not lexicon.exceptions
+
+
 # Language
 
 

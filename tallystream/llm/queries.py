@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystream.llm import jaccard, language, mih, mixing, packing, pii, quality, sharding, toxicity, url_rules
+from tallystream.llm import (
+    grid_join, jaccard, language, mih, mixing, oracles, packing, pii, quality, sharding, spelling, toxicity, turns, url_rules,
+)
 from tallystream.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +55,18 @@ def op10_subword_language(spark, sf_dir):
     return language.report(table(spark, sf_dir, "documents"))
 
 
+def op11_reduced_neighbourhood(spark, sf_dir):
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_grid_order_join(spark, sf_dir):
+    return grid_join.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op13_weighted_repair(spark, sf_dir):
+    return turns.repair(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_skip_chain_pii": op1_skip_chain_pii,
     "op2_adaptive_jaccard": op2_adaptive_jaccard,
@@ -64,8 +78,11 @@ QUERIES: dict[str, Query] = {
     "op8_variable_best_fit": op8_variable_best_fit,
     "op9_decision_list": op9_decision_list,
     "op10_subword_language": op10_subword_language,
+    "op11_reduced_neighbourhood": op11_reduced_neighbourhood,
+    "op12_grid_order_join": op12_grid_order_join,
+    "op13_weighted_repair": op13_weighted_repair,
 }
 
-# Learned models, iteration and message passing have no SQL; tests hold the queries
-# against brute force, invariants or held-out labels.
-ORACLES: dict[str, str] = {}
+# Learned models and message passing have no SQL; tests hold those queries against brute
+# force, invariants or held-out labels.
+ORACLES: dict[str, str] = oracles.ORACLES

@@ -7,11 +7,10 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-CORRUPT = "_corrupt"
-
 # Spark accepts single quotes by default, strict JSON does not.
 _STRICT = {"allowSingleQuotes": "false"}
-_PERMISSIVE = {**_STRICT, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+
+_MARK = "_mark"
 
 
 def encode(*fields: str) -> Column:
@@ -20,40 +19,56 @@ def encode(*fields: str) -> Column:
     return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
 
 
-def parse(value: Column, fields: Iterable[str]) -> Column:
-    """The named fields as strings, plus the text of a value that is no JSON object."""
-    schema = ", ".join(f"`{f}` string" for f in (*fields, CORRUPT))
-    return F.from_json(value, schema, _PERMISSIVE)
+def _mark(value: Column) -> Column:
+    return F.xxhash64(value).cast("string")
 
 
-def _has_trailing_text(value: Column) -> Column:
-    """True where something follows the first JSON object.
+def parse(value: Column, fields: Iterable[str]) -> Column:
+    """The named fields as variants, from the one parse that all rules rest on.
 
-    ``from_json`` stops after one value. A single closing brace at the end rules
-    trailing text out. Other values are parsed again, once as array element and
-    once as object member: text after the object would have to begin with ``]``
-    to pass as the first and with ``}`` or ``,`` to pass as the second.
+    ``from_json`` stops after one value, so text after it would pass. The value is
+    therefore read as the first of two elements of an array, the second being a mark
+    that no text carries but by its own hash: whatever follows the value takes the
+    mark's place, adds an element or breaks the array.
     """
-    flat = value.rlike(r"^[^}]*\}[ \t\r\n]*\z")
-    as_element = F.from_json(F.concat(F.lit("["), value, F.lit("]")), "array<string>", _STRICT)
-    as_member = F.from_json(
-        F.concat(F.lit('{"v":'), value, F.lit("}")), f"v string, {CORRUPT} string", _PERMISSIVE
-    )
-    whole = F.coalesce(F.size(as_element) == 1, F.lit(False)) & as_member[CORRUPT].isNull()
-    return F.when(flat, F.lit(False)).otherwise(~whole)
+    schema = ", ".join(f"`{f}` variant" for f in fields)
+    marked = F.concat(F.lit("["), value, F.lit(f',{{"{_MARK}":"'), _mark(value), F.lit('"}]'))
+    return F.from_json(marked, f"array<struct<{schema}, `{_MARK}` string>>", _STRICT)
+
+
+def _record(parsed: Column) -> Column:
+    return F.get(parsed, F.lit(0))
+
+
+def text(parsed: Column, field: str) -> Column:
+    """A field as text; NULL where it is null or absent."""
+    return F.try_variant_get(_record(parsed)[field], "$", "string")
+
+
+# The kinds of JSON values, by the types a variant names them with.
+_KINDS = {"VOID": "null", "STRING": "string", "BOOLEAN": "boolean", "ARRAY": "array", "OBJECT": "object"}
+
+
+def kind(parsed: Column, field: str) -> Column:
+    """``string``, ``number``, ``boolean``, ``array``, ``object`` or ``null``; NULL where it is absent."""
+    name = F.regexp_extract(F.schema_of_variant(_record(parsed)[field]), "^[A-Z]+", 0)
+    out = F.when(name.isNull(), None)
+    for variant_type, json_kind in _KINDS.items():
+        out = out.when(name == variant_type, json_kind)
+    return out.otherwise("number")
 
 
-def reject_reason(value: Column, parsed: Column, required: Iterable[str]) -> Column:
-    """NULL for a good message, else ``malformed`` or ``missing:<field>``.
+def reject_reason(value: Column, parsed: Column, required: Iterable[str], texts: Iterable[str] = ()) -> Column:
+    """NULL for a good message, else ``malformed``, ``missing:<field>`` or, for a field of ``texts``
+    that is neither a string nor null, ``type:<field>``.
 
-    A NULL column may be a JSON null (good) or an absent field (bad); only then
-    are the names of the object looked up.
+    A JSON null is a variant of its own, an absent field is none.
     """
-    names = F.map_keys(F.from_json(value, "map<string,string>", _STRICT))
-    reason = F.when(
-        value.isNull() | parsed.isNull() | parsed[CORRUPT].isNotNull(), F.lit("malformed")
-    ).when(~F.is_valid_utf8(value) | _has_trailing_text(value), F.lit("malformed"))
+    whole = (F.size(parsed) == 2) & (F.get(parsed, F.lit(1))[_MARK] == _mark(value)) & _record(parsed).isNotNull()
+    good = F.coalesce(whole, F.lit(False)) & F.is_valid_utf8(value)
+    reason = F.when(~good, F.lit("malformed"))
     for field in required:
-        absent = F.when(parsed[field].isNull(), ~F.array_contains(names, field)).otherwise(False)
-        reason = reason.when(absent, F.lit(f"missing:{field}"))
+        reason = reason.when(_record(parsed)[field].isNull(), F.lit(f"missing:{field}"))
+    for field in texts:
+        reason = reason.when(~kind(parsed, field).isin("string", "null"), F.lit(f"type:{field}"))
     return reason

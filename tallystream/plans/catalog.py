@@ -6,8 +6,9 @@ from collections.abc import Callable, Sequence
 from datetime import datetime
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tallystream.functions.times import instant_to_ntz
 from tallystream.operators import enrich, messages as msg, metrics
@@ -17,8 +18,8 @@ from tallystream.operators.windows import arrival_schedule, assign_window
 from tallystream.plans import inputs
 from tallystream.schema import FIELDS, GEO_FIELDS
 from tallystream.sources import files
-from tallystream.streaming import jobs, sinks
-from tallystream.workspace import new_folder
+from tallystream.streaming import commits, jobs, progress, sinks, users
+from tallystream.workspace import new_folder, settings, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +28,8 @@ REPLAY_START = datetime(2024, 1, 1)
 REPLAY_SECONDS = 2
 REPLAY_WINDOW = 10
 
+PARTS = 4
+
 # The messages of a micro-batch are kept for its outputs, so their size is bounded.
 MAX_BYTES = 100 * 1024**3
 
@@ -82,6 +85,37 @@ def json_array_scan(spark, sf_dir):
     return items.select("block", F.col("position").cast("bigint").alias("position"), *FIELDS)
 
 
+def json_array_file_scan(spark, sf_dir):
+    """Files of one array each (at most 100,000 records), read in splits: the files are divided
+    between the tasks wherever that falls, up to Spark's usual size of a split."""
+    path = new_folder(spark, "json-array-files")
+    records = inputs.user_records(spark, sf_dir).select("event_id", *FIELDS)
+    arrays = records.groupBy(F.expr("event_id div 100000").alias("block")).agg(
+        F.sort_array(F.collect_list(F.struct("event_id", *FIELDS))).alias("items")
+    )
+    text = F.to_json("items", {"ignoreNullFields": "false"}).alias("value")
+    arrays.select(text).write.option("maxRecordsPerFile", 1).text(path)
+    with settings(spark, {"spark.sql.files.openCostInBytes": "1k"}):
+        elements = stored(spark, files.json_array_split(spark, path), "json-array-elements")
+    event_id = F.get_json_object("value", "$.event_id").cast("bigint")
+    items = msg.accepted(msg.decode(elements)).select("file", "block", "line", event_id.alias("event_id"), *FIELDS)
+    place = F.row_number().over(Window.partitionBy("file").orderBy("block", "line")) - 1
+    return items.select("event_id", place.cast("bigint").alias("position"), *FIELDS)
+
+
+def country_kinds(spark, sf_dir):
+    """Countries by the kind of JSON value they stand as: ``5`` and ``"5"`` are two groups."""
+    decoded = msg.decode(msg.to_envelope(inputs.mixed_messages(spark, sf_dir)), required=(), kinds=True)
+    good = msg.accepted(decoded)
+    return good.groupBy(F.col("kinds.country").alias("kind"), "country").agg(F.count("*").alias("n"))
+
+
+def strict_texts(spark, sf_dir):
+    """What decoding rejects where all fields must be texts."""
+    decoded = msg.decode(msg.to_envelope(inputs.mixed_messages(spark, sf_dir)), texts=FIELDS)
+    return decoded.groupBy("reason").agg(F.count("*").alias("n"))
+
+
 # Metrics
 
 def country_count(spark, sf_dir):
@@ -196,8 +230,8 @@ def microbatch_metrics(spark, sf_dir):
         )
 
     none = F.lit(None).cast("string")
-    users = spark.read.parquet(sinks.result_path(out, topic, jobs.USERS))
-    everyone = users.where("label = 'message_total'").select(
+    labels = spark.read.parquet(sinks.result_path(out, topic, jobs.USERS))
+    everyone = labels.where("label = 'message_total'").select(
         F.lit(jobs.USERS).alias("metric"), F.col("label").alias("group_value"), "n"
     ).groupBy("metric", "group_value").agg(F.sum("n").alias("n"))
     return (
@@ -210,6 +244,60 @@ def microbatch_metrics(spark, sf_dir):
     )
 
 
+def _in_parts(spark: SparkSession, sf_dir: str, name: str, start: Callable[[DataFrame], StreamingQuery]) -> None:
+    """Runs a job on a quarter of the messages, starts it anew when the next has come, and so on."""
+    path = new_folder(spark, f"{name}-topic")
+    messages = inputs.flawed_messages(spark, sf_dir)
+    for part in range(PARTS):
+        chosen = messages.where(F.col("key").cast("string").cast("bigint") % PARTS == part)
+        inputs.write_topic_files(chosen, f"{path}/part-{part}")
+        stream = files.file_stream(spark, f"{path}/*", fmt="parquet", max_bytes=MAX_BYTES)
+        jobs.finish(start(stream))
+
+
+def batch_commits(spark, sf_dir):
+    """The rows of every result by part of the input, as the manifests of the batches say and
+    as readers of whole batches find them. A part within the bound of a batch is one batch."""
+    out, topic = new_folder(spark, "commits-out"), "users"
+    ranges = index_ranges(inputs.ip_ranges(spark, sf_dir))
+    _in_parts(spark, sf_dir, "commits", lambda s: jobs.run_metrics(s, out, topic, ranges=ranges, available_now=True))
+    raw = commits.results(spark, out, topic, jobs.RAW)
+    part_of = raw.groupBy("batch_id").agg(F.min(F.col("key").cast("bigint") % PARTS).alias("part"))
+    listed = commits.manifest(spark, out, topic).where("batch_time IS NOT NULL").select("batch_id", "metric", "rows")
+    found = None
+    for metric in (jobs.RAW, jobs.COUNTRY, jobs.USERS, jobs.GENDER, jobs.IP, jobs.QUARANTINE):
+        rows = commits.results(spark, out, topic, metric).groupBy("batch_id").agg(F.count("*").alias("found"))
+        rows = rows.withColumn("metric", F.lit(metric))
+        found = rows if found is None else found.unionByName(rows)
+    met = listed.join(found, ["batch_id", "metric"], "full").join(part_of, "batch_id", "left")
+    return met.groupBy("part", "metric").agg(F.sum("rows").alias("listed"), F.sum("found").alias("found"))
+
+
+def batch_progress(spark, sf_dir):
+    """The progress tables of two jobs over four starts: all messages, no batch twice, none missing."""
+    out, topic = new_folder(spark, "progress-out"), "users"
+    _in_parts(spark, sf_dir, "progress", lambda s: jobs.run_landing(s, out, topic, available_now=True))
+    _in_parts(spark, sf_dir, "progress", lambda s: jobs.run_metrics(s, out, topic, available_now=True))
+
+    def summary(job: str, batches: DataFrame) -> DataFrame:
+        last, known = F.max("batch_id"), F.count_distinct("batch_id")
+        return batches.where("millis IS NOT NULL AND started IS NOT NULL").agg(
+            F.lit(job).alias("job"), F.sum("input_rows").alias("input_rows"),
+            (F.count("*") - known).alias("repeated"), (last + 1 - known).alias("missing"),
+        )
+
+    landing = summary("landing", progress.batches(spark, out, topic, "landing"))
+    return landing.unionByName(summary("metrics", commits.progress(spark, out, topic)))
+
+
+def window_users(spark, sf_dir):
+    """Distinct users per day, where every day lies in all batches of four starts."""
+    out, topic = new_folder(spark, "window-users-out"), "users"
+    _in_parts(spark, sf_dir, "window-users", lambda s: jobs.run_metrics(s, out, topic, user_window=DAY, available_now=True))
+    found = users.window_users(spark, out, topic, DAY)
+    return found.withColumn("window_start", instant_to_ntz(F.col("window_start")))
+
+
 def _land(spark: SparkSession, sf_dir: str, fmt: str) -> DataFrame:
     stream = _topic_stream(spark, inputs.topic_messages(spark, sf_dir), f"landing-{fmt}")
     out, topic = new_folder(spark, f"landing-{fmt}-out"), "users"
@@ -255,6 +343,9 @@ QUERIES: dict[str, Query] = {
     "json_roundtrip": json_roundtrip,
     "json_file_scan": json_file_scan,
     "json_array_scan": json_array_scan,
+    "json_array_file_scan": json_array_file_scan,
+    "country_kinds": country_kinds,
+    "strict_texts": strict_texts,
     "country_count": country_count,
     "country_rank": country_rank,
     "email_count": email_count,
@@ -270,6 +361,9 @@ QUERIES: dict[str, Query] = {
     "replay_ordinal": replay_ordinal,
     "replay_windows": replay_windows,
     "microbatch_metrics": microbatch_metrics,
+    "batch_commits": batch_commits,
+    "batch_progress": batch_progress,
+    "window_users": window_users,
     "raw_landing": _landing("parquet"),
     "raw_landing_csv": _landing("csv"),
     "raw_landing_json": _landing("json"),

@@ -76,6 +76,22 @@ def flawed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_messages(user_records(spark, sf_dir), value)
 
 
+def mixed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The country by turns as a number, as that number in quotes, true, null, an array and not at all."""
+    number = (F.col("event_id") % 7).cast("string")
+    turn = (F.col("event_id") % 6).cast("int")
+    forms = F.array(
+        number, F.concat(F.lit('"'), number, F.lit('"')), F.lit("true"), F.lit("null"), F.concat(F.lit("["), number, F.lit("]"))
+    )
+    country = F.get(forms, turn)
+    rest = F.substring_index("value", '"country"', 1)
+    address = F.concat(F.lit('"ip_address"'), F.substring_index("value", '"ip_address"', -1))
+    value = F.concat(rest, F.when(turn < 5, F.concat(F.lit('"country":'), country, F.lit(","))).otherwise(""), address)
+    records = user_records(spark, sf_dir)
+    made = msg.encode(records, FIELDS, key="event_type").withColumn("value", value)
+    return made.select("key", "value", F.col("ts").alias("timestamp"))
+
+
 def decoded_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accepted messages with their fields, from JSON text."""
     return msg.accepted(msg.decode(msg.to_envelope(topic_messages(spark, sf_dir))))

@@ -80,6 +80,20 @@ ORACLES: dict[str, str] = {
           row_number() OVER (PARTITION BY event_id // 1000 ORDER BY event_id) - 1 AS position,
           {_FIELDS}
         FROM users"""),
+    "json_array_file_scan": _of_users(f"""
+        SELECT event_id, row_number() OVER (PARTITION BY event_id // 100000 ORDER BY event_id) - 1 AS position, {_FIELDS}
+        FROM users"""),
+    "country_kinds": """
+        SELECT kind, country, count(*) AS n FROM (
+          SELECT ['number', 'string', 'boolean', 'null', 'array', NULL][event_id % 6 + 1] AS kind,
+            CASE event_id % 6 WHEN 0 THEN CAST(event_id % 7 AS VARCHAR) WHEN 1 THEN CAST(event_id % 7 AS VARCHAR)
+              WHEN 2 THEN 'true' WHEN 4 THEN concat('[', event_id % 7, ']') END AS country
+          FROM events)
+        GROUP BY ALL""",
+    "strict_texts": """
+        SELECT CASE WHEN event_id % 6 IN (1, 3) THEN NULL WHEN event_id % 6 = 5 THEN 'missing:country'
+          ELSE 'type:country' END AS reason, count(*) AS n
+        FROM events GROUP BY ALL""",
     "country_count": _count_by("country"),
     "country_rank": _of_users("""
         SELECT *, row_number() OVER (PARTITION BY window_start
@@ -132,6 +146,20 @@ ORACLES: dict[str, str] = {
         SELECT 'quarantine', reason, count(*) FROM flawed WHERE reason IS NOT NULL GROUP BY reason
         UNION ALL
         SELECT 'unique_user', 'message_total', count(*) FROM flawed WHERE reason IS NULL"""),
+    "batch_commits": _of_users("""
+        SELECT part, metric, rows AS listed, rows AS found FROM (
+          SELECT event_id % 4 AS part, count(*) AS raw_data, count(*) FILTER (reason IS NULL) AS ip_data,
+            count(reason) AS quarantine, CAST(2 AS BIGINT) AS unique_user,
+            count(DISTINCT coalesce(country, '-')) FILTER (reason IS NULL) AS count_of_country,
+            count(DISTINCT coalesce(gender, '-')) FILTER (reason IS NULL) AS gender_count
+          FROM flawed GROUP BY part)
+        UNPIVOT (rows FOR metric IN (raw_data, ip_data, quarantine, unique_user, count_of_country, gender_count))"""),
+    "batch_progress": """
+        SELECT job, count(*) AS input_rows, CAST(0 AS BIGINT) AS repeated, CAST(0 AS BIGINT) AS missing
+        FROM events, (VALUES ('landing'), ('metrics')) AS jobs(job) GROUP BY job""",
+    "window_users": _of_users("""
+        SELECT window_start, count(DISTINCT email) AS unique_users, count(*) AS message_total
+        FROM flawed WHERE reason IS NULL GROUP BY window_start"""),
     "raw_landing": _of_users(_PAIRS),
     "raw_landing_csv": _of_users(_PAIRS),
     "raw_landing_json": _of_users(_PAIRS),

@@ -36,6 +36,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--checkpoint", help="folder of the query state (default: below --out)")
     p.add_argument("--ranges", help="parquet table of IP ranges (lo, hi, geo)")
     p.add_argument("--lookup", help="module:function that gives place fields for a series of addresses")
+    p.add_argument("--user-window", type=int, help="also keep distinct users of windows of so many seconds")
     p.add_argument("--on-bad", default="quarantine", choices=["quarantine", "fail"])
     p.add_argument("--max-offsets", type=int, help="most messages of a topic per micro-batch")
     p.add_argument("--max-files", type=int, help="most files per micro-batch")
@@ -88,7 +89,7 @@ def start(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery | Non
         lookup = function(args.lookup) if args.lookup else None
         return jobs.run_metrics(
             messages, args.out, args.topic, ranges=ranges, lookup=lookup,
-            on_bad=args.on_bad, fmt=args.format, **common,
+            on_bad=args.on_bad, user_window=args.user_window, fmt=args.format, **common,
         )
     if args.job == "landing":
         return jobs.run_landing(messages, args.out, args.topic, fmt=args.format, **common)
@@ -107,7 +108,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     try:
         query = start(spark, args)
         if query is not None:
-            query.awaitTermination()
+            jobs.finish(query)
         log.info("job %s took %.1f seconds", args.job, time.monotonic() - begin)
     finally:
         if own:

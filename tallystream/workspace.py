@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -33,3 +35,26 @@ def enable_checkpoints(spark: SparkSession) -> None:
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path of its own below the shared folder; the caller removes it after use."""
     return f"{shared_root(spark)}/tallystream/{name}-{uuid.uuid4().hex}"
+
+
+def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """The rows written once to the shared folder and read from there."""
+    path = new_folder(spark, name)
+    df.write.mode("error").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings for a while."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

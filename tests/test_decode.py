@@ -146,4 +146,32 @@ def test_json_is_parsed_once(spark):
     df = spark.createDataFrame([(0, None, "{}")], MESSAGES)
     plan = msg.accepted(msg.decode(df)).groupBy("country").count()
     text = plan._jdf.queryExecution().optimizedPlan().toString()
-    assert text.count("StructField(email") == 1
+    assert text.count("StructField(email") == text.count("from_json") == 1
+
+
+KINDS = [
+    ('"5"', "string", "5"), ("5", "number", "5"), ("1.25", "number", "1.25"), ("1e2", "number", "100.0"), ("true", "boolean", "true"),
+    ("null", "null", None), ('[1, "a"]', "array", '[1,"a"]'), ('{"b":1}', "object", '{"b":1}'), ('""', "string", ""), (None, None, None),
+]
+
+
+def test_kinds_tell_a_number_from_its_text(spark):
+    values = [f'{{"country":{v}}}' if v is not None else "{}" for v, _, _ in KINDS]
+    rows = decode(spark, values, required=(), kinds=True)
+    assert [(r["kinds"]["country"], r["country"]) for r in rows] == [(k, t) for _, k, t in KINDS]
+    assert all(r["reason"] is None for r in rows)
+    assert msg.rejected(msg.decode(spark.createDataFrame([], MESSAGES), kinds=True)).columns == ["id", "key", "value", "reason"]
+
+
+def test_fields_that_must_be_texts(spark):
+    values = [f'{{"country":{v}}}' if v is not None else "{}" for v, _, _ in KINDS]
+    rows = decode(spark, values, required=(), texts=["country"])
+    assert [r["reason"] for r in rows] == [None if k in ("string", "null", None) else "type:country" for _, k, _ in KINDS]
+    assert decode(spark, ["{}"], required=["country"], texts=["country"])[0]["reason"] == "missing:country"
+
+
+def test_a_forged_mark_is_text_after_the_object(spark):
+    """Text after the object that imitates what the parse adds."""
+    forged = ['{"country":"A"},{"_mark":"1"}]', '{"country":"A"},{"_mark":"1"}', '{"country":"A","_mark":"1"}']
+    rows = decode(spark, forged, required=["country"])
+    assert [r["reason"] for r in rows] == ["malformed", "malformed", None]

@@ -99,10 +99,9 @@ def test_send(spark, tmp_path, monkeypatch):
     (tmp_path / "a.json").write_text('[{"a":1},\n{"a":2}]')
     for layout in files.RECORD_FILES:
         cli.main(["send", "--topic", "t", "--broker", "b", "--files", str(tmp_path), "--records", layout], spark)
-    assert [(c, to) for c, to, _ in sent] == [(["key", "value"], ("b", "t"))] * 3
-    assert [[r["value"] for r in rows] for _, _, rows in sent] == [
-        ['{"a":1}', '{"a":2}'], ['{"a":1}', '{"a":2}'], ['[{"a":1},', '{"a":2}]'],
-    ]
+    assert [(c, to) for c, to, _ in sent] == [(["key", "value"], ("b", "t"))] * 4
+    whole = ['{"a":1}', '{"a":2}']
+    assert [[r["value"] for r in rows] for _, _, rows in sent] == [whole, whole, whole, ['[{"a":1},', '{"a":2}]']]
 
 
 def test_country_is_ordered_in_each_batch(spark, topic_dir, tmp_path):
@@ -138,7 +137,7 @@ def test_restart_repeats_a_batch_without_change(spark, sf_dir, topic_dir, tmp_pa
     (commits / f".{PARTS - 1}.crc").unlink(missing_ok=True)
     time.sleep(0.01)
     query = run(spark, topic_dir, out, ranges=ranges)
-    assert [p["batchId"] for p in query.recentProgress if p["numInputRows"]] == [PARTS - 1]
+    assert [p["batchId"] for p in query.recentProgress if "addBatch" in p["durationMs"]] == [PARTS - 1]
     assert state() == before
 
 

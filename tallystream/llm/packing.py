@@ -100,13 +100,16 @@ def pack(documents: DataFrame, lengths: tuple[int, ...] = LENGTHS, lane_pieces:
                 if own != number:  # a task may hold several lanes, one after the other
                     lane, number = Lane(lengths, list(expected)), own
                 bins.append(f"{own}:{lane.place(int(size))}")
-            yield batch[["doc_id", "piece", "first_word", "length"]].assign(bin_id=bins)
+            yield batch[["doc_id", "unnamed", "piece", "first_word", "length"]].assign(bin_id=bins)
 
-    schema = "doc_id bigint, piece int, first_word bigint, length bigint, bin_id string"
+    # Null ids go as 0 with a mark: beside a null, pandas would turn the others into floats.
+    schema = "doc_id bigint, unnamed boolean, piece int, first_word bigint, length bigint, bin_id string"
     dealt = pieces.where("length > 0").withColumn("lane", F.pmod(F.xxhash64("doc_id", "piece", "h"), F.lit(lanes)).cast("int"))
-    dealt = dealt.select("lane", "doc_id", "piece", "first_word", "length").repartition(lanes, "lane")
-    packed = dealt.sortWithinPartitions("lane", F.desc("length"), "doc_id", "piece").mapInPandas(run, schema)
-    packed = stored(spark, packed, "packing-bins")
+    doc_id = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)).alias("doc_id")
+    dealt = dealt.select("lane", doc_id, F.col("doc_id").isNull().alias("unnamed"), "piece", "first_word", "length")
+    dealt = dealt.repartition(lanes, "lane").sortWithinPartitions("lane", F.desc("length"), "doc_id", "piece")
+    packed = stored(spark, dealt.mapInPandas(run, schema), "packing-bins")
+    packed = packed.withColumn("doc_id", F.when(~F.col("unnamed"), F.col("doc_id"))).drop("unnamed")
 
     content = F.sum("length").over(Window.partitionBy("bin_id"))
     shrunk = F.lit(top)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import itertools
+import math
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -375,6 +377,45 @@ def test_mix_awkward_sources(spark):
     assert [(r["size"], r["target"], r["taken"]) for r in empty] == [(0, 0.0, 0)] * 2
 
 
+def test_tilt_is_the_root(spark):
+    """Each source's tilt against a bisection in Python."""
+    rng = random.Random(3)
+    docs = [(i, " ".join(["w"] * rng.choice([1, 2, 5, 9, 40])), rng.choice("abcdef")) for i in range(400)]
+    docs += [(1000 + i, " ".join(["w"] * 7), "g") for i in range(900)]  # takes less than it has
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string, source string")
+    cells = frame.select("source", mixing.word_count(F.col("text")).alias("size")).groupBy("source", "size").agg(F.count("*").alias("n"))
+    targets = mixing.source_targets(cells.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")))
+    for r in mixing.solve(spark, cells, targets).collect():
+        sizes = [n_words(t) for _, t, s in docs if s == r["source"]]
+        assert r["mean"] == pytest.approx(sum(sizes) / len(sizes))
+        words = lambda lam: sum(x * min(3.0, math.exp(lam * x / r["mean"])) for x in sizes)  # noqa: E731, B023
+        lo, hi = -80.0, 80.0
+        for _ in range(200):
+            lo, hi = (lo, (lo + hi) / 2) if words((lo + hi) / 2) > r["target"] else ((lo + hi) / 2, hi)
+        assert words(r["lam"]) == pytest.approx(r["target"], rel=1e-6)
+        if r["target"] < 2.99 * sum(sizes):
+            assert r["lam"] == pytest.approx(lo, rel=1e-4, abs=1e-6)
+
+
+@pytest.mark.parametrize("texts, sources", [
+    (["", "a b", "c"], ["only empty", "c", "c"]), ([None, None, "a b"], [None, "x", "c"]), (["", None, "a b", "a"], [None, None, "c", "d"]),
+])
+def test_mix_loses_and_repeats_no_row(spark, texts, sources):
+    rows = [(i, t, s) for i, (t, s) in enumerate(zip(texts, sources, strict=True))]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = mixing.report(frame).collect()
+    assert sorted(r["doc_id"] for r in got) == [r[0] for r in rows]
+    check_mix(got, dict(enumerate(sources)))
+
+
+def test_mix_that_cannot_be_solved_fails(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "STEPS", 8)
+    cells = spark.createDataFrame([("a", 5, 4)], "source string, size bigint, n bigint")
+    targets = spark.createDataFrame([("a", 20, 90.0)], "source string, source_size bigint, target double")
+    with pytest.raises(ArithmeticError, match="miss a target"):
+        mixing.solve(spark, cells, targets.withColumn("source_size", F.lit(1000)))
+
+
 # Sharding
 
 
@@ -444,6 +485,52 @@ def test_bins_hold_every_word_once(spark, sf_dir):
             ends += r["length"]
 
 
+def test_packing_keeps_ids_beside_null(spark):
+    """Ids that a float cannot hold, in one lane with rows without an id."""
+    ids = [(1 << 60) + 1, (1 << 60) + 3, None, None, -5, (1 << 63) - 1]
+    frame = spark.createDataFrame([(i, f"a b {k}") for k, i in enumerate(ids)], "doc_id bigint, text string")
+    got = packing.pack(frame).collect()
+    assert Counter(r["doc_id"] for r in got) == Counter(ids)
+
+
+def plain_best_fit(sizes, lengths, expected):
+    """Best fit by looking at every bin and every length."""
+    rooms, left, total = [], dict(expected), []
+    for size in sizes:
+        left[size.bit_length() - 1] -= size
+        fitting = [(room, b) for b, room in enumerate(rooms) if room >= size]
+        if fitting:
+            _, b = min(fitting)
+        else:
+            costs = []
+            for length in (x for x in lengths if x >= size):
+                room = length - size
+                open_ = sum(1 for r in rooms if r > 0)
+                filler = sum(v for p, v in left.items() if 2 ** (p + 1) <= room) / (1 + open_)
+                costs.append(((length + packing.OVERHEAD) / (size + min(room, filler)), length))
+            rooms.append(min(costs)[1])
+            total.append(0)
+            b = len(rooms) - 1
+        rooms[b] -= size
+        total[b] += size
+    return sorted(total)
+
+
+def test_packing_matches_plain_best_fit(spark):
+    rng = random.Random(8)
+    sizes = [rng.choice([3, 30, 90, 200, 400, 513, 700, 1500, 4096]) + rng.randint(0, 3) for _ in range(300)]
+    frame = spark.createDataFrame([(i, " ".join(["w"] * n)) for i, n in enumerate(sizes)], "doc_id bigint, text string")
+    got = packing.pack(frame).collect()
+    pieces = sorted((r["length"] for r in got), reverse=True)
+    expected = Counter()
+    for p in pieces:
+        expected[p.bit_length() - 1] += p
+    bins = Counter()
+    for r in got:
+        bins[r["bin_id"]] += r["length"]
+    assert sorted(bins.values()) == plain_best_fit(pieces, packing.LENGTHS, expected)
+
+
 def test_packing_awkward_input(spark):
     texts = [None, "", "a", LONG, " ".join(["x"] * 4096), " ".join(["x"] * 4097)]
     docs = docs_of(spark, texts)

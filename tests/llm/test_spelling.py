@@ -1,0 +1,127 @@
+"""Spelling variants against plain comparison of all words."""
+
+from __future__ import annotations
+
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import functions as F
+
+from tallystream.llm import spelling
+
+DOCS = "doc_id bigint, text string"
+
+
+def edits(a: str, b: str) -> bool:
+    """Whether b is a with one code point inserted, deleted or replaced."""
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    short, long = sorted((a, b), key=len)
+    return len(long) == len(short) + 1 and any(long[:i] + long[i + 1:] == short for i in range(len(long)))
+
+
+def expected(rows) -> dict:
+    counts = Counter()
+    for doc_id, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = "".join(c.lower() if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if h % 199 == 0:
+                run = run[:h % len(run)] + run[h % len(run) + 1:]
+            counts[run] += 1
+    words = {w: n for w, n in counts.items() if len(w) >= 6 and n >= 5}
+    form, near = {}, {}
+    for w, n in words.items():
+        near[w] = sorted((o for o in words if edits(w, o)), key=lambda o: (-words[o], o))
+        form[w] = near[w][0] if near[w] and words[near[w][0]] >= 5 * n else None
+    out = {}
+    for w, n in words.items():
+        root = w
+        while form[root]:
+            root = form[root]
+        out[w] = (form[w], root, n, len(near[w]), words[form[w]] if form[w] else None)
+    return out
+
+
+def found(df) -> dict:
+    rows = df.collect()
+    out = {r["word"]: (r["form"], r["root"], r["n"], r["n_near"], r["form_n"]) for r in rows}
+    assert len(out) == len(rows)
+    return out
+
+
+def test_matches_all_pairs(spark):
+    rng = random.Random(5)
+    base = ["".join(rng.choices("abeéßÿ", k=rng.randint(6, 9))) for _ in range(40)]
+    words = []
+    for w in base:
+        words += [w] * rng.choice([5, 6, 30, 200])
+        for _ in range(4):  # variants, some of them variants of variants
+            i = rng.randrange(len(w))
+            v = rng.choice([w[:i] + w[i + 1:], w[:i] + rng.choice("abeéß") + w[i:], w[:i] + rng.choice("abeéß") + w[i + 1:]])
+            words += [v] * rng.choice([4, 5, 12, 60])
+            w = rng.choice([w, v])
+    words += ["abcdefgh"] * 500 + ["abcdefgx"] * 60 + ["abcdefyx"] * 8  # a chain
+    rng.shuffle(words)
+    rows = [(i, " ".join(words[i::50])) for i in range(50)]
+    rows += [(None, "repeat Repeat REPEAT repeat-repeat"), (7, None), (8, ""), (None, None), (9, "öäü 12 _"), rows[3], rows[3]]
+    want = expected(rows)
+    assert sum(v[0] is not None for v in want.values()) > 10
+    assert want["abcdefyx"][:2] == ("abcdefgx", "abcdefgh")
+    extra = spark.createDataFrame(rows, DOCS).withColumns({"word": F.lit("x"), "n": F.lit(1), "own": F.lit(2), "run": F.lit(3)})
+    assert found(spelling.variants(extra)) == want
+
+
+def test_one_place_deleted_by_checksum(spark):
+    """Enough occurrences that some lose a letter."""
+    rows = [(i, "wonderful Wonderful") for i in range(9000)]
+    want = expected(rows)
+    assert len(want) > 1
+    assert found(spelling.variants(spark.createDataFrame(rows, DOCS))) == want
+
+
+def test_runs_of_any_length(spark):
+    long = "abcdefghij" * 3000
+    other = long[:12345] + "x" + long[12346:]
+    text = " ".join([long] * 30 + [other] * 5 + [long + "k"] * 5)
+    want = expected([(1, text)])
+    got = found(spelling.variants(spark.createDataFrame([(1, text)], DOCS)))
+    assert got == want and got[other][0] == long
+
+
+def test_empty(spark):
+    df = spelling.variants(spark.createDataFrame([], DOCS))
+    assert df.collect() == [] and df.columns == ["word", "form", "root", "n", "n_near", "form_n"]
+    assert spelling.variants(spark.createDataFrame([(1, None)], DOCS)).collect() == []
+
+
+def test_neighbourhood_is_whole():
+    """Every one-edit neighbour of a reduced word is generated, and nothing longer or shorter."""
+    rng = np.random.default_rng(3)
+    for length in (1, 2, 7, 40):
+        sym = rng.integers(0, spelling.SYMBOLS, (1, length))
+        value = lambda s: int((spelling.VALUE[s] * spelling._powers(len(s))[:-1]).sum(dtype=np.uint64) + spelling._of_length(len(s)))
+        s = sym[0]
+        want = {value(s)}
+        for i in range(length + 1):
+            for c in range(spelling.SYMBOLS):
+                want.add(value(np.insert(s, i, c)))
+                if i < length:
+                    want.add(value(np.concatenate([s[:i], [c], s[i + 1:]])))
+            if i < length:
+                want.add(value(np.delete(s, i)))
+        with np.errstate(over="ignore"):
+            got = {int(h) for part in spelling.neighbours(sym) for h in part.ravel()}
+        assert got == want
+    words = pd.Series(["abc", "ÿÿ", "abcd", "a"])
+    assert len(set(spelling.reduced(words))) == 4
+
+
+def test_edit_is_by_code_point(spark):
+    pairs = [("éclair", "eclair"), ("éclair", "clair"), ("éclair", "éclair"), ("éclair", "èclaire"), ("ab", "ba")]
+    df = spark.createDataFrame(pairs, "a string, b string").select(spelling.one_edit(F.col("a"), F.col("b")).alias("x"))
+    assert [r["x"] for r in df.collect()] == [True, True, False, False, False]

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystream.operators.ordering import enable_checkpoints
 from tallystream.workspace import new_folder
 
 # What separates words, as a character class of regular expressions.
@@ -70,12 +69,10 @@ def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 
 
 def restart_point(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """A reliable checkpoint, for loops: its files go when the frame does."""
-    enable_checkpoints(spark)
-    return df.checkpoint()
+    """The rows as a written table, for loops.
 
-
-def first_of(columns: Iterable[str], wanted: Iterable[str]) -> list[str]:
-    """The wanted names among the columns, in the given order."""
-    have = set(columns)
-    return [c for c in wanted if c in have]
+    A checkpoint would cut the lineage too, but keep the size that Spark estimated for the
+    plan: the product of both sides of every join, which a loop squares in each round. A
+    table has its true size, so small ones are broadcast, and is compressed.
+    """
+    return stored(spark, df, "loop")

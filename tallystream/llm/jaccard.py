@@ -60,7 +60,8 @@ VERIFY_COST = 0.5  # of one shingle when verifying, in posting entries
 
 # Shingles as 64-bit hashes
 
-CHUNK = 1 << 20  # bytes looked at together
+CHUNK = 1 << 18  # bytes looked at together
+ROWS = 512  # handed on together
 _random = np.random.default_rng(20240101)
 _BYTES = _random.integers(0, 1 << 63, size=256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BYTES[65:91] = _BYTES[97:123]  # A-Z count as a-z
@@ -253,7 +254,7 @@ def _family_pairs(members: DataFrame, roots: DataFrame | None, nearest: int | No
 
 def _sketched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     counts = np.zeros(SKETCH, dtype=np.int64)
-    for batch in batches:
+    for batch in _parts(batches):
         found = [_low(shingles(text)) for text in batch["text"]]
         if found:
             counts += np.bincount(np.concatenate(found) & (SKETCH - 1), minlength=SKETCH)
@@ -326,17 +327,23 @@ def _digests(hashes: np.ndarray) -> tuple[int, int]:
     return int(a.view(np.int64)[0]), int(b.view(np.int64)[0])
 
 
+def _parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for i in range(0, len(batch), ROWS):
+            yield batch.iloc[i : i + ROWS]
+
+
 def _signed(buckets: np.ndarray, excess: np.ndarray):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for part in _parts(batches):
             rows = []
-            for text in batch["text"]:
+            for text in part["text"]:
                 h = shingles(text)
                 prefix, often, matches = _prefix(h, buckets, excess) if len(h) else (h, np.empty(0, bool), 0)
                 rows.append((*_digests(h), len(h), matches, signature(h), prefix[~often], prefix[often]))
             out = pd.DataFrame(rows, columns=["a", "b", "n", "l", "bits", "rare", "often"])
             for name in KEY:
-                out[name] = batch[name].to_numpy()
+                out[name] = part[name].to_numpy()
             yield out
 
     return run
@@ -355,9 +362,9 @@ def _keyed(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
+    for batch in _parts(batches):
         found = [shingles(t) for t in batch["text"]]
-        yield pd.DataFrame({"doc_id": batch["doc_id"], "own": [_digests(h)[0] for h in found], "sh": found})
+        yield pd.DataFrame({"doc_id": batch["doc_id"].to_numpy(), "own": [_digests(h)[0] for h in found], "sh": found})
 
 
 def _enough(common: Column, n1: Column, n2: Column) -> Column:

@@ -7,9 +7,12 @@ similar key share skip potentials, and loopy message passing settles the labels
 all of them together. Words that are no mention are clamped to "none": they are
 evidence, not variables, which keeps the field small in texts of any length.
 
-Potentials are trained piecewise on a bounded sample of documents that patterns have
-labelled: node weights by multinomial logistic regression, chain and skip potentials
-from smoothed log ratios of label pairs.
+Potentials are trained on a bounded sample of documents that patterns have labelled.
+Node and skip weights maximise the pseudo-likelihood: each label given the features of
+its mention and the labels of its skip neighbours. Mentions that share a key with a base
+span have no known label and are left out; in their place every base span lends copies in
+weaker forms, which are of its kind beside it and none alone. Chain potentials are
+smoothed log ratios of label pairs.
 
 Defined results: null and empty texts have no spans; every text is searched whole;
 a row gets a result of its own, repeated rows equal ones.
@@ -40,7 +43,8 @@ LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz012345678
 
 # What makes a word a mention, and a number written with separators.
 HINT = re.compile(r"[0-9@]")
-NUMBER = re.compile(r"\+?\(?[0-9](?:[\x20.()-]{0,2}[0-9])*+")
+NUMBER = re.compile(r"\+?\(?[0-9](?:[\x20.()-]{0,2}[0-9]){0,30}+")
+MOST_DIGITS = 19  # of one number; more are several, each word for itself
 WORD = re.compile(r"\S+")
 EDGE = ".,;:!?\"'()[]{}<>"
 
@@ -127,7 +131,7 @@ def _hinted(text: str, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int]
             start -= 1
         number = NUMBER.match(text, start, taken[k][0])
         end = WORD.match(text, start, taken[k][0]).end()
-        if number and (number.end() >= end or not text[number.end() : end].strip(EDGE)):
+        if number and len(digits_of(number[0])) <= MOST_DIGITS and (number.end() >= end or not text[number.end() : end].strip(EDGE)):
             end = number.end()
         if k and start < taken[k - 1][1]:
             start = taken[k - 1][1]
@@ -286,7 +290,8 @@ def added_spans(text: str, spans: list[Span], field: Field, least: float) -> lis
             unary[i, m.label] = 30.0
     skips = skip_edges(nodes)
     near = [(i, i + 1) for i in range(len(nodes) - 1) if nodes[i + 1].start - nodes[i].end <= CHAIN_GAP]
-    pairs = [(a, b, field.skip) for a, b in skips] + [(a, b, field.chain) for a, b in near if (a, b) not in set(skips)]
+    linked = set(skips)
+    pairs = [(a, b, field.skip) for a, b in skips] + [(a, b, field.chain) for a, b in near if (a, b) not in linked]
     p = beliefs(unary, pairs)
     out = []
     for m, row in zip(nodes, p):
@@ -299,38 +304,71 @@ def added_spans(text: str, spans: list[Span], field: Field, least: float) -> lis
 # Training
 
 
+# Contacts that any table is trained with besides its own, so that one without any has skip weights too.
+CONTACTS = ("+1 (212) 555-0100", "+44 20 7946 0958", "+49-30-901820", "jane.doe@example.org", "info.desk@example.com")
+
+
+def weaker(m: Mention) -> list[str]:
+    """Other ways to write a phone number or mailbox that no pattern finds, but that share a key with it."""
+    if LABELS[m.label] == "phone":
+        d = digits_of(m.text)
+        return [d, f"{d[-10:-7]}-{d[-7:-4]}-{d[-4:]}", f"({d[-10:-7]}) {d[-7:-4]} {d[-4:]}"] if len(d) >= 10 else []
+    if LABELS[m.label] == "email":
+        name = m.text.split("@")[0]
+        return [name] if len(name) >= 5 else []
+    return []
+
+
+def _examples(text: str) -> list[tuple[int, list[int], list[int]]]:
+    """(label, features, labels of skip neighbours by number) of the mentions of a text.
+
+    A mention that shares a key with a base span is left out: patterns cannot say that it
+    is none. What it would be is shown by weaker copies of base spans, which are their kind
+    beside the span and none alone.
+    """
+    nodes = mentions(text, base_spans(text))
+    beside = np.zeros((len(nodes), len(LABELS)), dtype=int)
+    for a, b in skip_edges(nodes):
+        beside[a, nodes[b].label] += 1
+        beside[b, nodes[a].label] += 1
+    out = []
+    for m, around in zip(nodes, beside, strict=True):
+        if m.fixed or not around[1:].any():
+            out.append((m.label, features(m, text), around.tolist()))
+        for copy in weaker(m) if m.fixed else ():
+            line = text[max(0, m.start - 2) : m.start] + copy + text[m.end : m.end + 2]
+            start = min(m.start, 2)
+            own = features(Mention(start, start + len(copy), copy, 0, False), line)
+            with_span = [0] * len(LABELS)
+            with_span[m.label] = 1
+            out += [(m.label, own, with_span), (0, own, [0] * len(LABELS))]
+    return out
+
+
 def _training_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
         for text in batch["text"]:
-            if not text:
+            found = _examples(text) if text else []
+            if not found:
                 continue
             nodes = mentions(text, base_spans(text))
-            if not nodes:
-                continue
-            skips = skip_edges(nodes)
-            rows.append(
-                {
-                    "labels": [m.label for m in nodes],
-                    "features": [features(m, text) for m in nodes],
-                    "skips": [[nodes[a].label, nodes[b].label] for a, b in skips],
-                    "near": [
-                        [nodes[i].label, nodes[i + 1].label]
-                        for i in range(len(nodes) - 1)
-                        if nodes[i + 1].start - nodes[i].end <= CHAIN_GAP
-                    ],
-                }
-            )
-        yield pd.DataFrame(rows, columns=["labels", "features", "skips", "near"])
-
-
-TRAINING = "labels array<int>, features array<array<int>>, skips array<array<int>>, near array<array<int>>"
-
-
-def _pair_potential(pairs: list, agree: float) -> np.ndarray:
-    """Smoothed log ratio of joint to independent label frequencies; agreement has a prior."""
+            near = [
+                [nodes[i].label, nodes[i + 1].label] for i in range(len(nodes) - 1)
+                if nodes[i + 1].start - nodes[i].end <= CHAIN_GAP
+            ]
+            labels, feats, beside = zip(*found, strict=True)
+            rows.append({"labels": list(labels), "features": list(feats), "beside": list(beside), "near": near})
+        yield pd.DataFrame(rows, columns=["labels", "features", "beside", "near"])
+
+
+TRAINING = "labels array<int>, features array<array<int>>, beside array<array<int>>, near array<array<int>>"
+
+
+def _pair_potential(pairs: list) -> np.ndarray:
+    """Smoothed log ratio of joint to independent label frequencies."""
     n = len(LABELS)
-    counts = np.full((n, n), 0.5) + agree * np.eye(n)
+    counts = np.full((n, n), 0.5)
     for a, b in pairs:
         counts[a, b] += 0.5
         counts[b, a] += 0.5
@@ -339,30 +377,38 @@ def _pair_potential(pairs: list, agree: float) -> np.ndarray:
     return np.clip(np.log(joint) - np.log(np.outer(margin, margin)), -4, 4)
 
 
-def train(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = 4000, epochs: int = 60) -> Field:
-    """Potentials from at most about ``sample_rows`` documents, labelled by the patterns."""
+def fit(labels: list, feats: list, beside: list, epochs: int = 600) -> tuple[np.ndarray, np.ndarray]:
+    """Node and skip weights by pseudo-likelihood: each label given its features and the labels
+    of its skip neighbours, by adaptive gradient steps."""
+    weights, skip = np.zeros((N_FEATURES, len(LABELS))), np.zeros((len(LABELS), len(LABELS)))
+    y = np.eye(len(LABELS))[np.array(labels)]
+    f, around = np.array([list(x) for x in feats]), np.array([list(x) for x in beside], dtype=float)
+    step, seen_weights, seen_skip = 0.5, np.zeros_like(weights), np.zeros_like(skip)
+    for _ in range(epochs):
+        z = weights[f].sum(1) + around @ skip
+        p = np.exp(z - z.max(1, keepdims=True))
+        p /= p.sum(1, keepdims=True)
+        gradient = np.zeros_like(weights)
+        for k in range(f.shape[1]):
+            np.add.at(gradient, f[:, k], p - y)
+        gradient = gradient / len(y) + 1e-5 * weights
+        seen_weights += gradient**2
+        weights -= step * gradient / (np.sqrt(seen_weights) + 1e-6)
+        pull = around.T @ (p - y) / len(y)
+        pull = pull + pull.T + 1e-5 * skip
+        seen_skip += pull**2
+        skip -= step * pull / (np.sqrt(seen_skip) + 1e-6)
+    return weights, skip
+
+
+def train(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = 4000, epochs: int = 600) -> Field:
+    """Potentials from at most about ``sample_rows`` documents, labelled by the patterns, and ``CONTACTS``."""
     sample = bounded_sample(documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "id", sample_rows)
     rows = sample.select("text").mapInPandas(_training_rows, TRAINING).toPandas()
-    labels = [x for row in rows["labels"] for x in row]
-    feats = [f for row in rows["features"] for f in row]
-    weights = np.zeros((N_FEATURES, len(LABELS)))
-    if labels:
-        y = np.eye(len(LABELS))[np.array(labels)]
-        f = np.array([list(x) for x in feats])
-        step, total = 0.5, np.zeros_like(weights)
-        for _ in range(epochs):
-            z = weights[f].sum(1)
-            p = np.exp(z - z.max(1, keepdims=True))
-            p /= p.sum(1, keepdims=True)
-            gradient = np.zeros_like(weights)
-            for k in range(f.shape[1]):
-                np.add.at(gradient, f[:, k], p - y)
-            gradient = gradient / len(y) + 1e-5 * weights
-            total += gradient**2
-            weights -= step * gradient / (np.sqrt(total) + 1e-6)
-    skips = [tuple(p) for row in rows["skips"] for p in row]
-    near = [tuple(p) for row in rows["near"] for p in row]
-    return Field(weights, _pair_potential(near, 0.0), _pair_potential(skips, 50.0))
+    found = [x for row in rows.itertuples() for x in zip(row.labels, row.features, row.beside, strict=True)]
+    found += [x for contact in CONTACTS for x in _examples(f"to {contact} or")]
+    weights, skip = fit(*zip(*found, strict=True), epochs)
+    return Field(weights, _pair_potential([tuple(p) for row in rows["near"] for p in row]), skip)
 
 
 RESULT = "base array<struct<start:int,end:int,kind:string>>, added array<struct<start:int,end:int,kind:string>>"

@@ -63,15 +63,15 @@ class _Fold(dict):
 
 FOLD = _Fold()
 # Signs mean letters only inside words, so they are folded only beside a letter or digit.
-SIGN = re.compile(r"[!|@$]+(?![^\W_])|(?<![^\W_])[!|]+")
+# Before a word they may be either: both readings are tried.
+LEADING = re.compile(r"(?<![^\W_])[!|]+(?=[^\W_])")
+SIGN = re.compile(r"[!|@$]+(?![^\W_])")
 
 
-def folded(text: str) -> str:
-    return SIGN.sub(" ", text).translate(FOLD)
-
-
-def tokens(text: str) -> list[str]:
-    return WORD.findall(folded(text))
+def tokens(text: str, leading: bool = False) -> list[str]:
+    """The folded words; signs before a word are letters of it with ``leading``."""
+    text = SIGN.sub(" ", text)
+    return WORD.findall((text if leading else LEADING.sub(" ", text)).translate(FOLD))
 
 
 SHORTEST, LONGEST = 3, 7  # letters of a word beginning
@@ -106,8 +106,15 @@ def automaton(weights: dict[str, float]) -> ahocorasick.Automaton | None:
 
 
 def hits(text: str, machine: ahocorasick.Automaton | None, exceptions: frozenset) -> tuple[float, int, list[tuple[int, float]]]:
-    """Total weight, number of words, and (place, weight) of the words hit in folded text."""
-    words = tokens(text)
+    """Total weight, number of words, and (place, weight) of the words hit in folded text, by
+    the reading that hits more."""
+    found = _hits(tokens(text), machine, exceptions)
+    if machine is not None and LEADING.search(text):
+        found = max(found, _hits(tokens(text, leading=True), machine, exceptions), key=lambda f: f[0])
+    return found
+
+
+def _hits(words: list[str], machine: ahocorasick.Automaton | None, exceptions: frozenset) -> tuple[float, int, list[tuple[int, float]]]:
     if machine is None or not words:
         return 0.0, len(words), []
     line = " " + " ".join(words) + " "
@@ -221,25 +228,6 @@ def _without_repeats(scored: dict[str, tuple[float, float]]) -> dict[str, float]
     return kept
 
 
-def _fit_curve(points: np.ndarray, labels: np.ndarray) -> tuple[float, float, float]:
-    """Logistic regression by coordinate Newton steps with a small penalty; slopes are not negative."""
-    x = np.column_stack([np.ones(len(points)), points])
-    beta = np.array([-2.0, 1.0, 0.0])
-    penalty = np.array([0.0, 0.05, 0.05])
-    for _ in range(300):
-        before = beta.copy()
-        for k in range(3):
-            p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-            gradient = x[:, k] @ (p - labels) + penalty[k] * beta[k]
-            curvature = (x[:, k] ** 2) @ (p * (1 - p)) + penalty[k] + 1e-3
-            beta[k] -= np.clip(gradient / curvature, -1, 1)
-            if k:
-                beta[k] = max(beta[k], 0.0)
-        if np.abs(beta - before).max() < 1e-4:
-            break
-    return float(beta[0]), float(beta[1]), float(beta[2])
-
-
 def _fit_curve(points: np.ndarray, labels: np.ndarray) -> tuple[float, float, float]:
     """Logistic regression by Newton steps with a small penalty; slopes are not negative."""
     x = np.column_stack([np.ones(len(points)), points])

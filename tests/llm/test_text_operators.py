@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import itertools
 import re
+import time
 import zlib
 
 import numpy as np
@@ -85,6 +86,37 @@ def test_field_spreads_labels_to_distant_mentions(documents):
     assert pii.added_spans(text[30:], pii.base_spans(text[30:]), field, 0.95) == []
 
 
+def test_added_spans_on_planted_repeats(documents):
+    """Weaker repeats of contacts far away in other words, among numbers that are none."""
+    random = np.random.default_rng(12)
+    field = pii.train(documents)
+    words = [w for r in documents.limit(50).collect() for w in (r["text"] or "").split() if not pii.HINT.search(w)]
+    right = wrong = missed = 0
+    for i in range(80):
+        filler = lambda n: " ".join(random.choice(words, size=n))  # noqa: E731, B023
+        digits = "".join(random.choice(list("0123456789"), size=9))
+        phone, name = f"+1 ({digits[:3]}) {digits[3:6]}-{digits[6:]}7", f"name{i}.{digits[:4]}"
+        planted = {f"{digits[:3]}-{digits[3:6]}-{digits[6:]}7", f"1{digits}7", name.upper()}
+        noise = [f"{random.integers(10**9, 10**10)}", f"{digits[::-1]}-{i}", "2024-01-01", f"{i}", f"other{i}.{digits[:4]}"]
+        places = [*planted, *noise]
+        random.shuffle(places)
+        text = f"{filler(5)} {phone} {filler(9)} {name}@ex-{i}.org. " + " ".join(f"{filler(60)} {p}" for p in places)
+        found = {text[s:e] for s, e, _ in pii.added_spans(text, pii.base_spans(text), field, 0.95)}
+        right += len(found & planted)
+        wrong += len(found - planted)
+        missed += len(planted - found)
+    assert right > 0.9 * (right + missed) and wrong <= 0.02 * right, (right, wrong, missed)
+
+
+def test_field_is_linear_in_mentions():
+    field = pii.Field(np.zeros((pii.N_FEATURES, 5)), np.zeros((5, 5)), np.eye(5))
+    text = "x " + " ".join(f"{i:05d}-{i % 977:04d}" for i in range(200_000)) + " +1 988 555 2485"
+    begin = time.monotonic()
+    assert len(pii.mentions(text, pii.base_spans(text))) == 200_001
+    pii.added_spans(text, pii.base_spans(text), field, 0.95)
+    assert time.monotonic() - begin < 60
+
+
 def test_message_passing_on_a_tree_is_exact():
     random = np.random.default_rng(0)
     unary = random.normal(size=(4, 3))

@@ -35,6 +35,7 @@ class RangeIndex:
     ranges: DataFrame
     coarse: DataFrame | None = None
     fine: DataFrame | None = None
+    frozen: bool = False  # read from a written version
 
 
 def cut_at_buckets(ranges: DataFrame, shift: int) -> DataFrame:

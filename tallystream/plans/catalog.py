@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tallystream.functions.times import instant_to_ntz
 from tallystream.operators import enrich, messages as msg, metrics
 from tallystream.operators.ordering import with_ordinal
+from tallystream.operators.networks import MAX_BROADCAST_BYTES, index_networks
 from tallystream.operators.ranges import RangeIndex, index_ranges
 from tallystream.operators.windows import arrival_schedule, assign_window
 from tallystream.plans import inputs
@@ -183,6 +184,37 @@ def lookup_enrich(spark, sf_dir):
     return _flat_geo(enrich.lookup_enrich(users, parts_of), ("hostname", "city"))
 
 
+def _networks(spark: SparkSession, sf_dir: str, limit: int) -> DataFrame:
+    messages = msg.accepted(msg.decode(msg.to_envelope(inputs.dual_stack_messages(spark, sf_dir))))
+    index = index_networks(inputs.ip_networks(spark, sf_dir), limit)
+    return _flat_geo(enrich.ip_enrich(messages, index), ("city", "country"))
+
+
+def ip_networks(spark, sf_dir):
+    """Addresses of both families in networks of several lengths."""
+    return _networks(spark, sf_dir, MAX_BROADCAST_BYTES)
+
+
+def ip_networks_shuffled(spark, sf_dir):
+    """The form for network tables too large to broadcast, on the same networks."""
+    return _networks(spark, sf_dir, 0)
+
+
+def lookup_batches(spark, sf_dir):
+    """Messages and answers per address over four starts of the job, and how often it was asked for."""
+
+    def network_of(addresses: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame({"hostname": "net-" + addresses.str.split(".").str[0]})
+
+    out, topic = new_folder(spark, "lookup-out"), "users"
+    _in_parts(spark, sf_dir, "lookup", lambda s: jobs.run_metrics(s, out, topic, lookup=network_of, available_now=True))
+    found = commits.results(spark, out, topic, jobs.IP)
+    rows = found.groupBy("ip_address", F.col("geo.hostname").alias("hostname")).agg(F.count("*").alias("n"))
+    asked = spark.read.schema(enrich.PLACE).parquet(f"{out}/{topic}/places/places/0")
+    asked = asked.groupBy("ip_address").agg(F.count("*").alias("asked"))
+    return rows.join(asked, "ip_address", "left")
+
+
 # Replay
 
 def _scheduled(df: DataFrame, ordinal: str) -> DataFrame:
@@ -356,7 +388,10 @@ QUERIES: dict[str, Query] = {
     "quarantine": quarantine,
     "ip_enrich": ip_enrich,
     "ip_enrich_sorted": ip_enrich_sorted,
+    "ip_networks": ip_networks,
+    "ip_networks_shuffled": ip_networks_shuffled,
     "lookup_enrich": lookup_enrich,
+    "lookup_batches": lookup_batches,
     "replay_schedule": replay_schedule,
     "replay_ordinal": replay_ordinal,
     "replay_windows": replay_windows,

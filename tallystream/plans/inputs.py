@@ -97,19 +97,34 @@ def decoded_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return msg.accepted(msg.decode(msg.to_envelope(topic_messages(spark, sf_dir))))
 
 
+def dual_stack_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every other address IPv6, in three forms: shortened, in full, and an IPv4 address inside IPv6."""
+    event = F.col("event_id")
+    records = user_records(spark, sf_dir)
+    number = F.regexp_extract("email", "[0-9]+", 0).cast("bigint")
+    group = F.hex(number % 40 * 256 + event % 16)
+    last = F.hex(event % 65536)
+    six = (
+        F.when(event % 6 == 1, F.lower(F.concat(F.lit("2001:db8:"), group, F.lit("::"), last)))
+        .when(event % 6 == 3, F.concat(F.lit("2001:0DB8:"), F.lpad(group, 4, "0"), F.lit(":0000:0000:0000:0000:"), F.lpad(last, 4, "0")))
+        .otherwise(F.concat(F.lit("::ffff:"), F.col("ip_address")))
+    )
+    address = F.when(event % 2 == 0, F.col("ip_address")).otherwise(six)
+    return _as_messages(records.withColumn("ip_address", address))
+
+
 UNMAPPED_REGION = 4
 
 
-def ip_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A block of four /8 networks per nation; the nations of one region have none."""
+def _places(spark: SparkSession, sf_dir: str, city: str = "City ") -> DataFrame:
+    """``n_nationkey, geo`` of the nations of all regions but one."""
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
     key = F.col("n_nationkey")
-    first = (10 + 4 * key).cast("bigint") * (1 << 24)
     number = key.cast("string")
     place = {
         "hostname": F.concat(F.lit("gw"), number, F.lit(".example.net")),
-        "city": F.concat(F.lit("City "), number),
+        "city": F.concat(F.lit(city), number),
         "region": F.col("r_name"),
         "country": F.col("n_name"),
         "loc": F.concat(number, F.lit(".5,-"), number, F.lit(".25")),
@@ -120,10 +135,30 @@ def ip_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
         .where(F.col("r_regionkey") != UNMAPPED_REGION)
-        .select(first.alias("lo"), (first + 4 * (1 << 24) - 1).alias("hi"), geo.alias("geo"))
+        .select(key, geo.alias("geo"))
     )
 
 
+def ip_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A block of four /8 networks per nation; the nations of one region have none."""
+    first = (10 + 4 * F.col("n_nationkey")).cast("bigint") * (1 << 24)
+    return _places(spark, sf_dir).select(first.alias("lo"), (first + 4 * (1 << 24) - 1).alias("hi"), "geo")
+
+
+def ip_networks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Networks of both families per nation, and a smaller one with a place of its own in each."""
+    key = F.col("n_nationkey")
+    two = lambda n: F.lpad(F.hex(n), 2, "0")
+    wide = [F.concat((10 + 4 * key + k).cast("string"), F.lit(".0.0.0/8")) for k in range(4)]
+    wide.append(F.concat(F.lit("2001:db8:"), two(key), F.lit("00::/40")))
+    near = [
+        F.concat((10 + 4 * key).cast("string"), F.lit("."), key.cast("string"), F.lit(".0.0/16")),
+        F.concat(F.lit("2001:db8:"), two(key), two(key % 16), F.lit("::/48")),
+    ]
+    large = _places(spark, sf_dir).select(F.explode(F.array(*wide)).alias("network"), "geo")
+    return large.unionByName(_places(spark, sf_dir, "Near ").select(F.explode(F.array(*near)).alias("network"), "geo"))
+
+
 def write_topic_files(messages: DataFrame, path: str) -> None:
     """Messages as files that a file stream reads in place of a topic."""
     envelope = msg.to_envelope(messages).withColumn("timestamp", ntz_to_instant(F.col("timestamp")))

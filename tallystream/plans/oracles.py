@@ -54,6 +54,28 @@ SELECT event_id, email, ip_address, hostname AS geo_hostname, city AS geo_city,
 FROM users u LEFT JOIN ranges r ON u.ip BETWEEN r.lo AND r.hi
 """
 
+# An IPv4 address (also one inside IPv6) by its first two numbers, an IPv6 one by its third group.
+_NETWORKS = """
+, located AS (
+  SELECT u.event_id, u.email, CASE
+      WHEN event_id % 2 = 0 THEN ip_address
+      WHEN event_id % 6 = 1 THEN lower(concat('2001:db8:', to_hex(grp), '::', to_hex(event_id % 65536)))
+      WHEN event_id % 6 = 3 THEN concat('2001:0DB8:', lpad(to_hex(grp), 4, '0'), ':0000:0000:0000:0000:',
+        lpad(to_hex(event_id % 65536), 4, '0'))
+      ELSE concat('::ffff:', ip_address) END AS ip_address,
+    CASE WHEN six THEN user_id % 40 ELSE user_id % 100 // 4 END AS nation,
+    CASE WHEN six THEN event_id % 16 = user_id % 40 % 16
+      ELSE user_id % 100 % 4 = 0 AND event_id % 256 = user_id % 100 // 4 END AS near
+  FROM (SELECT *, CAST(regexp_extract(email, '[0-9]+') AS BIGINT) AS user_id, event_id % 6 IN (1, 3) AS six,
+    CAST(regexp_extract(email, '[0-9]+') AS BIGINT) % 40 * 256 + event_id % 16 AS grp FROM users) u
+)
+SELECT event_id, email, ip_address,
+  CASE WHEN r_regionkey IS NOT NULL THEN concat(CASE WHEN near THEN 'Near ' ELSE 'City ' END, nation) END AS geo_city,
+  CASE WHEN r_regionkey IS NOT NULL THEN n_name END AS geo_country
+FROM located LEFT JOIN nation ON n_nationkey = nation
+  LEFT JOIN region ON n_regionkey = r_regionkey AND r_regionkey <> 4
+"""
+
 _SCHEDULE = """
 SELECT event_id, TIMESTAMP '2024-01-01' + to_seconds(event_id * 2) AS arrival_ts FROM events
 """
@@ -119,6 +141,12 @@ ORACLES: dict[str, str] = {
     ),
     "ip_enrich": _of_users(_LOCATED),
     "ip_enrich_sorted": _of_users(_LOCATED),
+    "ip_networks": _of_users(_NETWORKS),
+    "ip_networks_shuffled": _of_users(_NETWORKS),
+    "lookup_batches": _of_users("""
+        SELECT ip_address, concat('net-', split_part(ip_address, '.', 1)) AS hostname, count(*) AS n,
+          CAST(1 AS BIGINT) AS asked
+        FROM flawed WHERE reason IS NULL GROUP BY ip_address"""),
     "lookup_enrich": _of_users("""
         SELECT event_id, email, ip_address,
           concat('net-', split_part(ip_address, '.', 1)) AS geo_hostname,

@@ -28,8 +28,11 @@ ENVELOPE = T.StructType([
 # A line of a message file that is no envelope, as a column Spark fills.
 BROKEN_LINE = "_broken_line"
 
-RANGE_SCHEMA =T.StructType([
+RANGE_SCHEMA = T.StructType([
     T.StructField("lo", T.LongType(), False),
     T.StructField("hi", T.LongType(), False),
     T.StructField("geo", GEO_STRUCT),
 ])
+
+# Networks as ``address/length``, of both families.
+NETWORK_SCHEMA = T.StructType([T.StructField("network", T.StringType()), T.StructField("geo", GEO_STRUCT)])

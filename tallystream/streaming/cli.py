@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tallystream.operators.enrich import Lookup
-from tallystream.schema import RANGE_SCHEMA
+from tallystream.operators.networks import index_networks
+from tallystream.schema import NETWORK_SCHEMA, RANGE_SCHEMA
 from tallystream.sources import files
 from tallystream.sources.kafka import kafka_stream
 from tallystream.streaming import jobs, sinks
@@ -36,6 +37,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--checkpoint", help="folder of the query state (default: below --out)")
     p.add_argument("--ranges", help="parquet table of IP ranges (lo, hi, geo)")
     p.add_argument("--lookup", help="module:function that gives place fields for a series of addresses")
+    p.add_argument("--networks", help="parquet table of networks of both families (network, geo)")
+    p.add_argument("--place-age", type=float, default=86_400, help="seconds that answers of --lookup are kept")
     p.add_argument("--user-window", type=int, help="also keep distinct users of windows of so many seconds")
     p.add_argument("--on-bad", default="quarantine", choices=["quarantine", "fail"])
     p.add_argument("--max-offsets", type=int, help="most messages of a topic per micro-batch")
@@ -57,8 +60,8 @@ def check(args: argparse.Namespace) -> None:
         missing.append("broker or files")
     if missing:
         raise ValueError(f"{args.job} needs: {', '.join(missing)}")
-    if args.ranges and args.lookup:
-        raise ValueError("give --ranges or --lookup, not both")
+    if sum(map(bool, (args.ranges, args.networks, args.lookup))) > 1:
+        raise ValueError("give one of --ranges, --networks and --lookup, not both")
 
 
 def function(name: str) -> Lookup:
@@ -86,9 +89,11 @@ def start(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery | Non
     messages = source(spark, args)
     if args.job == "metrics":
         ranges = spark.read.schema(RANGE_SCHEMA).parquet(args.ranges) if args.ranges else None
+        if args.networks:
+            ranges = index_networks(spark.read.schema(NETWORK_SCHEMA).parquet(args.networks))
         lookup = function(args.lookup) if args.lookup else None
         return jobs.run_metrics(
-            messages, args.out, args.topic, ranges=ranges, lookup=lookup,
+            messages, args.out, args.topic, ranges=ranges, lookup=lookup, place_age=args.place_age,
             on_bad=args.on_bad, user_window=args.user_window, fmt=args.format, **common,
         )
     if args.job == "landing":

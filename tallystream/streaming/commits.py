@@ -10,14 +10,14 @@ the old manifest away, and readers keep to the batches of the query that wrote l
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallystream.streaming import sinks
+from tallystream.workspace import table_or_empty
 
 ENTRY = "query string, metric string, rows bigint, batch_time timestamp, started timestamp, ended timestamp"
 COLUMNS = ("batch_id", "query", "metric", "rows", "batch_time", "started", "ended")
@@ -30,16 +30,6 @@ def manifest_path(out: str, topic: str, job: str, fmt: str) -> str:
     return f"{out.rstrip('/')}/{topic}/commits/{job}-{fmt}"
 
 
-def table_or_empty(spark: SparkSession, path: str, read: Callable[[str], DataFrame], schema: str) -> DataFrame:
-    """A table that may not be there yet."""
-    try:
-        return read(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-
-
 def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return table_or_empty(spark, path, spark.read.schema(schema).parquet, schema)
 

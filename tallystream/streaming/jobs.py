@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from tallystream.operators import enrich, messages as msg, metrics
+from tallystream.operators import enrich, frozen, messages as msg, metrics
+from tallystream.operators.networks import NetworkIndex
 from tallystream.operators.ranges import RangeIndex, index_ranges
 from tallystream.operators.windows import window_seconds
 from tallystream.schema import FIELDS
@@ -83,10 +84,12 @@ def _require(**names: str) -> None:
         raise ValueError(f"missing parameters: {', '.join(missing)}")
 
 
-def _results(
-    decoded: DataFrame, base: DataFrame, ranges: RangeIndex | None, lookup: enrich.Lookup | None
-) -> dict[str, DataFrame]:
-    """The outputs of one micro-batch by folder."""
+Located = Callable[[DataFrame], DataFrame]
+
+
+def _results(decoded: DataFrame, base: DataFrame, located: Located | None) -> dict[str, Callable[[], DataFrame]]:
+    """The outputs of one micro-batch by folder, each made when it is written: a lookup asks
+    as soon as its output is made, and by then the batch should be kept."""
     good = msg.accepted(decoded)
     by_country = metrics.roll_up(base, KEYS, "country")
     total = metrics.roll_up(base, KEYS).select(*KEYS, F.lit("message_total").alias("label"), "n")
@@ -97,14 +100,17 @@ def _results(
         GENDER: metrics.roll_up(base, KEYS, "gender"),
         QUARANTINE: msg.rejected(decoded).select(*KEYS, "key", "value", "reason"),
     }
-    if ranges is not None:
-        results[IP] = enrich.ip_rows(enrich.ip_enrich(good, ranges), KEYS)
-    elif lookup is not None:
-        results[IP] = enrich.ip_rows(enrich.lookup_enrich(good, lookup), KEYS)
-    return results
+    made = {name: lambda df=df: df for name, df in results.items()}
+    if located is not None:
+        made[IP] = lambda: enrich.ip_rows(located(good), KEYS)
+    return made
 
 
-def _row_counts(decoded: DataFrame, base: DataFrame, results: dict[str, DataFrame]) -> tuple[dict[str, int], datetime | None]:
+# Batches between two rewritings of the kept answers of a lookup.
+COMPACT_EVERY = 64
+
+
+def _row_counts(decoded: DataFrame, base: DataFrame, results: Sequence[str]) -> tuple[dict[str, int], datetime | None]:
     """How many rows the results of a batch have, and its time, from what is kept of it."""
     seen = decoded.agg(F.count("*").alias("all"), F.count("reason").alias("bad"), F.max("batch_time").alias("at")).first()
     group = lambda c: F.count_distinct(F.struct(c)).alias(c)
@@ -132,8 +138,9 @@ def run_metrics(
     topic: str,
     seconds=10,
     *,
-    ranges: DataFrame | RangeIndex | None = None,
+    ranges: DataFrame | RangeIndex | NetworkIndex | None = None,
     lookup: enrich.Lookup | None = None,
+    place_age: float | None = 86_400,
     required: Sequence[str] = FIELDS,
     on_bad: str = "quarantine",
     user_window: int | None = None,
@@ -147,6 +154,8 @@ def run_metrics(
     set before ``foreachBatch``, so a batch that is run again keeps its time. The batch
     is shown to readers (``commits.results``) when all of it is written.
 
+    Places come from ``ranges``, which are indexed and written once at the start, or from
+    ``lookup``, whose answers are kept for ``place_age`` seconds (None: asked for in every batch).
     With ``user_window``, the users of windows of so many seconds are kept over the
     batches too (``users.window_users``).
     """
@@ -155,6 +164,15 @@ def run_metrics(
         user_window = window_seconds(user_window)
     if isinstance(ranges, DataFrame):
         ranges = index_ranges(ranges)
+    places, located = None, None
+    if ranges is not None:
+        index = frozen.freeze(messages.sparkSession, ranges, f"{out.rstrip('/')}/{topic}/ip_index")
+        located = lambda good: enrich.ip_enrich(good, index)
+    elif lookup is not None and place_age is None:
+        located = lambda good: enrich.lookup_enrich(good, lookup)
+    elif lookup is not None:
+        places = enrich.PlaceTable(f"{out.rstrip('/')}/{topic}/places", lookup, place_age)
+        located = lambda good: places.enrich(good, datetime.now(timezone.utc))
     envelope = msg.to_envelope(messages)
     pairs = msg.raw_pairs(envelope) if user_window is None else envelope.select("key", "value", "timestamp")
     stamped = pairs.withColumn("batch_time", F.current_timestamp())
@@ -172,6 +190,8 @@ def run_metrics(
             if not commits.is_whole(spark, place, batch_id, query):
                 rows, batch_time = write_results(batch, batch_id)
                 commits.commit(spark, place, batch_id, query, rows, batch_time, started, datetime.now(timezone.utc))
+            if places is not None and (batch_id + 1) % COMPACT_EVERY == 0:
+                places.compact(spark)
             if user_window is not None:
                 users.merge_up(spark, out, topic, user_window, batch_id, query)
         finally:
@@ -183,14 +203,14 @@ def run_metrics(
         decoded = msg.decode(batch.withColumn("batch_id", F.lit(batch_id)), required, on_bad)
         decoded.persist(StorageLevel.MEMORY_AND_DISK)
         base = metrics.country_gender_base(msg.accepted(decoded), KEYS).persist()
-        results = _results(decoded, base, ranges, lookup)
+        results = _results(decoded, base, located)
 
         def save(metric: str) -> None:
             if metric == users.RUNS:
                 run = users.run_of_batch(msg.accepted(decoded), user_window)
                 run.write.mode("overwrite").parquet(users.run_path(out, topic, user_window, 0, batch_id))
             else:
-                sinks.write_batch(results[metric].drop("batch_id"), out, topic, metric, batch_id, fmt)
+                sinks.write_batch(results[metric]().drop("batch_id"), out, topic, metric, batch_id, fmt)
 
         try:
             # The first write fills what is kept. Side by side on an empty store, each
@@ -198,7 +218,7 @@ def run_metrics(
             save(RAW)
             rest = [name for name in results if name != RAW]
             _at_once(spark, save, rest + [users.RUNS] * (user_window is not None))
-            rows, batch_time = _row_counts(decoded, base, results)
+            rows, batch_time = _row_counts(decoded, base, list(results))
             if user_window is not None:
                 rows[users.RUNS] = spark.read.parquet(users.run_path(out, topic, user_window, 0, batch_id)).count()
             return rows, batch_time

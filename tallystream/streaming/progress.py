@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
-from tallystream.streaming.commits import table_or_empty
+from tallystream.workspace import table_or_empty
 
 ROW = "query string, started timestamp, input_rows bigint, millis bigint"
 COLUMNS = ("batch_id", "started", "input_rows", "millis")

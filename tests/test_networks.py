@@ -1,0 +1,126 @@
+"""Addresses of both families and longest prefixes against Python's ipaddress."""
+
+from __future__ import annotations
+
+import ipaddress
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallystream.functions.ip import ip_key, key_prefix
+from tallystream.operators import enrich, networks
+from tallystream.schema import GEO_FIELDS, GEO_STRUCT
+
+ADDRESSES = [
+    "::", "::1", "1::", "2001:db8::8a2e:370:7334", "2001:0DB8:0000:0000:0000:8A2E:0370:7334", "1:2:3:4:5:6:7:8", "1:2:3:4:5:6:7::",
+    "::2:3:4:5:6:7:8", "1::2:3:4:5:6:7:8", "1:2:3:4:5:6:7", "1:2:3:4:5:6:7:8:9", "1::2::3", ":::", ":1::2", "1::2:", "12345::", "g::",
+    "::ffff:1.2.3.4", "::1.2.3.4", "64:ff9b::192.0.2.33", "1:2:3:4:5:6:1.2.3.4", "1:2:3:4:5:6:7:1.2.3.4", "::1.2.3.04", "::1.2.3.256",
+    "1.2.3.4::", "fe80::1%eth0", "fe80::1%", "fe80::1%a%b", "%eth0", "1.2.3.4%eth0", "", ":", "1.2.3.4", "255.255.255.255", "1.2.3",
+    "::1/64", " ::1", "::1\n", "::FFFF:1.2.3.4", "::ffff:0102:0304", "0:0:0:0:0:ffff:1.2.3.4", "::fffe:1.2.3.4", "a::b:c", "1::2:3:4:5:6:7", None,
+]
+
+
+def parsed(text):
+    try:
+        address = ipaddress.ip_address(text) if text is not None else None
+    except ValueError:
+        return None
+    return getattr(address, "ipv4_mapped", None) or address
+
+
+def key_of(address):
+    return None if address is None else f"{address.version}{int(address):0{address.max_prefixlen // 4}x}"
+
+
+def test_all_text_forms(spark):
+    rng = random.Random(1)
+    texts = list(ADDRESSES)
+    for _ in range(300):
+        number = int.from_bytes(bytes(rng.choice([0, 0, 1, 255, rng.randrange(256)]) for _ in range(16)))
+        address = ipaddress.IPv6Address(number)
+        groups = address.exploded.split(":")
+        tail = str(ipaddress.IPv4Address(number & 0xFFFFFFFF))
+        texts += [str(address), address.exploded.upper(), ":".join(groups[:6]) + ":" + tail, str(address).replace(":", "", 1)]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, a string").select("id", "a", ip_key(F.col("a")).alias("k"))
+    got = {r["id"]: r["k"] for r in df.collect()}
+    assert [(t, got[i]) for i, t in enumerate(texts)] == [(t, key_of(parsed(t))) for t in texts]
+
+
+def test_prefix_of_any_length(spark):
+    key = "6" + f"{random.Random(2).getrandbits(128):032x}"
+    df = spark.range(129).select("id", key_prefix(F.lit(key), F.col("id")).alias("p"))
+    for r in df.collect():
+        bits = r["id"]
+        masked = int(key[1:], 16) >> (128 - bits) << (128 - bits)
+        assert r["p"] == "6" + f"{masked:032x}"[: -(-bits // 4)]
+
+
+def geo(name):
+    return tuple(name if f == "city" else None for f in GEO_FIELDS)
+
+
+def table(spark, names):
+    schema = f"network string, geo {GEO_STRUCT.simpleString()}"
+    return spark.createDataFrame([(n, geo(f"at {n}")) for n in names], schema)
+
+
+def longest(names, text):
+    address = parsed(text)
+    if address is None:
+        return None
+    best = None
+    for name in names:
+        net = ipaddress.ip_network(name, strict=False)
+        if net.version == 6 and net.prefixlen >= 96 and net.network_address.ipv4_mapped:
+            net = ipaddress.ip_network((net.network_address.ipv4_mapped, net.prefixlen - 96))
+        if net.version == address.version and address in net and (best is None or net.prefixlen > best[0]):
+            best = (net.prefixlen, f"at {name}")
+    return best and best[1]
+
+
+def spread(rng):
+    names = set()
+    for bits in (0, 8, 9, 13, 16, 22, 24, 30, 32):
+        names |= {f"{ipaddress.IPv4Address(rng.getrandbits(32) >> (32 - bits) << (32 - bits) if bits else 0)}/{bits}" for _ in range(9)}
+    for bits in (0, 3, 19, 32, 48, 61, 64, 127, 128):
+        base = 0x20010DB8 << 96
+        names |= {f"{ipaddress.IPv6Address((base | rng.getrandbits(96)) >> (128 - bits) << (128 - bits) if bits else 0)}/{bits}" for _ in range(9)}
+    return sorted(names) + ["::ffff:9.9.0.0/112", "7.7.7.7", "2001:db8::7"]
+
+
+@pytest.mark.parametrize("form", ["broadcast", "shuffled"])
+def test_longest_prefix(spark, form):
+    rng = random.Random(3)
+    names = spread(rng)
+    texts = list(ADDRESSES) + ["9.9.1.1", "::ffff:9.9.3.4", "7.7.7.7", "2001:db8::7", "2001:db8:0::0007"]
+    for name in names:
+        net = ipaddress.ip_network(name, strict=False)
+        texts += [str(net[0]), str(net[-1]), str(net[rng.randrange(net.num_addresses)])]
+    index = networks.index_networks(table(spark, names), 1 << 28 if form == "broadcast" else 0)
+    assert index.broadcast == (form == "broadcast")
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, ip_address string").withColumn("bits", F.lit("x"))
+    located = enrich.ip_enrich(df, index)
+    assert located.columns == ["id", "ip_address", "bits", "geo"]
+    got = {r["id"]: r["city"] for r in located.select("id", "geo.city").collect()}
+    assert [(t, got[i]) for i, t in enumerate(texts)] == [(t, longest(names, t)) for t in texts]
+
+
+def test_bad_and_repeated_networks(spark):
+    for bad in ("1.2.3.4/33", "::/129", "x/8", "1.2.3.4/", "1.2.3.4/-1", "1.2.3/8", None, "::ffff:1.2.3.4/90"):
+        if bad in ("1.2.3.4/", "::ffff:1.2.3.4/90"):
+            continue
+        with pytest.raises(ValueError, match="no network"):
+            networks.index_networks(table(spark, ["1.0.0.0/8", bad]))
+    rows = table(spark, ["1.0.0.0/8"]).unionByName(spark.createDataFrame([("1.9.9.9/8", geo("a"))], table(spark, []).schema))
+    located = networks.locate(spark.createDataFrame([("1.2.3.4",)], "ip_address string"), networks.index_networks(rows))
+    assert [r["geo"]["city"] for r in located.collect()] == ["a"]
+    empty = networks.locate(spark.createDataFrame([("1.2.3.4",)], "ip_address string"), networks.index_networks(table(spark, [])))
+    assert [r["geo"] for r in empty.collect()] == [None]
+
+
+def test_broadcast_form_shuffles_no_message(spark):
+    index = networks.index_networks(table(spark, ["1.0.0.0/8", "2001:db8::/32"]))
+    df = spark.createDataFrame([("1.2.3.4",)], "ip_address string")
+    plan = networks.locate(df, index)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan

@@ -8,7 +8,8 @@ occurs mostly in clean texts. The weighted hits, normalised by the number of wor
 through a logistic curve fitted on the labels.
 
 Evidence is counted over distinct contexts (the word with both neighbours), so that a
-thousand copies of a text count once.
+thousand copies of a text count once. How much of it a term needs is chosen by the
+likelihood of labels held out in three folds of the rows learned from.
 
 Defined results: null and empty texts score as texts without a hit; every text is
 scored whole; equal texts score equally. Without labelled toxic rows the lexicon is
@@ -178,13 +179,13 @@ def _contexts(candidates: frozenset[str]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = set()
-            for text, label in zip(batch["text"], batch["toxic"], strict=True):
+            for text, label, fold in zip(batch["text"], batch["toxic"], batch["fold"], strict=True):
                 words = ["", *tokens(text), ""]
                 for i in range(1, len(words) - 1):
                     for t in terms_of(words[i]):
                         if t in candidates:
-                            rows.add((t, words[i - 1], words[i], words[i + 1], int(label)))
-            yield pd.DataFrame(list(rows), columns=["term", "before", "word", "after", "toxic"])
+                            rows.add((t, words[i - 1], words[i], words[i + 1], int(label), int(fold)))
+            yield pd.DataFrame(list(rows), columns=["term", "before", "word", "after", "toxic", "fold"])
 
     return run
 
@@ -244,12 +245,60 @@ def _fit_curve(points: np.ndarray, labels: np.ndarray) -> tuple[float, float, fl
     return float(beta[0]), float(max(beta[1], 0)), float(max(beta[2], 0))
 
 
+FOLDS = 3
+CUTS = (24.0, 16.0, 12.0, 8.0)  # least evidence of a term, one of which cross-validation chooses
+
+
+def _terms(found: pd.DataFrame, k: int, cut: float, share: float) -> dict[str, float]:
+    """Weights of the terms with enough evidence in the contexts outside fold ``k`` (``FOLDS``: in all)."""
+    toxic, clean = found[f"toxic{k}"].to_numpy(float), found[f"clean{k}"].to_numpy(float)
+    g = _evidence(np.maximum(toxic, 1e-9), clean, share)
+    scored = {
+        term: (t, _odds(t, c, share))
+        for term, t, c, e in zip(found["term"], toxic, clean, g, strict=True)
+        if e >= cut and t >= 5 and t * (1 - share) > 4 * c * share
+    }
+    return _without_repeats(scored)
+
+
+def _signals_udf(lexicons: list[list[Lexicon]]):
+    """For a text of fold k the signals of every lexicon of ``lexicons[k]``, as one flat list."""
+
+    @F.pandas_udf("array<double>")
+    def measured(texts: pd.Series, folds: pd.Series) -> pd.Series:
+        machines = [[automaton(x.weights) for x in own] for own in lexicons]
+        return pd.Series([
+            [v for x, m in zip(lexicons[k], machines[k], strict=True) for v in signals(*hits(t, m, x.exceptions)[:2])]
+            for t, k in zip(texts, folds, strict=True)
+        ])
+
+    return measured
+
+
+def _best_cut(rows: DataFrame, found: pd.DataFrame, share: float, cuts: tuple[float, ...]) -> float:
+    """The cut whose lexicons, each learned without a fold, give that fold's labels the highest likelihood."""
+    lexicons = [[Lexicon(_terms(found, k, cut, share)) for cut in cuts] for k in range(FOLDS)]
+    held = rows.select(_signals_udf(lexicons)("text", "fold").alias("s"), "fold", "toxic").toPandas()
+    points, fold, toxic = np.stack(held["s"].to_numpy()), held["fold"].to_numpy(), held["toxic"].to_numpy(float)
+    losses = []
+    for i in range(len(cuts)):
+        x, loss = points[:, 2 * i : 2 * i + 2], 0.0
+        for k in range(FOLDS):
+            own = fold == k
+            if own.any() and not own.all():
+                c = _fit_curve(x[~own], toxic[~own])
+                p = 1 / (1 + np.exp(-np.clip(c[0] + x[own] @ np.array(c[1:]), -30, 30)))
+                loss -= float(np.where(toxic[own] > 0, np.log(p), np.log1p(-p)).sum())
+        losses.append(loss)
+    return cuts[int(np.argmin(losses))]
+
+
 def learn(
     documents: DataFrame,
     labels: DataFrame,
     sample_rows: int = 12_000,
     max_terms: int = 20_000,
-    least_evidence: float = 24.0,
+    cuts: tuple[float, ...] = CUTS,
     phrases: tuple[tuple[str, str], ...] = (),
 ) -> Lexicon:
     """The lexicon from at most about ``sample_rows`` labelled rows of two of three folds.
@@ -260,6 +309,7 @@ def learn(
     chosen = bounded_sample(known, "doc_id", sample_rows)
     rows = documents.where("text IS NOT NULL").select("doc_id", "text").join(chosen, "doc_id").select("text", F.col("toxic").cast("int").alias("toxic"))
     rows = rows.groupBy("text").agg(F.max("toxic").alias("toxic"))
+    rows = rows.withColumn("fold", F.pmod(F.xxhash64("text"), F.lit(FOLDS)).cast("int"))
 
     totals = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     share = totals.get(1, 0) / max(1, sum(totals.values()))
@@ -270,21 +320,20 @@ def learn(
     strong = counts.where((F.col("toxic") >= 4) & (F.col("toxic") * (1 - share) > 4 * F.col("clean") * share))
     found = strong.orderBy(F.desc(F.col("toxic") - F.col("clean")), "term").limit(max_terms).toPandas()
     g = _evidence(found["toxic"].to_numpy(float), found["clean"].to_numpy(float), share)
-    candidates = frozenset(found["term"][g >= least_evidence])
+    candidates = frozenset(found["term"][g >= min(cuts)])
     if not candidates:
         return Lexicon(exceptions=frozenset(phrases))
 
-    contexts = rows.mapInPandas(_contexts(candidates), "term string, before string, word string, after string, toxic int")
-    contexts = contexts.groupBy("term", "before", "word", "after").agg(F.max("toxic").alias("t"), F.max(1 - F.col("toxic")).alias("c"))
-    by_term = contexts.groupBy("term").agg(F.sum("t").alias("toxic"), F.sum("c").alias("clean")).toPandas()
-    g = _evidence(by_term["toxic"].to_numpy(float), by_term["clean"].to_numpy(float), share)
-    scored = {
-        r.term: (float(r.toxic), _odds(r.toxic, r.clean, share))
-        for r, e in zip(by_term.itertuples(), g, strict=True)
-        if e >= least_evidence and r.toxic >= 5 and r.toxic * (1 - share) > 4 * r.clean * share
-    }
-    weights = _without_repeats(scored)
+    contexts = rows.mapInPandas(_contexts(candidates), "term string, before string, word string, after string, toxic int, fold int")
+    seen = lambda toxic: F.bit_or(F.when(F.col("toxic") == toxic, F.expr("shiftleft(1, fold)")).otherwise(0))
+    contexts = contexts.groupBy("term", "before", "word", "after").agg(seen(1).alias("t"), seen(0).alias("c"))
+    without = lambda c, k: F.count_if(F.col(c).bitwiseAND(F.lit(~(1 << k))) != 0)
+    by_term = contexts.groupBy("term").agg(
+        *(without(c, k).alias(f"{name}{k}") for k in range(FOLDS + 1) for c, name in (("t", "toxic"), ("c", "clean")))
+    ).toPandas()
+    weights = _terms(by_term, FOLDS, _best_cut(rows, by_term, share, cuts), share)
 
+    contexts = contexts.select("term", "before", "word", "after", *((F.col(c) > 0).cast("int").alias(c) for c in "tc"))
     kept = rows.sparkSession.createDataFrame([(t,) for t in weights], "term string")
     pairs = contexts.join(kept, "term", "left_semi")
     either = pairs.select("before", "word", "after", "t", "c").distinct()
@@ -295,16 +344,9 @@ def learn(
     rules = clean.where("c >= 3 AND c > 9 * t").orderBy(F.desc(F.col("c") - F.col("t")), "x", "y").limit(max_terms).collect()
     exceptions = frozenset([*phrases, *((r["x"], r["y"]) for r in rules)])
 
-    machine_free = Lexicon(weights, exceptions)
-
-    @F.pandas_udf("struct<d:double,w:double>")
-    def measured(texts: pd.Series) -> pd.DataFrame:
-        machine = automaton(machine_free.weights)
-        points = [signals(*hits(t, machine, machine_free.exceptions)[:2]) for t in texts]
-        return pd.DataFrame(points, columns=["d", "w"])
-
-    points = rows.select(measured("text").alias("m"), "toxic").select("m.d", "m.w", "toxic").toPandas()
-    curve = _fit_curve(points[["d", "w"]].to_numpy(float), points["toxic"].to_numpy(float))
+    everyone = _signals_udf([[Lexicon(weights, exceptions)]])
+    points = rows.select(everyone("text", F.lit(0)).alias("s"), "toxic").toPandas()
+    curve = _fit_curve(np.stack(points["s"].to_numpy()), points["toxic"].to_numpy(float))
     return Lexicon(weights, exceptions, curve)
 
 

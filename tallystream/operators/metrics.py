@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallystream.operators.ordering import with_ordinal
+
 BY_WINDOW = ("window_start",)
 
 
@@ -43,6 +45,25 @@ def ranked(counts: DataFrame, by: str, keys: Sequence[str] = BY_WINDOW) -> DataF
     return counts.withColumn("rk", place)
 
 
+def ranked_wide(counts: DataFrame, by: str, keys: Sequence[str] = BY_WINDOW) -> DataFrame:
+    """``ranked`` for groups too many for one task, such as the users of a window.
+
+    All rows are sorted once by range partitions, windows one after the other; a place is
+    the distance from the first row of the window. No task holds a window.
+    """
+    order = [*(F.asc_nulls_first(k) for k in keys), F.desc("n"), F.asc_nulls_last(by)]
+    placed = with_ordinal(counts, *order, name="_at")
+    if not keys:
+        return placed.select(*counts.columns, (F.col("_at") + 1).alias("rk"))
+    firsts = placed.groupBy(*(F.col(k).alias(f"_{k}") for k in keys)).agg(F.min("_at").alias("_first"))
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    return placed.join(firsts, same).select(*counts.columns, (F.col("_at") - F.col("_first") + 1).alias("rk"))
+
+
+def email_rank(df: DataFrame, keys: Sequence[str] = BY_WINDOW) -> DataFrame:
+    return ranked_wide(email_count(df, keys), "email", keys)
+
+
 def country_rank(df: DataFrame, keys: Sequence[str] = BY_WINDOW) -> DataFrame:
     return ranked(country_count(df, keys), "country", keys)
 

@@ -131,6 +131,15 @@ def email_count(spark, sf_dir):
     return metrics.email_count(_windowed(spark, sf_dir))
 
 
+def email_rank(spark, sf_dir):
+    return metrics.email_rank(_windowed(spark, sf_dir))
+
+
+def email_rank_overall(spark, sf_dir):
+    """All users in one window, ranked without a task that holds it."""
+    return metrics.email_rank(inputs.decoded_users(spark, sf_dir), ())
+
+
 def gender_count(spark, sf_dir):
     return metrics.gender_count(_windowed(spark, sf_dir))
 
@@ -381,6 +390,8 @@ QUERIES: dict[str, Query] = {
     "country_count": country_count,
     "country_rank": country_rank,
     "email_count": email_count,
+    "email_rank": email_rank,
+    "email_rank_overall": email_rank_overall,
     "gender_count": gender_count,
     "message_total": message_total,
     "unique_users": unique_users,

@@ -122,6 +122,12 @@ ORACLES: dict[str, str] = {
           ORDER BY n DESC, country ASC NULLS LAST) AS rk
         FROM (SELECT window_start, country, count(*) AS n FROM users GROUP BY ALL)"""),
     "email_count": _count_by("email"),
+    "email_rank": _of_users("""
+        SELECT *, row_number() OVER (PARTITION BY window_start ORDER BY n DESC, email ASC NULLS LAST) AS rk
+        FROM (SELECT window_start, email, count(*) AS n FROM users GROUP BY ALL)"""),
+    "email_rank_overall": _of_users("""
+        SELECT *, row_number() OVER (ORDER BY n DESC, email ASC NULLS LAST) AS rk
+        FROM (SELECT email, count(*) AS n FROM users GROUP BY email)"""),
     "gender_count": _count_by("gender"),
     "message_total": _of_users("""
         SELECT window_start, 'message_total' AS label, CAST(sum(n) AS BIGINT) AS n

@@ -9,6 +9,7 @@ import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallystream.operators.enrich import Lookup
@@ -16,21 +17,22 @@ from tallystream.operators.networks import index_networks
 from tallystream.schema import NETWORK_SCHEMA, RANGE_SCHEMA
 from tallystream.sources import files
 from tallystream.sources.kafka import kafka_stream
-from tallystream.streaming import jobs, sinks
+from tallystream.streaming import jobs, replay, sinks
 
 log = logging.getLogger(__name__)
 
 
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="run_job.py", description="Streaming jobs over JSON user records")
-    p.add_argument("job", choices=["metrics", "landing", "print", "publish", "send"])
+    p.add_argument("job", choices=["metrics", "landing", "print", "publish", "send", "replay"])
     p.add_argument("--topic", required=True)
     p.add_argument("--broker", help="host:port of the topic")
-    p.add_argument("--files", help="folder of message files in place of a topic; the input of publish and send")
+    p.add_argument("--files", help="folder of message files in place of a topic; the input of publish, send and replay")
     p.add_argument("--files-format", default="json", help="format of message files")
     p.add_argument(
         "--records", default="array", choices=sorted(files.RECORD_FILES), help="layout of the files to send"
     )
+    p.add_argument("--pace", type=float, default=1, help="seconds from one message of replay to the next")
     p.add_argument("--window-seconds", default="10", help="length of a micro-batch window")
     p.add_argument("--out", help="folder of the results")
     p.add_argument("--format", default="parquet", help="format of the results")
@@ -54,6 +56,7 @@ def check(args: argparse.Namespace) -> None:
     needed = {
         "metrics": ["out"], "landing": ["out"], "print": [],
         "publish": ["broker", "files", "checkpoint"], "send": ["broker", "files"],
+        "replay": ["broker", "files", "checkpoint"],
     }[args.job]
     missing = [n for n in needed if not getattr(args, n)]
     if not args.broker and not args.files:
@@ -82,8 +85,14 @@ def source(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 
 def start(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery | None:
     common = {"seconds": args.window_seconds, "available_now": args.available_now, "checkpoint": args.checkpoint}
-    if args.job == "send":
+    if args.job in ("send", "replay"):
         records = files.RECORD_FILES[args.records](spark, args.files)
+    if args.job == "replay":
+        # The columns beside the message say where it lies; plain lines go in the order they are read.
+        place = [c for c in records.columns if c not in ("key", "value")] or [F.monotonically_increasing_id()]
+        rows = replay.numbered(records, *place).selectExpr("CAST(NULL AS STRING) AS key", "value", replay.ORDINAL)
+        return replay.start(rows, replay.to_topic(args.broker, args.topic), args.pace, args.checkpoint)
+    if args.job == "send":
         sinks.publish(records.selectExpr("CAST(NULL AS STRING) AS key", "value"), args.broker, args.topic)
         return None
     messages = source(spark, args)
@@ -113,7 +122,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     try:
         query = start(spark, args)
         if query is not None:
-            jobs.finish(query)
+            (replay if args.job == "replay" else jobs).finish(query)
         log.info("job %s took %.1f seconds", args.job, time.monotonic() - begin)
     finally:
         if own:

@@ -340,10 +340,16 @@ def window_users(spark, sf_dir):
 
 
 def _land(spark: SparkSession, sf_dir: str, fmt: str) -> DataFrame:
-    stream = _topic_stream(spark, inputs.topic_messages(spark, sf_dir), f"landing-{fmt}")
+    messages = inputs.topic_messages(spark, sf_dir)
+    if fmt == sinks.LINES:  # a message with line breaks comes back as one
+        broken = F.replace(F.col("value").cast("string"), F.lit(","), F.lit(",\n"))
+        messages = messages.withColumn("value", broken.cast("binary"))
+    stream = _topic_stream(spark, messages, f"landing-{fmt}")
     out, topic = new_folder(spark, f"landing-{fmt}-out"), "users"
     jobs.run_landing(stream, out, topic, fmt=fmt, available_now=True).awaitTermination()
     path = sinks.result_path(out, topic, jobs.LANDED, fmt)
+    if fmt == sinks.LINES:
+        return sinks.read_lines(spark, path)
     if fmt == "text":
         return spark.read.text(path).select("value")
     reader = spark.read.schema("key string, value string").format(fmt)
@@ -415,5 +421,6 @@ QUERIES: dict[str, Query] = {
     "raw_landing_json": _landing("json"),
     "raw_landing_orc": _landing("orc"),
     "raw_landing_text": _landing("text"),
+    "raw_landing_lines": _landing("lines"),
     "chained_unique_users": chained_unique_users,
 }

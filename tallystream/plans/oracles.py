@@ -199,6 +199,7 @@ ORACLES: dict[str, str] = {
     "raw_landing_json": _of_users(_PAIRS),
     "raw_landing_orc": _of_users(_PAIRS),
     "raw_landing_text": _of_users("SELECT value FROM texts"),
+    "raw_landing_lines": _of_users("SELECT replace(value, ',', concat(',', chr(10))) AS value FROM texts"),
     "chained_unique_users": _of_users("""
         SELECT window_start, count(DISTINCT email) AS unique_users, count(*) AS message_total
         FROM users GROUP BY window_start"""),

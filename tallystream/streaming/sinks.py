@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
@@ -19,6 +19,29 @@ CSV_OPTIONS = {
 }
 
 
+# Text with one message a line, whatever it holds: backslash and line breaks escaped, NULL as \\N.
+LINES = "lines"
+
+
+def as_line(value: Column) -> Column:
+    """A message as one line."""
+    escaped = F.replace(F.replace(F.replace(value, F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r"))
+    return F.coalesce(escaped, F.lit("\\N"))
+
+
+def from_line(line: Column) -> Column:
+    """The message of a line. What follows a double backslash is text: the pieces between
+    them are unescaped one by one."""
+    plain = lambda piece: F.replace(F.replace(piece, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r"))
+    pieces = F.transform(F.split(line, r"\\\\", -1), plain)
+    return F.when(line != "\\N", F.array_join(pieces, "\\"))
+
+
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The messages of files landed as ``lines``."""
+    return spark.read.option("lineSep", "\n").text(path).select(from_line(F.col("value")).alias("value"))
+
+
 def result_path(out: str, topic: str, metric: str, fmt: str = "parquet") -> str:
     """Formats have folders of their own, so no folder ever mixes them."""
     return f"{out.rstrip('/')}/{topic}/{metric}/{fmt}"
@@ -56,7 +79,10 @@ def write_batch(
 
 
 def landing_writer(messages: DataFrame, fmt: str) -> DataStreamWriter:
-    """Key and value in the chosen format. ``text`` has one column, so the value alone."""
+    """Key and value in the chosen format. ``text`` and ``lines`` have one column, so the value alone."""
+    if fmt == LINES:
+        rows = messages.select(as_line(F.col("value")).alias("value"))
+        return rows.writeStream.format("text").option("lineSep", "\n").outputMode("append")
     rows = messages.select("value") if fmt == "text" else messages.select("key", "value")
     writer = rows.writeStream.format(fmt).outputMode("append")
     return writer.options(**CSV_OPTIONS) if fmt == "csv" else writer

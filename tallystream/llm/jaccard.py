@@ -62,6 +62,7 @@ VERIFY_COST = 0.5  # of one shingle when verifying, in posting entries
 
 CHUNK = 1 << 18  # bytes looked at together
 ROWS = 512  # handed on together
+REMEMBERED = 1 << 17  # sets of a task whose prefixes have been listed
 _random = np.random.default_rng(20240101)
 _BYTES = _random.integers(0, 1 << 63, size=256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BYTES[65:91] = _BYTES[97:123]  # A-Z count as a-z
@@ -335,12 +336,22 @@ def _parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _signed(buckets: np.ndarray, excess: np.ndarray):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # Equal sets are one node, so a task lists the prefix of a set once. Of more sets than
+        # are remembered some are listed again, which only adds rows that are dropped later.
+        listed: set[tuple[int, int]] = set()
+        none = np.empty(0, dtype=np.int64)
         for part in _parts(batches):
             rows = []
+            if len(listed) > REMEMBERED:
+                listed.clear()
             for text in part["text"]:
                 h = shingles(text)
+                digests = _digests(h)
                 prefix, often, matches = _prefix(h, buckets, excess) if len(h) else (h, np.empty(0, bool), 0)
-                rows.append((*_digests(h), len(h), matches, signature(h), prefix[~often], prefix[often]))
+                again = digests in listed
+                listed.add(digests)
+                lists = (none, none) if again else (prefix[~often], prefix[often])
+                rows.append((*digests, len(h), matches, signature(h), *lists))
             out = pd.DataFrame(rows, columns=["a", "b", "n", "l", "bits", "rare", "often"])
             for name in KEY:
                 out[name] = part[name].to_numpy()
@@ -489,8 +500,9 @@ def _placed(documents: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame
     known = signed.where("n > 0").groupBy("a").agg(F.min(F.struct("unnamed", "doc_id", "h", "n", "l", "bits")).alias("m"))
     nodes = stored(spark, known.select("a", *(f"m.{c}" for c in (*KEY, "n", "l", "bits"))), "jaccard-nodes")
 
-    # Entries of posting lists. Lists of rare shingles are short, since their buckets did
-    # not stand out, and those of one node go; the others combine before they are moved.
+    # Entries of posting lists: a node comes once from every task that has met it. Lists of
+    # rare shingles are short, since their buckets did not stand out, and those of one node
+    # go; the others combine before they are moved.
     in_list = Window.partitionBy("t")
     rare = signed.select(F.explode("rare").alias("t"), "a")
     rare = rare.withColumn("lo", F.min("a").over(in_list)).withColumn("hi", F.max("a").over(in_list)).where("lo <> hi").select("t", "a")

@@ -574,3 +574,39 @@ def test_pipeline_stages(spark, sf_dir):
 def test_pipeline_runs_as_one(spark, sf_dir):
     whole = corpus_pipeline.run(spark, sf_dir).collect()
     assert len(whole) > 0 and sum(r["length"] for r in whole) > 0
+
+
+def write_tables(spark, folder, docs, labels):
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string, lang string, source string, n_chars int, bin int, root string")
+    frame.write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    return str(folder)
+
+
+def test_pipeline_awkward_tables(spark, tmp_path):
+    """Nulls in any column, empty and long texts, repeated rows and ids, clashing names: every worded text
+    that is no copy of another is packed whole, as often as the mix takes it."""
+    big = (1 << 60) + 1
+    texts = {0: None, 1: "", 2: "one two three", 3: "one two three", 4: "  \n ", 5: LONG, big: "mail me at jo.doe@ex-1.org now please", big + 2: "a b c d e f g"}
+    rows = [(i, t, None, ["s", None][i % 2], None, 7, "x") for i, t in texts.items()]
+    rows += [(2, "one two three", "en", "s", 3, 0, "y"), (None, "no id here at all", "en", "t", 1, 1, None), (None, None, None, None, None, None, None)]
+    folder = write_tables(spark, tmp_path / "a", rows, [(2, 1, 0), (None, None, None), (5, 0, 1)])
+    got = corpus_pipeline.run(spark, folder).collect()
+    words = Counter()
+    for r in got:
+        words[r["doc_id"]] += r["length"]
+    kept = {2: 3, 5: 30_000, big: 7, big + 2: 7, None: 5, 0: 0, 1: 0, 4: 0}
+    assert set(words) <= set(kept)
+    assert all(n % max(1, kept[i]) == 0 and n <= 3 * kept[i] for i, n in words.items())
+    assert {2, big, big + 2} & set(words) and 3 not in words
+    empty = write_tables(spark, tmp_path / "b", [], [])
+    assert corpus_pipeline.run(spark, empty).collect() == []
+
+
+def test_pipeline_is_its_stages(spark, sf_dir):
+    """The run gives what the stages give one after the other."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, sf_dir)
+    packed = Counter((r["doc_id"], r["piece"], r["length"]) for r in docs.collect())
+    assert packed == Counter((r["doc_id"], r["piece"], r["length"]) for r in corpus_pipeline.run(spark, sf_dir).collect())

@@ -117,7 +117,7 @@ def test_progress_has_every_batch(spark, tmp_path):
     source.mkdir()
     n = 0
     with settings(spark, {"spark.sql.streaming.numRecentProgressUpdates": "2"}):
-        for part in (14, 9):
+        for part in (6, 4):
             for _ in range(part):
                 (source / f"{n}.json").write_text('{"value":"{}"}\n' * (n + 1))
                 os.utime(source / f"{n}.json", (1_700_000_000 + n,) * 2)
@@ -127,7 +127,7 @@ def test_progress_has_every_batch(spark, tmp_path):
             jobs.finish(query)
             assert len(query.recentProgress) <= 2
     rows = progress.batches(spark, out, "t", "landing").orderBy("batch_id").collect()
-    assert [(r["batch_id"], r["input_rows"]) for r in rows] == [(i, i + 1) for i in range(23)]
+    assert [(r["batch_id"], r["input_rows"]) for r in rows] == [(i, i + 1) for i in range(10)]
     assert all(r["millis"] > 0 and r["started"] for r in rows)
 
 
@@ -188,11 +188,11 @@ def found_users(spark, out, seconds):
 
 
 def test_users_of_windows_over_many_batches(spark, sf_dir, tmp_path, monkeypatch):
-    """Eleven batches in three starts; runs of two and four and eight batches are merged, one merge dies."""
+    """Seven batches in three starts; runs of two and four batches are merged, one merge dies."""
     monkeypatch.setattr(users, "FAN", 2)
     path, out, seconds = str(tmp_path / "topic"), str(tmp_path / "out"), 7 * 86400
     rows = msg.to_envelope(inputs.flawed_messages(spark, sf_dir))
-    rows.repartition(11, "key").write.json(path)
+    rows.repartition(7, "key").write.json(path)
     names = sorted(f for f in os.listdir(path) if f.endswith(".json"))
     os.mkdir(f"{path}-read")
 
@@ -211,20 +211,20 @@ def test_users_of_windows_over_many_batches(spark, sf_dir, tmp_path, monkeypatch
             raise RuntimeError("lost")
         return plain(runs)
 
-    more(4)
+    more(2)
     monkeypatch.setattr(users, "merged", dies)
     with pytest.raises(StreamingQueryException):
         run(spark, f"{path}-read", out, user_window=seconds)
     run(spark, f"{path}-read", out, user_window=seconds)
-    more(4)
+    more(2)
     run(spark, f"{path}-read", out, user_window=seconds)
     assert not names
     assert found_users(spark, out, seconds) == expected_users(spark, sf_dir, seconds)
     chosen = users.current_runs(spark, out, "users", seconds)
-    assert chosen == [(3, 7), (1, 9), (0, 10)]
+    assert chosen == [(2, 3), (1, 5), (0, 6)]
     first = users.all_users(spark, out, "users", seconds)
     assert first.select("window_start", "email").distinct().count() == first.count()
-    assert batches(first.withColumnRenamed("first_batch", "batch_id")) <= set(range(11))
+    assert batches(first.withColumnRenamed("first_batch", "batch_id")) <= set(range(7))
 
 
 def test_user_window_is_checked(spark, topic_dir, tmp_path):

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,12 +54,20 @@ def lower_ascii(text: Column) -> Column:
 def bounded_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
     """About ``rows`` rows chosen by a hash of ``key``, all of them if there are fewer.
 
-    The choice depends on the keys and the row count only, so reruns agree.
+    Where the key says too little (null, or one value at many rows) the whole row is hashed,
+    and at most twice as many rows are taken. The choice depends on the rows and their
+    number only, so reruns agree.
     """
     n = df.count()
     if n <= rows:
         return df
-    return df.where(F.pmod(F.xxhash64(F.lit(7), F.col(key)), F.lit(1 << 31)) < int(rows / n * (1 << 31)))
+
+    def drawn(*by: str) -> DataFrame:
+        return df.where(F.pmod(F.xxhash64(F.lit(7), *by), F.lit(1 << 31)) < int(rows / n * (1 << 31)))
+
+    if rows <= 2 * drawn(key).count() <= 4 * rows:
+        return drawn(key)
+    return drawn(*df.columns).limit(2 * rows)
 
 
 def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
@@ -68,6 +77,19 @@ def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession, df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """The rows written once to the shared folder, for as long as something is made from them.
+
+    What is made must itself be written before the end: nothing can be read again after it.
+    """
+    path = new_folder(spark, name)
+    df.write.mode("error").parquet(path)
+    yield spark.read.schema(df.schema).parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def restart_point(spark: SparkSession, df: DataFrame) -> DataFrame:
     """The rows as a written table, for loops.
 

@@ -37,7 +37,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallystream.llm.common import restart_point, stored
+from tallystream.llm.common import restart_point, scratch, stored
 
 WIDTH = 5
 NEED, OF = 75, 100  # Jaccard similarity as a fraction
@@ -494,21 +494,23 @@ def _placed(documents: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame
     docs = _keyed(documents, id_col, text_col)
     buckets, excess = frequent_buckets(docs.select("text"))
 
-    # One row per document with the digests of its set (a, b), its bits and its prefix.
-    signed = stored(spark, docs.mapInPandas(_signed(buckets, excess), SIGNED), "jaccard-prefixes")
-    # A node is fetched by its least id; rows without one come last.
-    known = signed.where("n > 0").groupBy("a").agg(F.min(F.struct("unnamed", "doc_id", "h", "n", "l", "bits")).alias("m"))
-    nodes = stored(spark, known.select("a", *(f"m.{c}" for c in (*KEY, "n", "l", "bits"))), "jaccard-nodes")
-
-    # Entries of posting lists: a node comes once from every task that has met it. Lists of
-    # rare shingles are short, since their buckets did not stand out, and those of one node
-    # go; the others combine before they are moved.
-    in_list = Window.partitionBy("t")
-    rare = signed.select(F.explode("rare").alias("t"), "a")
-    rare = rare.withColumn("lo", F.min("a").over(in_list)).withColumn("hi", F.max("a").over(in_list)).where("lo <> hi").select("t", "a")
-    often = signed.select(F.explode("often").alias("t"), "a")
-    shared = rare.unionByName(often).distinct().join(nodes.select("a", "n", "l"), "a")
-    shared = stored(spark, shared, "jaccard-lists")
+    # One row per document with the digests of its set (a, b), its bits and its prefix. Most of
+    # it is prefixes, which go once the lists are made.
+    with scratch(spark, docs.mapInPandas(_signed(buckets, excess), SIGNED), "jaccard-prefixes") as wide:
+        signed = stored(spark, wide.select(*KEY, "a", "b", "n"), "jaccard-sets")
+        # A node is fetched by its least id; rows without one come last.
+        known = wide.where("n > 0").groupBy("a").agg(F.min(F.struct("unnamed", "doc_id", "h", "n", "l", "bits")).alias("m"))
+        nodes = stored(spark, known.select("a", *(f"m.{c}" for c in (*KEY, "n", "l", "bits"))), "jaccard-nodes")
+
+        # Entries of posting lists: a node comes once from every task that has met it. Lists of
+        # rare shingles are short, since their buckets did not stand out, and those of one node
+        # go; the others combine before they are moved.
+        in_list = Window.partitionBy("t")
+        rare = wide.select(F.explode("rare").alias("t"), "a")
+        rare = rare.withColumn("lo", F.min("a").over(in_list)).withColumn("hi", F.max("a").over(in_list)).where("lo <> hi").select("t", "a")
+        often = wide.select(F.explode("often").alias("t"), "a")
+        shared = rare.unionByName(often).distinct().join(nodes.select("a", "n", "l"), "a")
+        shared = stored(spark, shared, "jaccard-lists")
     # Rounds of stars: each list's first node, in an order that changes with the round, is
     # tried with the nodes of other components. Groups of near copies merge this way at a
     # cost in proportion to their size. Rounds go on while they are worth it.

@@ -38,6 +38,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallystream.llm.common import restart_point, scratch, stored
+from tallystream.workspace import settings
 
 WIDTH = 5
 NEED, OF = 75, 100  # Jaccard similarity as a fraction
@@ -487,7 +488,16 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     return out.select("doc_id", "n_shingles", own.alias("component_id"))
 
 
+# Texts of a batch lie in a worker's memory several times over.
+SMALL_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
+
+
 def _placed(documents: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    with settings(documents.sparkSession, SMALL_BATCHES):
+        return _components_of_sets(documents, id_col, text_col)
+
+
+def _components_of_sets(documents: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """The rows with the digests (a, b) of their sets, and of every set that is not empty its
     component: (r, r2) tells components apart, also those of one least id."""
     spark = documents.sparkSession

@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallystream.llm.common import bounded_sample, crc_fold
+from tallystream.workspace import settings
 
 # Signs read as the letters they resemble.
 LOOKALIKES = {
@@ -293,7 +294,17 @@ def _best_cut(rows: DataFrame, found: pd.DataFrame, share: float, cuts: tuple[fl
     return cuts[int(np.argmin(losses))]
 
 
-def learn(
+# Texts of a batch lie in a worker's memory several times over.
+SMALL_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
+
+
+def learn(documents: DataFrame, labels: DataFrame, **options) -> Lexicon:
+    """The lexicon of ``learn_lexicon``, with small batches while it is learned."""
+    with settings(documents.sparkSession, SMALL_BATCHES):
+        return learn_lexicon(documents, labels, **options)
+
+
+def learn_lexicon(
     documents: DataFrame,
     labels: DataFrame,
     sample_rows: int = 12_000,

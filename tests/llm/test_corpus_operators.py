@@ -131,6 +131,45 @@ def test_blocks_of_a_family_give_each_pair_once():
     assert len(got) == len(set(got)) and set(got) == wanted
 
 
+def test_lists_are_made_without_moving_entries_again(spark, monkeypatch):
+    """Entries move once, by shingle: no join by node, no second shuffle of those of rare shingles."""
+    plans, stored = {}, jaccard.stored
+
+    def spy(session, df, name):
+        plans[name] = df._jdf.queryExecution().sparkPlan().toString() + df._jdf.queryExecution().executedPlan().toString()
+        return stored(session, df, name)
+
+    monkeypatch.setattr(jaccard, "stored", spy)
+    text = " ".join(f"w{i}" for i in range(40))
+    out = jaccard.near_duplicates(docs_of(spark, [text, text + " x", "a b c", text]))
+    assert sorted(r["component_id"] for r in out.collect()) == [0, 0, 0, 2]
+    assert "Join" not in plans["jaccard-lists"]
+    assert len(re.findall(r"Exchange hashpartitioning", plans["jaccard-lists"])) == 2  # rare by t, the others by (t, a)
+
+
+@pytest.mark.parametrize("step", [0, 1, 5])
+def test_star_pairs_match_brute_force(spark, step):
+    rng = random.Random(step)
+    ids = [rng.randrange(-(1 << 63), 1 << 63) for _ in range(60)]
+    size, root = {a: rng.randint(60, 100) for a in ids}, {a: rng.choice(ids[:9]) for a in ids[:30]}
+    lists = {t: rng.sample(ids[: rng.choice([12, 60])], rng.randint(1, 12)) for t in range(120)}
+    turned = lambda a: ((a << 8 * step | (a % (1 << 64)) >> (64 - 8 * step)) + (1 << 63)) % (1 << 64)
+    shared = Counter((a, min(own, key=turned)) for own in lists.values() for a in own)
+    for roots in (None, root):
+        want = {
+            (u, v) for (u, v), c in shared.items()
+            if c >= 4 and u != v and min(size[u], size[v]) * 100 >= max(size[u], size[v]) * 75
+            and (roots is None or roots.get(u, u) != roots.get(v, v))
+        }
+        assert len(want) > 3
+        got = jaccard._star_pairs(
+            spark.createDataFrame([(t, a) for t, own in lists.items() for a in own], "t bigint, a bigint"),
+            spark.createDataFrame(list(size.items()), "a bigint, n bigint"),
+            roots and spark.createDataFrame(list(roots.items()), "node bigint, root bigint"), step,
+        )
+        assert sorted((r["u"], r["v"]) for r in got.collect()) == sorted(want)
+
+
 def test_shingles_are_the_distinct_word_runs():
     random = np.random.default_rng(8)
     for _ in range(300):

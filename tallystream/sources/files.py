@@ -93,9 +93,18 @@ def _nesting(text: Column) -> Column:
     return F.length(F.translate(text, "]}", "")) - F.length(F.translate(text, "[{", ""))
 
 
+# Texts between commas whose state is worked out together, and bytes of the files for each
+# task that does so: what a task holds follows these, whatever the files and their splits.
+PLACE = ("file", "block", "chunk")
+CHUNK = 1 << 14
+TASK_BYTES = 8 << 20
+
+
 def _pieces(spark: SparkSession, path: str) -> DataFrame:
     """The texts between commas with what each does to the state of a parser, whether it
-    begins outside a string or inside one; ``flip`` tells which, from the start of its block.
+    begins outside a string or inside one; ``flip`` tells which, from the start of its chunk.
+
+    A chunk is a run of pieces of one split; chunks are dealt to tasks by the size of the files.
 
     A quote counts unless a backslash is before it, and no backslash stands before a
     comma, so quotes can be counted without knowing the state.
@@ -107,12 +116,14 @@ def _pieces(spark: SparkSession, path: str) -> DataFrame:
         F.monotonically_increasing_id().alias("line"),
         F.col("value").alias("piece"),
     )
+    # An id counts rows from 0 in its low 33 bits.
+    pieces = pieces.withColumn("chunk", F.shiftright(F.col("line").bitwiseAND((1 << 33) - 1), CHUNK.bit_length() - 1))
     plain = F.regexp_replace("piece", r"(?s)\\.", "")
     no_strings = lambda text: F.regexp_replace(text, r'(?s)"[^"]*("|\z)', "")
     pieces = pieces.withColumns({"plain": plain, "if_out": no_strings(plain), "if_in": no_strings(F.concat(F.lit('"'), plain))})
     # Between two commas lies one scalar or empty container: nothing opens after something has closed.
     reopens = r"(?s)[\]}].*[\[{]"
-    within = Window.partitionBy("file", "block").orderBy("line")
+    within = Window.partitionBy(*PLACE).orderBy("line")
     before = within.rowsBetween(Window.unboundedPreceding, -1)
     pieces = pieces.withColumns({
         "quotes": F.length("plain") - F.length(F.translate("plain", '"', "")),
@@ -122,32 +133,33 @@ def _pieces(spark: SparkSession, path: str) -> DataFrame:
         "odd_in": F.col("if_in").rlike(reopens),
         "bytes": F.octet_length("piece") + 1,
     }).drop("plain", "if_out", "if_in")
+    size = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0] or 0
+    pieces = pieces.repartition(2 + size // TASK_BYTES, *PLACE)
     return pieces.withColumns({
         "flip": F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2,
-        "line": F.row_number().over(within),
         "ending": F.lead("line").over(within).isNull(),
     })
 
 
 def _block_states(pieces: DataFrame) -> DataFrame:
-    """For each block whether it begins inside a string and how deep: the blocks' own changes,
+    """For each chunk whether it begins inside a string and how deep: the chunks' own changes,
     one row for each, put together in the order of the file."""
     outside, inside = F.when(F.col("flip") == 0, F.col("out")), F.when(F.col("flip") == 0, F.col("in"))
-    blocks = pieces.groupBy("file", "block").agg(
+    chunks = pieces.groupBy(*PLACE).agg(
         F.sum("quotes").alias("quotes"),
         F.sum(outside.otherwise(F.col("in"))).alias("out"),
         F.sum(inside.otherwise(F.col("out"))).alias("in"),
         F.sum("bytes").alias("bytes"),
         F.max("file_size").alias("file_size"),
     )
-    order = Window.partitionBy("file").orderBy("block")
+    order = Window.partitionBy("file").orderBy("block", "chunk")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     sum_before = lambda c: F.coalesce(F.sum(c).over(before), F.lit(0))
-    blocks = blocks.withColumn("quoted", sum_before("quotes") % 2)
-    blocks = blocks.withColumn("change", F.when(F.col("quoted") == 0, F.col("out")).otherwise(F.col("in")))
-    return blocks.select(
-        "file", "block", "quoted", sum_before("change").alias("depth"),
-        F.lag("block").over(order).isNull().alias("first_block"), F.lead("block").over(order).isNull().alias("last_block"),
+    chunks = chunks.withColumn("quoted", sum_before("quotes") % 2)
+    chunks = chunks.withColumn("change", F.when(F.col("quoted") == 0, F.col("out")).otherwise(F.col("in")))
+    return chunks.select(
+        *PLACE, "quoted", sum_before("change").alias("depth"),
+        F.lag("block").over(order).isNull().alias("first_chunk"), F.lead("block").over(order).isNull().alias("last_chunk"),
         # Nothing is read after a comma that ends the file, but then every piece has its comma.
         (F.sum("bytes").over(Window.partitionBy("file")) == F.col("file_size")).alias("cut_off"),
     )
@@ -157,22 +169,22 @@ def json_array_split(spark: SparkSession, path: str) -> DataFrame:
     """Files that each hold one JSON array, read in splits wherever these fall: ``file, block,
     line, value``, in this order.
 
-    The texts between commas are read as records. Strings and brackets of every block are
-    summed up for both states it may begin in, the blocks of a file put together, and with
-    the state at its start each block finds the commas that part elements. An element that
-    crosses blocks is put together from its parts; the others stay where they are. A file
+    The texts between commas are read as records. Strings and brackets of every chunk of them
+    are summed up for both states it may begin in, the chunks of a file put together, and with
+    the state at its start each chunk finds the commas that part elements. An element that
+    crosses chunks is put together from its parts; the others stay where they are. A file
     that is no array, or has a gap between commas, stops the job.
     """
     pieces = _pieces(spark, path)
     states = _block_states(pieces)
-    within = Window.partitionBy("file", "block").orderBy("line")
-    met = pieces.join(states, ["file", "block"])
+    within = Window.partitionBy(*PLACE).orderBy("line")
+    met = pieces.join(states, list(PLACE))
     start = (F.col("quoted") + F.col("flip")) % 2
     change = F.when(start == 0, F.col("out")).otherwise(F.col("in"))
     met = met.withColumns({
         "level": F.col("depth") + F.sum(change).over(within.rowsBetween(Window.unboundedPreceding, 0)),
         "open": (start + F.col("quotes")) % 2 == 1,
-        "last": F.col("last_block") & F.col("ending"),
+        "last": F.col("last_chunk") & F.col("ending"),
     })
     no_array = F.raise_error(F.concat(F.lit("input is not a JSON array: "), F.col("file"))).cast("string")
     wrong = F.when(F.col("last"), F.col("open") | (F.col("level") != 0)).otherwise(~F.col("open") & (F.col("level") < 1))
@@ -188,16 +200,16 @@ def json_array_split(spark: SparkSession, path: str) -> DataFrame:
         F.transform(F.array_sort(F.collect_list(F.struct(order, "piece"))), lambda x: x["piece"]), ","
     ).alias("piece")
     # Grouped as they lie: no rows move.
-    parts = met.groupBy("file", "block", "element").agg(
+    parts = met.groupBy(*PLACE, "element").agg(
         joined("line"), F.min("line").alias("line"), F.max("parts").alias("ends"),
-        F.max(F.col("first_block")).alias("first"), F.max("last").alias("last"),
+        F.max(F.col("first_chunk")).alias("first"), F.max("last").alias("last"),
     )
     first = F.col("first") & (F.col("element") == 0)
     parts = parts.withColumn("first", first).withColumn("whole", (F.col("ends") == 1) & ((F.col("element") > 0) | first))
     shown = ("file", "block", "line", "piece", "first", "last")
-    # At most the first and the last part of each block cross it.
+    # At most the first and the last part of each chunk cross it.
     torn = parts.where("NOT whole")
-    earlier = Window.partitionBy("file").orderBy("block", "element").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("file").orderBy("block", "chunk", "element").rowsBetween(Window.unboundedPreceding, -1)
     torn = torn.withColumn("element", F.coalesce(F.sum("ends").over(earlier), F.lit(0)))
     torn = torn.withColumn("line", F.struct("block", "line")).groupBy("file", "element").agg(
         joined("line"), F.min("line").alias("at"), F.max("first").alias("first"), F.max("last").alias("last")

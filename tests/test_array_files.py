@@ -81,3 +81,29 @@ def test_first_pass_moves_no_text(spark, tmp_path):
         plan = files._block_states(files._pieces(spark, str(tmp_path)))._jdf.queryExecution().executedPlan().toString()
     moved = re.search(r"Exchange hashpartitioning\(file#\d+, block#.*\n\W*Project (\[.*\])", plan)[1]
     assert "AS bytes#" in moved and not re.search(r"[\[ ]piece#\d+[,\]]", moved), moved
+
+
+@pytest.mark.parametrize("chunk", [1, 2, 16])
+def test_chunks_do_not_matter(spark, tmp_path, monkeypatch, chunk):
+    """Elements that cross chunks within a split are whole, and in order."""
+    monkeypatch.setattr(files, "CHUNK", chunk)
+    rng = random.Random(chunk)
+    arrays = {f"{i}.json": [value(rng) for _ in range(rng.choice([0, 1, 2, 9, 30]))] for i in range(12)}
+    for name, items in arrays.items():
+        (tmp_path / name).write_text(json.dumps(items))
+    for split_bytes in (37, 1 << 20):
+        got = elements(spark, tmp_path, split_bytes)
+        assert {k: [json.loads(v) for v in vs] for k, vs in got.items()} == {k: v for k, v in arrays.items() if v}
+
+
+def test_tasks_follow_the_size_of_the_files(spark, tmp_path, monkeypatch):
+    """Adaptive execution would merge what many files and splits hold into a few large tasks."""
+    monkeypatch.setattr(files, "TASK_BYTES", 1 << 12, raising=False)
+    for i in range(8):
+        (tmp_path / f"{i}.json").write_text(json.dumps([{"a": j, "b": "x" * 9} for j in range(1000)]))
+    size = sum(p.stat().st_size for p in tmp_path.iterdir())
+    split = files.json_array_split(spark, str(tmp_path))
+    pieces = files._pieces(spark, str(tmp_path))
+    assert split.count() == 8000
+    assert pieces.rdd.getNumPartitions() == 2 + size // (1 << 12)
+    assert max(pieces.groupBy(*("file", "block", "chunk")).count().agg({"count": "max"}).first()) <= files.CHUNK

@@ -27,10 +27,11 @@ from dataclasses import dataclass, field
 import ahocorasick
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallystream.llm.common import bounded_sample, crc_fold
+from tallystream.llm.common import SMALL_BATCHES, bounded_sample, crc_fold
 from tallystream.workspace import settings
 
 # Signs read as the letters they resemble.
@@ -155,9 +156,10 @@ def score(text: Column, lexicon: Lexicon) -> Column:
     """The score of a text column, from 0 to 1."""
 
     @F.pandas_udf("double")
-    def run(texts: pd.Series) -> pd.Series:
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         machine = automaton(lexicon.weights)
-        return pd.Series([score_text(t, lexicon, machine) for t in texts], dtype="float64")
+        for texts in batches:
+            yield pd.Series([score_text(t, lexicon, machine) for t in texts], dtype="float64")
 
     return run(text)
 
@@ -266,12 +268,13 @@ def _signals_udf(lexicons: list[list[Lexicon]]):
     """For a text of fold k the signals of every lexicon of ``lexicons[k]``, as one flat list."""
 
     @F.pandas_udf("array<double>")
-    def measured(texts: pd.Series, folds: pd.Series) -> pd.Series:
+    def measured(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         machines = [[automaton(x.weights) for x in own] for own in lexicons]
-        return pd.Series([
-            [v for x, m in zip(lexicons[k], machines[k], strict=True) for v in signals(*hits(t, m, x.exceptions)[:2])]
-            for t, k in zip(texts, folds, strict=True)
-        ])
+        for texts, folds in batches:
+            yield pd.Series([
+                [v for x, m in zip(lexicons[k], machines[k], strict=True) for v in signals(*hits(t, m, x.exceptions)[:2])]
+                for t, k in zip(texts, folds, strict=True)
+            ])
 
     return measured
 
@@ -294,10 +297,6 @@ def _best_cut(rows: DataFrame, found: pd.DataFrame, share: float, cuts: tuple[fl
     return cuts[int(np.argmin(losses))]
 
 
-# Texts of a batch lie in a worker's memory several times over.
-SMALL_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
-
-
 def learn(documents: DataFrame, labels: DataFrame, **options) -> Lexicon:
     """The lexicon of ``learn_lexicon``, with small batches while it is learned."""
     with settings(documents.sparkSession, SMALL_BATCHES):
@@ -345,7 +344,8 @@ def learn_lexicon(
     weights = _terms(by_term, FOLDS, _best_cut(rows, by_term, share, cuts), share)
 
     contexts = contexts.select("term", "before", "word", "after", *((F.col(c) > 0).cast("int").alias(c) for c in "tc"))
-    kept = rows.sparkSession.createDataFrame([(t,) for t in weights], "term string")
+    # From an Arrow table: rows of a list would start Python workers of another kind, which stay.
+    kept = rows.sparkSession.createDataFrame(pa.table({"term": pa.array(list(weights), pa.string())}))
     pairs = contexts.join(kept, "term", "left_semi")
     either = pairs.select("before", "word", "after", "t", "c").distinct()
     both = either.select(F.col("before").alias("x"), F.col("word").alias("y"), "t", "c").unionByName(

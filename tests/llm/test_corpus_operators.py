@@ -610,6 +610,16 @@ def test_pipeline_stages(spark, sf_dir):
     check_bins(stages["best_fit_packing"](spark, mix, sf_dir).collect(), sizes)
 
 
+def test_pipeline_keeps_rows_off_plain_python_workers(spark, sf_dir, monkeypatch):
+    """Rows of a Python list go through an RDD, whose workers an executor starts and keeps beside those of the stages."""
+
+    def refused(*_, **__):
+        raise AssertionError("an RDD of Python rows")
+
+    monkeypatch.setattr(type(spark.sparkContext), "parallelize", refused)
+    assert corpus_pipeline.run(spark, sf_dir).count() > 0
+
+
 def test_pipeline_runs_as_one(spark, sf_dir):
     whole = corpus_pipeline.run(spark, sf_dir).collect()
     assert len(whole) > 0 and sum(r["length"] for r in whole) > 0

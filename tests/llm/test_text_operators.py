@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tallystream.llm import language, pii, quality, toxicity
 from tallystream.llm.queries import QUERIES
+from tallystream.workspace import settings
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 LONG = "the quick word " * 60_000
@@ -165,6 +166,26 @@ def test_disguises_and_exceptions():
     assert toxicity.score_text("idiot", lexicon, machine) > toxicity.score_text("idiot " + "word " * 500, lexicon, machine)
 
 
+def test_toxicity_builds_the_automaton_once_a_task(spark, tmp_path, monkeypatch):
+    """However many batches a task gets: for the scores and for the signals of the folds."""
+    plain, built = toxicity.automaton, str(tmp_path / "built")
+
+    def counted(weights):
+        with open(built, "a") as file:
+            file.write("1\n")
+        return plain(weights)
+
+    monkeypatch.setattr(toxicity, "automaton", counted)
+    lexicon = toxicity.Lexicon({"idiot$": 9.0}, curve=(-6.0, 3.0, 1.0))
+    rows = spark.range(0, 5000, 1, 1).select(F.when(F.col("id") % 2 == 0, "you idiot").otherwise("kind words").alias("text"))
+    with settings(spark, toxicity.SMALL_BATCHES):
+        scored = rows.select("text", toxicity.score(F.col("text"), lexicon).alias("score")).groupBy("text", "score").count().collect()
+        signals = rows.select(toxicity._signals_udf([[lexicon]])("text", F.lit(0)).alias("s")).distinct().collect()
+    expected = {(t, toxicity.score_text(t, lexicon, plain(lexicon.weights)), 2500) for t in ("you idiot", "kind words")}
+    assert {tuple(r) for r in scored} == expected and len(signals) == 2
+    assert len(open(built).readlines()) == 2
+
+
 def test_toxicity_awkward_input(spark):
     texts = [None, "", "fine words", LONG, "fine words"]
     docs = docs_of(spark, texts)

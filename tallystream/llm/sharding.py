@@ -4,8 +4,9 @@ Documents with equal texts are linked. Every document starts in the shard its id
 to. In each round the documents of a group look at the shards of their neighbours, the
 group as it stands, and move towards the shard most of them are in, as far as that
 shard has room; demands are summed up per pair of shards, and the room is shared among
-them. Moves are counted per group and shard, since equal texts are interchangeable, so
-a round is a few joins over the groups with copies, never over pairs of documents.
+them. Moves are counted per group and shard, since equal texts are interchangeable: a
+group with copies is one row with its documents in every shard, and a round is one pass
+over these rows, never over pairs of documents.
 
 A last step makes the law exact: shards differ by one document at most. Documents
 without links leave an overfull shard before linked ones do.
@@ -49,40 +50,49 @@ def _accepted_shares(loads: dict[int, int], demand: dict[tuple[int, int], int],
     return share
 
 
+def _by_group(counts: DataFrame, n_shards: int) -> DataFrame:
+    """One row for each group: ``at`` holds its documents in every shard."""
+    in_shards = (F.sum(F.when(F.col("shard") == s, F.col("n")).otherwise(0)) for s in range(n_shards))
+    return counts.groupBy(*GROUP).agg(F.array(*in_shards).alias("at"))
+
+
+def _by_shard(groups: DataFrame) -> DataFrame:
+    """``g1, g2, shard, n`` of the shards in which a group has documents."""
+    return groups.select(*GROUP, F.posexplode("at").alias("shard", "n")).where("n > 0")
+
+
 def propagate(spark: SparkSession, counts: DataFrame, loads: dict[int, int], rounds: int = ROUNDS, slack: float = 1.05) -> DataFrame:
     """Moves documents of groups between shards; ``counts`` has ``g1, g2, shard, n``.
 
     ``loads`` holds the documents of every shard, linked or not, and is the only thing
-    that comes to the driver, beside the moves wanted between two shards.
+    that comes to the driver, beside the documents by shard and wish. A group is one row
+    here, so that a round looks at each row by itself and shuffles these sums only.
     """
     n_shards = len(loads)
     room = slack * sum(loads.values()) / n_shards
-    state = restart_point(spark, counts)
+    state = restart_point(spark, _by_group(counts, n_shards))
+    alone = None
     for step in range(rounds):
         # Most neighbours first; ties by a hash that changes with the round.
-        liking = F.struct("n", F.xxhash64(F.lit(step), "g1", "shard").alias("h"), "shard")
-        best = state.groupBy(*GROUP).agg(F.max(liking).alias("b")).select(*GROUP, F.col("b.shard").alias("best"))
-        wishes = state.join(best, GROUP)
-        wanted = {(r["shard"], r["best"]): r["n"] for r in wishes.where("shard <> best").groupBy("shard", "best").agg(F.sum("n").alias("n")).collect()}
+        liking = F.transform("at", lambda n, s: F.struct(n, F.xxhash64(F.lit(step), "g1", s), s.alias("shard")))
+        wishes = state.withColumn("best", F.array_max(liking)["shard"])
+        sums = wishes.select("best", F.posexplode("at").alias("shard", "n")).where("n > 0").groupBy("shard", "best").agg(F.sum("n").alias("n"))
+        held = {(r["shard"], r["best"]): r["n"] for r in sums.orderBy("shard", "best").collect()}
+        linked = {s: sum(n for (at, _), n in held.items() if at == s) for s in loads}
+        alone = alone or {s: loads[s] - linked[s] for s in loads}
+        wanted = {(s, to): n for (s, to), n in held.items() if s != to}
         if not wanted:
             break
-        share = _accepted_shares(loads, wanted, room)
+        share = _accepted_shares({s: alone[s] + linked[s] for s in loads}, wanted, room)
         accept = F.get(F.array(*(F.lit(share[p]) for p in range(n_shards))), F.col("best"))
         # Small groups move as a whole or not at all, large ones in part.
-        dither = F.when(F.col("n") < 32, _chance(F.lit(step), "g1", "g2")).otherwise(0.5)
-        part = F.floor(F.col("n") * accept + dither)
-        whole = F.when(_chance(F.lit(step + 100), "g1", "g2") < accept, F.col("n")).otherwise(0)
-        moving = F.when(F.col("shard") == F.col("best"), 0).when(F.col("n") < 32, whole).otherwise(F.least("n", part))
-        moved = wishes.withColumn("moving", moving)
-        stay = moved.select(*GROUP, "shard", (F.col("n") - F.col("moving")).alias("n"))
-        come = moved.where("moving > 0").select(*GROUP, F.col("best").alias("shard"), F.col("moving").alias("n"))
-        new = stay.unionByName(come).groupBy(*GROUP, "shard").agg(F.sum("n").alias("n")).where("n > 0")
-        new = restart_point(spark, new)
-        before = dict.fromkeys(loads, 0) | {r["shard"]: r["n"] for r in state.groupBy("shard").agg(F.sum("n").alias("n")).collect()}
-        after = dict.fromkeys(loads, 0) | {r["shard"]: r["n"] for r in new.groupBy("shard").agg(F.sum("n").alias("n")).collect()}
-        loads = {s: loads[s] - before[s] + after[s] for s in loads}
-        state = new
-    return state
+        wishes = wishes.withColumn("accept", accept).withColumn("whole", _chance(F.lit(step + 100), "g1", "g2") < F.col("accept"))
+        part = lambda n: F.when(n >= 32, F.least(n, F.floor(n * F.col("accept") + 0.5))).when(F.col("whole"), n).otherwise(0)
+        moved = wishes.withColumn("moving", F.transform("at", lambda n, s: F.when(s == F.col("best"), 0).otherwise(part(n))))
+        moved = moved.withColumn("come", F.aggregate("moving", F.lit(0).cast("bigint"), lambda total, n: total + n))
+        left = F.zip_with("at", "moving", lambda n, gone: n - gone)
+        state = restart_point(spark, moved.select(*GROUP, F.transform(left, lambda n, s: F.when(s == F.col("best"), n + F.col("come")).otherwise(n)).alias("at")))
+    return _by_shard(state)
 
 
 def _numbered(df: DataFrame, keys: list[str], bin_of: Column, order: list[Column], name: str) -> DataFrame:
@@ -108,9 +118,8 @@ def shards(documents: DataFrame, n_shards: int = SHARDS) -> DataFrame:
         start.alias("start"),
     )
     docs = stored(spark, docs, "sharding-docs")
-    counts = docs.groupBy(*GROUP, F.col("start").alias("shard")).agg(F.count("*").alias("n"))
-    totals = counts.groupBy(*GROUP).agg(F.sum("n").alias("total"))
-    linked = counts.join(totals.where("total > 1"), GROUP).drop("total")
+    groups = _by_group(docs.select(*GROUP, F.col("start").alias("shard"), F.lit(1).alias("n")), n_shards)
+    linked = _by_shard(groups.where(F.aggregate("at", F.lit(0).cast("bigint"), lambda total, n: total + n) > 1))
     loads = dict.fromkeys(range(n_shards), 0) | {r["start"]: r["count"] for r in docs.groupBy("start").count().collect()}
     final = propagate(spark, linked, loads)
 

@@ -493,6 +493,25 @@ def test_shards_awkward_input(spark):
     assert sharding.report(docs.limit(1)).count() == 1
 
 
+def test_rounds_of_propagation_shuffle_no_groups(spark, monkeypatch):
+    rows = [(g, g, s, 1 + (g * 7 + s * 5) % 45) for g in range(60) for s in range(4) if (g + s) % 3]
+    counts = spark.createDataFrame(rows, "g1 bigint, g2 bigint, shard int, n bigint").repartition(3)
+    loads = {s: sum(n for *_, at, n in rows if at == s) + 50 for s in range(4)}
+    plans, write = [], sharding.restart_point
+    monkeypatch.setattr(sharding, "restart_point", lambda s, df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or write(s, df))
+    moved = sharding.propagate(spark, counts, loads).collect()
+    assert len(plans) > 2 and not any("Exchange" in p or "Join" in p for p in plans[1:])
+    before, after = Counter(), Counter()
+    for g, _, _, n in rows:
+        before[g] += n
+    for r in moved:
+        after[r["g1"]] += r["n"]
+        assert r["n"] > 0 and 0 <= r["shard"] < 4
+    assert before == after
+    most = lambda found: sum(max(n for g, n in found if g == x) for x in before)
+    assert most([(r["g1"], r["n"]) for r in moved]) > 1.2 * most([(g, n) for g, _, _, n in rows])
+
+
 # Packing
 
 

@@ -57,6 +57,39 @@ def plain_components(rows) -> dict[int, tuple[int, int]]:
     return {d: (len(sets[d]), find(d)) for d in sets}
 
 
+@pytest.mark.parametrize("edges_a_task", [1 << 17, 200])
+def test_components_by_tasks_and_by_stars(spark, monkeypatch, edges_a_task):
+    rng = random.Random(5)
+    names = [rng.randrange(-(1 << 62), 1 << 62) for _ in range(900)]
+    edges = [(names[i], names[i + 1]) for i in range(300)]  # a path
+    edges += [(names[301], x) for x in names[302:400]] + [(names[401], names[401])]
+    edges += [tuple(rng.sample(names[402:], 2)) for _ in range(300)] * 2
+    writes, write = [], jaccard.restart_point
+    monkeypatch.setattr(jaccard, "EDGES", edges_a_task)
+    monkeypatch.setattr(jaccard, "restart_point", lambda s, df: writes.append(1) or write(s, df))
+    links = spark.createDataFrame(edges, "u bigint, v bigint").repartition(6)
+    got = {r["node"]: r["root"] for r in jaccard.components(spark, links).collect()}
+    root = {x: x for e in edges if e[0] != e[1] for x in e}
+    for _ in root:
+        for u, v in edges:
+            if u != v:
+                root[u] = root[v] = min(root[u], root[v])
+        if all(root[u] == root[v] for u, v in edges if u != v):
+            break
+    assert got == root
+    if edges_a_task > len(edges):
+        assert len(writes) == 2  # the edges, and where they lead
+
+
+def test_rounds_let_the_driver_collect_its_garbage(spark):
+    beans = spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans
+    count = lambda: sum(b.getCollectionCount() for b in beans() if "Old" in b.getName() or "MarkSweep" in b.getName())
+    before = count()
+    docs = docs_of(spark, [f"one two three four five six {i // 4}" for i in range(40)])
+    jaccard.near_duplicates(docs).count()
+    assert count() - before >= 3
+
+
 def test_join_matches_brute_force_on_the_table(spark, sf_dir):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in QUERIES["op2_adaptive_jaccard"](spark, sf_dir).collect()}

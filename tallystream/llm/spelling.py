@@ -167,10 +167,19 @@ def near_pairs(spark: SparkSession, vocabulary: DataFrame) -> DataFrame:
     each pair in both directions."""
     hits = vocabulary.select("word", "n").mapInPandas(_hits(_bitmap(vocabulary)), "word string, n bigint, target bigint")
     others = vocabulary.select(F.col("own").alias("target"), F.col("word").alias("other"), F.col("n").alias("other_n"))
-    met = hits.join(others, "target").where(F.col("word") != F.col("other"))
+    met = shuffled(hits).join(others, "target").where(F.col("word") != F.col("other"))
     return met.where(one_edit(F.col("word"), F.col("other"))).select("word", "n", "other", "other_n")
 
 
+def shuffled(rows: DataFrame) -> DataFrame:
+    """The rows, joined by a shuffle of both sides whatever size Spark expects.
+
+    It takes what Python makes of a table to be as large as the table, and a table to be as
+    large as its compressed files, so either may be sent to the driver at many times the limit.
+    """
+    return rows.hint("merge")
+
+
 def one_edit(a: Column, b: Column) -> Column:
     return F.levenshtein(a, b, 1) == 1
 
@@ -181,7 +190,7 @@ def _roots(spark: SparkSession, forms: DataFrame) -> DataFrame:
     held = stored(spark, forms.select("word", F.col("form").alias("root")), "spelling-roots")
     while True:
         ahead = held.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        moved = held.join(ahead, "root", "left").select(
+        moved = shuffled(held).join(ahead, "root", "left").select(
             "word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")
         )
         moved = stored(spark, moved, "spelling-roots")
@@ -209,7 +218,7 @@ def variants(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text
     )
     near = stored(spark, near, "spelling-near")
     roots = _roots(spark, near.where("form IS NOT NULL"))
-    out = vocabulary.join(near, "word", "left").join(roots, "word", "left")
+    out = vocabulary.join(shuffled(near), "word", "left").join(shuffled(roots), "word", "left")
     return out.select(
         "word", "form", F.coalesce("root", "word").alias("root"),
         "n", F.coalesce("n_near", F.lit(0)).cast("bigint").alias("n_near"), "form_n",

@@ -125,3 +125,22 @@ def test_edit_is_by_code_point(spark):
     pairs = [("éclair", "eclair"), ("éclair", "clair"), ("éclair", "éclair"), ("éclair", "èclaire"), ("ab", "ba")]
     df = spark.createDataFrame(pairs, "a string, b string").select(spelling.one_edit(F.col("a"), F.col("b")).alias("x"))
     assert [r["x"] for r in df.collect()] == [True, True, False, False, False]
+
+
+def test_nothing_is_broadcast_by_the_size_of_files(spark, monkeypatch):
+    """Neighbours are many times the vocabulary, and tables many times their files."""
+    sent = []
+    stored = spelling.stored
+
+    def watched(session, df, name):
+        sent.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return stored(session, df, name)
+
+    monkeypatch.setattr(spelling, "stored", watched)
+    rows = [(i, "wonderful wonderfully lantern lanterns") for i in range(40)] + [(99, "wonderfil " * 6)]
+    df = spelling.variants(spark.createDataFrame(rows, DOCS))
+    assert found(df)["wonderfil"][0] == "wonderful"
+    sent.append(("out", df._jdf.queryExecution().executedPlan().toString()))
+    joined = {name for name, plan in sent if "SortMergeJoin" in plan}
+    assert joined >= {"spelling-near", "spelling-roots", "out"}
+    assert not [name for name, plan in sent if "Broadcast" in plan]

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tallystream.llm import jaccard, mih, mixing, packing, pii, sharding, toxicity, url_rules
 from tallystream.llm.queries import QUERIES
+from tallystream.workspace import settings
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 LONG = " ".join(f"w{i}" for i in range(30_000))
@@ -115,6 +116,42 @@ def test_join_finds_chains_near_the_border(spark):
     assert {r["doc_id"] for r in kept.collect()} == {c for _, c in got.values()}
 
 
+def test_join_in_many_parts(spark, monkeypatch):
+    """Whatever is moved at once, links are the same, and no texts are moved however few tables are broadcast."""
+    random = np.random.default_rng(6)
+    passage = [f"p{i}" for i in range(8)]
+    texts = [None, "", "one two", "ONE two"]
+    for family in range(8):
+        w = [f"f{family}x{i}" for i in range(int(random.integers(30, 60)))] + passage
+        for _ in range(9):
+            w = list(w)
+            w[random.integers(len(w))] = f"n{random.integers(10**9)}"
+            texts.append(" ".join(w))
+    texts += [" ".join([f"s{i}" for i in range(80)] + [f"e{k}"]) for k in range(30)]  # a star that fills a part
+    plans, counts = [], Counter()
+
+    def spy(name, write):
+        def run(session, df, *as_):
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+            counts[as_ or name] += 1
+            return write(session, df, *as_)
+
+        monkeypatch.setattr(jaccard, name, run)
+
+    for name in ("stored", "restart_point"):
+        spy(name, getattr(jaccard, name))
+    small = {"LISTED": 400, "OPENED": 100, "MOVED": 2000, "MOVED_SHARE": 4, "ASKED": 40, "PAIRED": 50, "SHORT": 6, "BLOCK": 16}
+    for name, value in small.items():
+        monkeypatch.setattr(jaccard, name, value, raising=False)
+    rows = list(enumerate(texts))
+    docs = docs_of(spark, texts).repartition(5)
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.near_duplicates(docs).collect()}
+    assert got == plain_components(rows)
+    assert not [p for p in plans if "hashpartitioning(doc_id" in p]
+    assert counts[("jaccard-lists",)] > 1 and counts[("jaccard-open",)] > 1 and counts[("jaccard-rest-found",)] > 2
+
+
 def test_prefixes_of_any_length_keep_links():
     """Two similar sets share at least the smaller l within their prefixes, whatever counts say."""
     random = np.random.default_rng(4)

@@ -140,7 +140,7 @@ def test_join_in_many_parts(spark, monkeypatch):
 
     for name in ("stored", "restart_point"):
         spy(name, getattr(jaccard, name))
-    small = {"LISTED": 400, "OPENED": 100, "MOVED": 2000, "MOVED_SHARE": 4, "ASKED": 40, "PAIRED": 50, "SHORT": 6, "BLOCK": 16}
+    small = {"LISTED": 400, "OPENED": 100, "MOVED": 2000, "MOVED_SHARE": 4, "ASKED": 40, "PAIRED": 50, "PAIRED_SHARE": 1, "SHORT": 6, "BLOCK": 16}
     for name, value in small.items():
         monkeypatch.setattr(jaccard, name, value, raising=False)
     rows = list(enumerate(texts))
@@ -149,7 +149,7 @@ def test_join_in_many_parts(spark, monkeypatch):
         got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.near_duplicates(docs).collect()}
     assert got == plain_components(rows)
     assert not [p for p in plans if "hashpartitioning(doc_id" in p]
-    assert counts[("jaccard-lists",)] > 1 and counts[("jaccard-open",)] > 1 and counts[("jaccard-rest-found",)] > 2
+    assert counts[("jaccard-lists",)] > 1 and counts[("jaccard-open",)] > 1 and counts[("jaccard-rest-found",)] > 2 and counts[("jaccard-short",)]
 
 
 def test_prefixes_of_any_length_keep_links():
